@@ -20,7 +20,7 @@ from trainlake.operators.impute import fit_imputation
 from trainlake.operators.models import Fitted, fit_pipeline
 from trainlake.operators.score import score
 from trainlake.operators.split import fold_column, hash_split
-from trainlake.session import get_session
+from trainlake.session import get_session, materialise
 from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, read_listing
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
@@ -48,23 +48,30 @@ def content_key(df: DataFrame) -> Column:
     return F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
 
 
+def stage_rows(raw: DataFrame, spec: ListingSpec, key: Column | None = None) -> DataFrame:
+    """Clean listing rows with a row_key, written once as columns.
+
+    Every later pass (fill values, checks, each fit) reads this table, not the
+    CSV text. Copies of a row without a key of its own share their key.
+    """
+    keyed = raw.withColumn("row_key", content_key(raw) if key is None else key)
+    return materialise(clean_listing(keyed, spec, key=["row_key"]).hint("rebalance"), "listing")
+
+
 def prepare(
-    raw: DataFrame,
+    rows: DataFrame,
     spec: ListingSpec,
     weights: Sequence[float],
-    key: Column | None = None,
     seed: int = 42,
     strategy: str = "median",
     fit_scope: str = "train",
     relative_error: float | None = None,
 ) -> Prepared:
-    """Clean, split, impute.
+    """Split staged rows and impute.
 
     Fill values come from the first part, the training rows, unless fit_scope is
-    "all". Copies of a row share its key and thereby its part.
+    "all".
     """
-    keyed = raw.withColumn("row_key", content_key(raw) if key is None else key)
-    rows = clean_listing(keyed, spec, key=["row_key"])
     parts = hash_split(rows, F.col("row_key"), weights, seed)
     fit_rows = {"train": parts[0], "all": rows}[fit_scope]
     fill = fit_imputation(fit_rows, spec.impute, strategy, relative_error)
@@ -171,8 +178,9 @@ def run_all(
 ) -> TableStore:
     """All training jobs one after the other, the searched forest going to production."""
     store = TableStore(spark, root)
-    halves = prepare(raw, spec, [0.8, 0.2], key)
-    thirds = prepare(raw, spec, [0.6, 0.2, 0.2], key)
+    rows = stage_rows(raw, spec, key)
+    halves = prepare(rows, spec, [0.8, 0.2])
+    thirds = prepare(rows, spec, [0.6, 0.2, 0.2])
     linear_run = train_simple(store, halves, "linear", "linear")
     train_forest_cv(store, halves)
     searched_run = train_forest_search(store, thirds)

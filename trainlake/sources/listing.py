@@ -74,7 +74,8 @@ def stage_listing(df: DataFrame, path: str, partitions: int | None = None) -> Da
 
 def write_listing_csv(df: DataFrame, path: str) -> None:
     """Write in the layout read_listing reads."""
-    df.write.options(header=True, escape='"').csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, escape='"', **blanks).csv(path)
 
 
 def money_text(amount: Column) -> Column:
