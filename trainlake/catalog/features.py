@@ -57,7 +57,7 @@ def index_high_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     """A column with a level for each customer, numbered by ranges and looked
     up in a broadcast head and a shuffled tail."""
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
-    index = feat.fit_index(orders, ["customer"], window_rows=50)
+    index = feat.fit_index(orders, ["customer"], window_rows=100, partitions=8)
     return feat.apply_index(orders, index, broadcast_levels=100).select("o_orderkey", "customer_idx")
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainlake.catalog.common import Queries, table
+from trainlake.catalog.common import Queries, spread_table, table
 from trainlake.functions.buckets import row_key
 from trainlake.functions.numbers import parse_money
 from trainlake.operators import clean
 from trainlake.operators.features import column_roles, role_report
 from trainlake.operators.impute import fit_imputation
 from trainlake.operators.quantiles import exact_quantiles
-from trainlake.session import scratch_path
+from trainlake.session import materialise, scratch_path
 from trainlake.sources.listing import ListingSpec, money_text, read_listing, stage_listing, write_listing_csv
 from trainlake.tracking.runs import input_example
 
@@ -29,7 +29,8 @@ KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 def raw_listing(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as a listing: price as currency text, zero rates as missing ones."""
-    return table(spark, sf, "lineitem").select(
+    columns = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    return spread_table(spark, sf, "lineitem", *KEY, *columns).select(
         row_key(*KEY).alias("row_key"),
         money_text(F.col("l_extendedprice")).alias("price"),
         F.col("l_quantity").alias("quantity"),
@@ -174,7 +175,8 @@ ORACLES["listing_clean"] = f"SELECT * FROM {SQL_CLEAN}"
 
 
 def _imputed(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
-    rows = cleaned(spark, sf)
+    # Written once, so that the passes of the fit read two columns and clean nothing.
+    rows = materialise(cleaned(spark, sf), "listing")
     filled = fit_imputation(rows, SPEC.impute, strategy).apply(rows)
     rounded = {c: F.round(c, 6) for c in SPEC.impute}
     return filled.select("row_key", "discount", "tax", "discount_na", "tax_na").withColumns(rounded)

@@ -11,6 +11,7 @@ from trainlake.catalog.common import Queries, table
 from trainlake.catalog.listing import KEY
 from trainlake.functions.buckets import row_key
 from trainlake.operators.split import combine, fold_column, hash_split, random_split
+from trainlake.session import spread_scan
 
 QUERIES = Queries()
 ORACLES: dict[str, str] = {}
@@ -20,7 +21,7 @@ SQL_BUCKET = f"CAST('0x' || substr(md5('42:' || {SQL_KEY}), 1, 8) AS BIGINT) % 1
 
 
 def keyed_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").withColumn("row_key", row_key(*KEY))
+    return spread_scan(table(spark, sf, "lineitem").drop("l_shipdate")).withColumn("row_key", row_key(*KEY))
 
 
 def _numbered(parts: list[DataFrame]) -> DataFrame:

@@ -10,11 +10,11 @@ import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainlake.catalog.common import Queries, table
+from trainlake.catalog.common import Queries, spread_table, table
 from trainlake.functions import stopwords as stop
 from trainlake.functions import words as W
 from trainlake.operators import trend
-from trainlake.session import scratch_path
+from trainlake.session import scratch_path, spread_scan
 from trainlake.sources.documents import read_documents, text_field
 from trainlake.sources.tables import ingest_if_absent, write_table
 
@@ -75,27 +75,27 @@ def oracles() -> dict[str, str]:
 @QUERIES
 def trend_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Words of the documents by falling count."""
-    return trend.trending(table(spark, sf, "documents"), text_field("sample"))
+    return trend.trending(spread_table(spark, sf, "documents", "text"), text_field("sample"))
 
 
 @QUERIES
 def trend_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Words of raw web pages."""
-    return trend.trending(table(spark, sf, "pages"), "html")
+    return trend.trending(spread_table(spark, sf, "pages", "html"), "html")
 
 
 @QUERIES
 def trend_urls(spark: SparkSession, sf: str) -> DataFrame:
     """Words of pages with their address in front, which must not count."""
     text = F.concat_ws(" ", "url", "html")
-    return trend.trending(table(spark, sf, "pages"), text)
+    return trend.trending(spread_table(spark, sf, "pages", "url", "html"), text)
 
 
 @QUERIES
 def trend_conversations(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations as JSON documents with a nested text field."""
     path = scratch_path(spark, "conversations")
-    nested = table(spark, sf, "conversations").select(F.struct(F.col("text").alias("content")).alias("interaction"))
+    nested = spread_table(spark, sf, "conversations", "text").select(F.struct(F.col("text").alias("content")).alias("interaction"))
     write_table(nested, path, "json")
     read = read_documents(spark, path, schema=nested.schema)
     return trend.trending(read, text_field("twitter-sample"))
@@ -104,21 +104,21 @@ def trend_conversations(spark: SparkSession, sf: str) -> DataFrame:
 @QUERIES
 def trend_by_lang(spark: SparkSession, sf: str) -> DataFrame:
     """Word counts by language."""
-    return trend.word_counts(table(spark, sf, "documents"), "text", by=["lang"])
+    return trend.word_counts(spread_table(spark, sf, "documents", "text", "lang"), "text", by=["lang"])
 
 
 @QUERIES
 def trend_top100(spark: SparkSession, sf: str) -> DataFrame:
     """The hundred most frequent words."""
-    return trend.trending(table(spark, sf, "documents"), "text", top=100)
+    return trend.trending(spread_table(spark, sf, "documents", "text"), "text", top=100)
 
 
 @QUERIES
 def trend_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A5: the trend table written over an older one and read back."""
     path = scratch_path(spark, "trends")
-    write_table(trend.word_counts(table(spark, sf, "documents"), "text"), path)
-    write_table(trend.trending(table(spark, sf, "pages"), "html"), path)
+    write_table(trend.word_counts(spread_table(spark, sf, "documents", "text"), "text"), path)
+    write_table(trend.trending(spread_table(spark, sf, "pages", "html"), "html"), path)
     return spark.read.parquet(path)
 
 
@@ -137,7 +137,7 @@ ORACLES["ingest_twice"] = "SELECT doc_id, lang, n_chars FROM documents"
 @QUERIES
 def clean_text_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaned text of each document, as a fingerprint of it."""
-    rows = table(spark, sf, "documents").filter(F.col("text").isNotNull())
+    rows = spread_table(spark, sf, "documents", "doc_id", "text").filter(F.col("text").isNotNull())
     clean = W.clean_steps(F.col("text"))
     return rows.select("doc_id", F.md5(clean).alias("digest"), F.length(clean).cast("bigint").alias("n_chars"))
 
@@ -151,7 +151,7 @@ ORACLES["clean_text_rows"] = (
 def _step(source: str, key: str, text: str, name: str, step, pattern: str) -> None:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         stripped = step(F.expr(text))
-        return table(spark, sf, source).select(key, F.md5(stripped).alias("digest"))
+        return spread_scan(table(spark, sf, source)).select(key, F.md5(stripped).alias("digest"))
 
     query.__name__, query.__doc__ = name, f"{name}: one cleaning step over whole texts."
     QUERIES(query)
@@ -169,7 +169,7 @@ _step("documents", "doc_id", "text", "letters_only", W.letters_only, "[^a-zA-Z]"
 @QUERIES
 def token_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """Words by language: all, long enough, and no stopwords."""
-    words = trend.tokens(table(spark, sf, "documents"), F.col("text"), ["lang"]).filter("word <> ''")
+    words = trend.tokens(spread_table(spark, sf, "documents", "text", "lang"), F.col("text"), ["lang"]).filter("word <> ''")
     long_enough = trend.min_length(words)
     kept = trend.drop_stopwords(long_enough)
     stages = {"1_words": words, "2_long": long_enough, "3_kept": kept}

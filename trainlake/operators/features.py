@@ -124,14 +124,22 @@ class LevelIndex:
         return self.table.filter(F.col("column") == column)
 
 
-def fit_index(train: DataFrame, columns: Sequence[str], window_rows: int = WINDOW_ROWS) -> LevelIndex:
-    """Number the levels of each column by falling frequency, equals by level."""
+def fit_index(
+    train: DataFrame,
+    columns: Sequence[str],
+    window_rows: int = WINDOW_ROWS,
+    partitions: int | None = None,
+) -> LevelIndex:
+    """Number the levels of each column by falling frequency, equals by level.
+
+    Above window_rows levels the numbering is spread over partitions.
+    """
     counts = materialise(level_counts(train, columns), "levels")
-    found = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_column = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["column"]: r["n"] for r in by_column.collect()}  # one row for each column
     sizes = {c: found.get(c, 0) for c in columns}
-    table = positions(
-        counts, "column", [F.desc("freq"), F.col("level")], "idx", max(sizes.values()), window_rows
-    )
+    order = [F.desc("freq"), F.col("level")]
+    table = positions(counts, "column", order, "idx", max(sizes.values()), window_rows, partitions)
     return LevelIndex(table, sizes)
 
 

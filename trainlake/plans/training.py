@@ -20,7 +20,7 @@ from trainlake.operators.impute import fit_imputation
 from trainlake.operators.models import Fitted, fit_pipeline
 from trainlake.operators.score import score
 from trainlake.operators.split import fold_column, hash_split
-from trainlake.session import get_session, materialise
+from trainlake.session import get_session, materialise, spread_scan
 from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, read_listing
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
@@ -55,7 +55,8 @@ def stage_rows(raw: DataFrame, spec: ListingSpec, key: Column | None = None) ->
     CSV text. Copies of a row without a key of its own share their key.
     """
     keyed = raw.withColumn("row_key", content_key(raw) if key is None else key)
-    return materialise(clean_listing(keyed, spec, key=["row_key"]).hint("rebalance"), "listing")
+    rows = clean_listing(keyed, spec, key=["row_key"]).hint("rebalance")
+    return spread_scan(materialise(rows, "listing"))
 
 
 def prepare(

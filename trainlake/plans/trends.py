@@ -7,10 +7,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from trainlake.operators.trend import trending
-from trainlake.session import get_session
+from trainlake.session import get_session, spread_scan
 from trainlake.sources.documents import collection_name, read_documents, text_field
 from trainlake.sources.tables import write_table
 
@@ -27,7 +27,7 @@ def run_trends(
     """Write all words by falling count to <target>/trends-<collection>, replacing it."""
     name = collection_name(file_name)
     field = text_field(name)
-    documents: DataFrame = read_documents(spark, source, source_format, **read_options)
+    documents = spread_scan(read_documents(spark, source, source_format, **read_options))
     path = f"{target.rstrip('/')}/trends-{name}"
     write_table(trending(documents, field), path, target_format)
     return path

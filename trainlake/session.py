@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _S3A = "spark.hadoop.fs.s3a."
 
@@ -95,3 +96,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan with at least one partition for each core, for work heavier than reading.
+
+    Only small or unsplittable inputs (one Parquet row group, compressed JSON)
+    have fewer and pay a shuffle for it; a large input comes back as it is. To be
+    used on fresh scans: their partitions are known without running anything, and
+    their row numbers are the same on every read, so that a hash of those spreads
+    any rows evenly, copies too, and needs no sort to be repeatable.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.monotonically_increasing_id())
