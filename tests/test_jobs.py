@@ -25,6 +25,10 @@ def houses(spark, tmp_path_factory):
     return read_listing(spark, str(path))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_preparation_is_complete_and_fits_on_train_only(houses):
     rows = training.stage_rows(houses, HOUSING)
     assert rows.count() == 588
@@ -34,6 +38,7 @@ def test_preparation_is_complete_and_fits_on_train_only(houses):
     assert set(data.roles.categorical) == {"address", "city"}
     assert {"living_area", "rooms_na"} <= set(data.roles.numeric)
     assert data.roles.excluded["row_key"] == "on request"
+    assert "PartitionFilters: [isnotnull(decile" in plan_of(data.parts[1])
     everything = training.prepare(rows, HOUSING, [0.8, 0.2], fit_scope="all", strategy="mean")
     assert sum(p.count() for p in everything.parts) == 588
 

@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
-from trainlake.operators.split import combine, fold_column, hash_split, random_split
+from trainlake.operators.split import (
+    bucket_folds, bucket_split, combine, fold_column, hash_split, random_split, with_buckets,
+)
 
 
 def test_parts_are_the_input_under_any_partitioning(spark):
@@ -13,6 +15,16 @@ def test_parts_are_the_input_under_any_partitioning(spark):
     assert abs(parts[0].count() - 3000) < 150
 
 
+def test_bucketed_split_and_folds_equal_the_hashed_ones(spark):
+    df = spark.range(3000).withColumn("key", F.when(F.col("id") > 5, F.col("id").cast("string")))
+    bucketed = with_buckets(df, F.col("key"))
+    for weights in ([0.8, 0.2], [0.6, 0.2, 0.2], [1, 1, 1], [0.05, 0.95]):
+        for a, b in zip(bucket_split(bucketed, weights), hash_split(df, F.col("key"), weights), strict=True):
+            assert a.select("id", "key").exceptAll(b).isEmpty() and a.count() == b.count()
+    folds = bucket_folds(bucketed.filter("key is not null"), 7).select("id", "key", "fold")
+    assert folds.exceptAll(fold_column(df, F.col("key"), 7)).isEmpty()
+
+
 def test_seed_changes_parts_and_null_keys_are_kept(spark):
     df = spark.range(1000).withColumn("key", F.when(F.col("id") > 10, F.col("id").cast("string")))
     one, two = (hash_split(df, F.col("key"), [0.5, 0.5], seed) for seed in (1, 2))

@@ -148,22 +148,21 @@ ORACLES["clean_text_rows"] = (
 )
 
 
-def _step(source: str, key: str, text: str, name: str, step, pattern: str) -> None:
+def _step(source: str, key: str, text: str, op: str, name: str, step, pattern: str) -> None:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         stripped = step(F.expr(text))
         return spread_scan(table(spark, sf, source)).select(key, F.md5(stripped).alias("digest"))
 
-    query.__name__, query.__doc__ = name, f"{name}: one cleaning step over whole texts."
+    query.__name__, query.__doc__ = name, f"{op}: one cleaning step over whole texts."
     QUERIES(query)
     sql = f"trim(regexp_replace({text}, '{pattern}', ' ', 'g'))"
     ORACLES[name] = f"SELECT {key}, md5({sql}) AS digest FROM {source}"
 
 
-# B9, B10, B11, B12, each on its own.
-_step("pages", "page_id", "concat_ws(' ', url, html, url)", "strip_urls", W.strip_urls, r"http\S+")
-_step("pages", "page_id", "html", "strip_punct", W.strip_punct, "[[:punct:]]")
-_step("documents", "doc_id", "text", "strip_digits", W.strip_digits, "[0-9]")
-_step("documents", "doc_id", "text", "letters_only", W.letters_only, "[^a-zA-Z]")
+_step("pages", "page_id", "concat_ws(' ', url, html, url)", "B9", "strip_urls", W.strip_urls, r"http\S+")
+_step("pages", "page_id", "html", "B10", "strip_punct", W.strip_punct, "[[:punct:]]")
+_step("documents", "doc_id", "text", "B11", "strip_digits", W.strip_digits, "[0-9]")
+_step("documents", "doc_id", "text", "B12", "letters_only", W.letters_only, "[^a-zA-Z]")
 
 
 @QUERIES

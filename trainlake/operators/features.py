@@ -17,6 +17,7 @@ from trainlake.operators.ranks import WINDOW_ROWS, positions
 from trainlake.session import materialise
 
 BROADCAST_LEVELS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 # --- roles -----------------------------------------------------------------
@@ -115,10 +116,12 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class LevelIndex:
-    """Index table (column, level, freq, idx) and the number of levels by column."""
+    """Index table (column, level, freq, idx); by column, the number of levels and
+    the bytes of the longest."""
 
     table: DataFrame
     sizes: Mapping[str, int]
+    widths: Mapping[str, int]
 
     def of(self, column: str) -> DataFrame:
         return self.table.filter(F.col("column") == column)
@@ -135,12 +138,15 @@ def fit_index(
     Above window_rows levels the numbering is spread over partitions.
     """
     counts = materialise(level_counts(train, columns), "levels")
-    by_column = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    found = {r["column"]: r["n"] for r in by_column.collect()}  # one row for each column
-    sizes = {c: found.get(c, 0) for c in columns}
+    by_column = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.octet_length("level")).alias("width")
+    )
+    found = {r["column"]: r for r in by_column.collect()}  # one row for each column
+    sizes = {c: found[c]["n"] if c in found else 0 for c in columns}
+    widths = {c: found[c]["width"] if c in found else 0 for c in columns}
     order = [F.desc("freq"), F.col("level")]
     table = positions(counts, "column", order, "idx", max(sizes.values()), window_rows, partitions)
-    return LevelIndex(table, sizes)
+    return LevelIndex(table, sizes, widths)
 
 
 def apply_index(
@@ -167,6 +173,8 @@ def apply_index(
 
 def _lookup(df: DataFrame, index: LevelIndex, c: str, out: str, limit: int) -> DataFrame:
     levels = index.of(c).select(F.col("level").alias("_level"), F.col("idx").alias("_idx"))
+    # What is broadcast is bounded in rows and, by the longest level, in bytes.
+    limit = min(limit, BROADCAST_BYTES // max(index.widths[c], 1))
     if index.sizes[c] <= limit:
         joined = df.join(F.broadcast(levels), F.col(c) == F.col("_level"), "left")
         return joined.withColumnRenamed("_idx", out).drop("_level")

@@ -11,10 +11,18 @@ from pyspark.sql import functions as F
 from trainlake.functions.buckets import BUCKETS, hash_bucket
 
 
+DECILE = BUCKETS // 10
+
+
+def bucket_edges(weights: Sequence[float]) -> list[int]:
+    """Bucket numbers where the parts begin, and the end."""
+    total = sum(weights)
+    return [0] + [round(BUCKETS * edge / total) for edge in itertools.accumulate(weights)]
+
+
 def split_index(key: Column, weights: Sequence[float], seed: int = 42) -> Column:
     """The number of the part a row belongs to: 0, 1, ..."""
-    total = sum(weights)
-    cuts = [round(BUCKETS * edge / total) for edge in itertools.accumulate(weights)][:-1]
+    cuts = bucket_edges(weights)[1:-1]
     bucket = hash_bucket(key, seed)
     part = F.lit(len(weights) - 1)
     for number, cut in reversed(list(enumerate(cuts))):
@@ -34,6 +42,25 @@ def hash_split(
     return [df.filter(part == number) for number in range(len(weights))]
 
 
+def with_buckets(df: DataFrame, key: Column, seed: int = 42) -> DataFrame:
+    """Add the row's bucket and its decile, a partition column for a table that
+    is to be split again and again."""
+    bucket = F.coalesce(hash_bucket(key, seed), F.lit(BUCKETS - 1)).cast("int")
+    return df.withColumn("bucket", bucket).withColumn("decile", (F.col("bucket") / DECILE).cast("int"))
+
+
+def bucket_split(df: DataFrame, weights: Sequence[float]) -> list[DataFrame]:
+    """hash_split of a frame with buckets; of a table partitioned by decile each
+    part reads its own deciles only."""
+    edges = bucket_edges(weights)
+    return [
+        df.filter(F.col("decile").between(low // DECILE, max(high - 1, 0) // DECILE))
+        .filter((F.col("bucket") >= low) & (F.col("bucket") < high))
+        .drop("decile")
+        for low, high in itertools.pairwise(edges)
+    ]
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
     """Spark's own split, for data without a key; depends on the partitioning."""
     return df.randomSplit(list(weights), seed=seed)
@@ -46,6 +73,11 @@ def fold_column(
     return df.withColumn(name, (hash_bucket(key, seed) % folds).cast("int"))
 
 
+def bucket_folds(df: DataFrame, folds: int = 3, name: str = "fold") -> DataFrame:
+    """fold_column of a frame with buckets."""
+    return df.withColumn(name, F.col("bucket") % folds)
+
+
 def combine(*frames: DataFrame) -> DataFrame:
     """Union by column name."""
     out = frames[0]

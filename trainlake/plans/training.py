@@ -19,8 +19,8 @@ from trainlake.operators.features import Roles, column_roles
 from trainlake.operators.impute import fit_imputation
 from trainlake.operators.models import Fitted, fit_pipeline
 from trainlake.operators.score import score
-from trainlake.operators.split import fold_column, hash_split
-from trainlake.session import get_session, materialise, spread_scan
+from trainlake.operators.split import bucket_folds, bucket_split, with_buckets
+from trainlake.session import get_session, materialise
 from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, read_listing
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
@@ -48,22 +48,24 @@ def content_key(df: DataFrame) -> Column:
     return F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
 
 
-def stage_rows(raw: DataFrame, spec: ListingSpec, key: Column | None = None) -> DataFrame:
-    """Clean listing rows with a row_key, written once as columns.
+def stage_rows(
+    raw: DataFrame, spec: ListingSpec, key: Column | None = None, seed: int = 42
+) -> DataFrame:
+    """Clean listing rows with a row_key and split buckets, written once.
 
     Every later pass (fill values, checks, each fit) reads this table, not the
-    CSV text. Copies of a row without a key of its own share their key.
+    CSV text, and of it the columns and deciles it needs. Copies of a row without
+    a key of its own share their key.
     """
     keyed = raw.withColumn("row_key", content_key(raw) if key is None else key)
-    rows = clean_listing(keyed, spec, key=["row_key"]).hint("rebalance")
-    return spread_scan(materialise(rows, "listing"))
+    rows = with_buckets(clean_listing(keyed, spec, key=["row_key"]), F.col("row_key"), seed)
+    return materialise(rows.hint("rebalance", "decile"), "listing", partition_by=["decile"])
 
 
 def prepare(
     rows: DataFrame,
     spec: ListingSpec,
     weights: Sequence[float],
-    seed: int = 42,
     strategy: str = "median",
     fit_scope: str = "train",
     relative_error: float | None = None,
@@ -73,11 +75,11 @@ def prepare(
     Fill values come from the first part, the training rows, unless fit_scope is
     "all".
     """
-    parts = hash_split(rows, F.col("row_key"), weights, seed)
+    parts = bucket_split(rows, weights)
     fit_rows = {"train": parts[0], "all": rows}[fit_scope]
     fill = fit_imputation(fit_rows, spec.impute, strategy, relative_error)
     filled = [fill.apply(part) for part in parts]
-    roles = column_roles(filled[0], spec.label, exclude=["row_key"])
+    roles = column_roles(filled[0], spec.label, exclude=["row_key", "bucket"])
     return Prepared(filled, spec, roles)
 
 
@@ -115,7 +117,7 @@ def train_forest_cv(store: TableStore, data: Prepared, folds: int = 3, scope: st
     train, test = data.parts
     run_id = runs.start_run(store, EXPERIMENT, "forest_grid_cv")
     result = tune.grid_cv(
-        fold_column(train, F.col(data.key), folds), data.roles, models.forest(data.spec.label),
+        bucket_folds(train, folds), data.roles, models.forest(data.spec.label),
         tune.grid(**FOREST_GRID), folds, scope=scope,
     )
     runs.log_params(store, run_id, {f"best.{k}": v for k, v in result.params.items()})
@@ -153,7 +155,7 @@ def train_automl(
     train, test = data.parts
     run_id = runs.start_run(store, EXPERIMENT, "automl")
     result = automl.sweep(
-        fold_column(train, F.col(data.key), folds), data.roles, data.spec.label,
+        bucket_folds(train, folds), data.roles, data.spec.label,
         max_models=max_models, folds=folds, sort_metric=sort_metric,
     )
     runs.log_table(store, run_id, result.leaderboard, "leaderboard")

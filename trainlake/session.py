@@ -86,15 +86,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/trainlake/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the rows once below the shared folder and read them back.
 
-    Used for small-by-construction results (levels, trials) that several later
-    plans read: the source is scanned once, a lost executor cannot change what
-    was decided from them, and the reader knows their size.
+    For results that several later plans read (levels of a category, clean rows):
+    the source is scanned once, a lost executor cannot change what was decided
+    from them, and the reader knows their size.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -123,15 +123,6 @@ def list_experiments(runs: DataFrame) -> DataFrame:
     )
 
 
-def latest_values(logged: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
-    """(run_id, key, value): the value logged last for each key of a run.
-
-    An aggregate, not a window: values of one run combine ahead of the shuffle.
-    """
-    when = F.struct("logged_at", *tie, "value")
-    return logged.groupBy("run_id", "key").agg(F.max_by("value", when).alias("value"))
-
-
 def search_runs(
     runs: DataFrame,
     metrics: DataFrame,
@@ -141,7 +132,8 @@ def search_runs(
     metric_keys: Sequence[str] | None = None,
     param_keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One wide row for each run: metrics.<key> and params.<key> columns.
+    """One wide row for each run: metrics.<key> and params.<key> columns, each with
+    the value logged last.
 
     Give the keys when they are known; otherwise they are looked up first.
     """
@@ -150,8 +142,20 @@ def search_runs(
     if params is not None:
         parts.append(("params", params, param_keys))
     for prefix, logged, keys in parts:
-        latest = latest_values(logged, tie)
-        pivoted = latest.groupBy("run_id").pivot("key", list(keys) if keys else None).agg(F.first("value"))
-        named = [F.col(f"`{k}`").alias(f"{prefix}.{k}") for k in pivoted.columns if k != "run_id"]
-        wide = wide.join(pivoted.select("run_id", *named), "run_id", "left")
+        wide = wide.join(_latest_by_run(logged, prefix, keys or logged_keys(logged), tie), "run_id", "left")
     return wide
+
+
+def logged_keys(logged: DataFrame) -> list[str]:
+    """The distinct keys; few, since each becomes a column."""
+    return [r["key"] for r in logged.select("key").distinct().orderBy("key").collect()]
+
+
+def _latest_by_run(logged: DataFrame, prefix: str, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
+    """One aggregation for all keys: the values of a run combine ahead of the only
+    shuffle, whose partitioning the join to the runs then uses."""
+    when = F.struct("logged_at", *tie, "value")
+    latest = [
+        F.max_by("value", F.when(F.col("key") == k, when)).alias(f"{prefix}.{k}") for k in keys
+    ]
+    return logged.groupBy("run_id").agg(*latest) if latest else logged.select("run_id").distinct()
