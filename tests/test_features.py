@@ -42,7 +42,7 @@ def test_head_and_tail_lookup_equal_the_broadcast(spark):
         F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 11 == 0, None)
         .otherwise((F.col("id") % 300).cast("string")).alias("s"), "id",
     )
-    index = feat.fit_index(df.filter("id < 3000"), ["s"])
+    index = feat.fit_index(df.filter("id < 3000"), ["s"], window_rows=50)
     for mode in ("skip", "keep"):
         small = feat.apply_index(df, index, on_unknown=mode)
         split = feat.apply_index(df, index, on_unknown=mode, broadcast_levels=20)

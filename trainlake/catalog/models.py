@@ -21,9 +21,9 @@ from trainlake.operators.evaluate import feature_importance, permutation_importa
 from trainlake.operators.features import Roles
 from trainlake.operators.models import Fitted, fit_pipeline
 from trainlake.operators.score import score
-from trainlake.operators.split import fold_column, hash_split
+from trainlake.operators.split import bucket_folds, bucket_split, fold_column, with_buckets
 from trainlake.plans import training
-from trainlake.session import scratch_path
+from trainlake.session import materialise, scratch_path
 from trainlake.streaming.score import read_stream, score_stream
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
@@ -40,6 +40,17 @@ SQL_FLAG_MEAN = (
 )
 
 
+def staged_signal(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows with a learnable label, written once: fits read them many times."""
+    keyed = with_buckets(signal(spark, sf), F.col("row_key"))
+    return materialise(keyed.hint("rebalance", "decile"), "signal", partition_by=["decile"])
+
+
+def staged_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Key, flag and price of the order lines, written once."""
+    return materialise(keyed_lines(spark, sf).select("row_key", "l_returnflag", LABEL), "prices")
+
+
 def _flag_scores(rows: DataFrame, estimator) -> DataFrame:
     fitted = fit_pipeline(rows, FLAG, estimator)
     return score(fitted.model, rows, ["row_key"]).withColumn("prediction", F.round("prediction", 3))
@@ -53,13 +64,13 @@ def one_tree(label: str):
 @QUERIES
 def forest_group_mean(spark: SparkSession, sf: str) -> DataFrame:
     """A forest of one tree predicts the means of its category."""
-    return _flag_scores(keyed_lines(spark, sf), one_tree(LABEL))
+    return _flag_scores(staged_prices(spark, sf), one_tree(LABEL))
 
 
 @QUERIES
 def boosted_group_mean(spark: SparkSession, sf: str) -> DataFrame:
     """So does boosting, whose further trees find no error left."""
-    return _flag_scores(keyed_lines(spark, sf), models.boosted(LABEL, maxIter=2, maxDepth=2))
+    return _flag_scores(staged_prices(spark, sf), models.boosted(LABEL, maxIter=2, maxDepth=2))
 
 
 ORACLES["forest_group_mean"] = ORACLES["boosted_group_mean"] = SQL_FLAG_MEAN
@@ -107,13 +118,13 @@ ORACLES["grid_cv_trials"] = (
 @QUERIES
 def grid_cv_best(spark: SparkSession, sf: str) -> DataFrame:
     """The forest grid, cross-validated; mean errors by trial."""
-    rows = fold_column(signal(spark, sf), F.col("row_key"), 3)
+    rows = bucket_folds(staged_signal(spark, sf), 3)
     result = tune.grid_cv(rows, FEATURES, models.forest("y"), tune.grid(**training.FOREST_GRID), folds=3)
     return tune.cv_summary(result.trials)
 
 
 def _searched(spark: SparkSession, sf: str, propose: str, evaluations: int) -> tune.SearchResult:
-    parts = hash_split(signal(spark, sf), F.col("row_key"), [0.6, 0.2, 0.2])
+    parts = bucket_split(staged_signal(spark, sf), [0.6, 0.2, 0.2])
     space = {"maxDepth": tune.Quantised(2, 5), "numTrees": tune.Quantised(5, 20)}
     return tune.search_validated(*parts, FEATURES, models.forest("y"), space, evaluations, propose=propose)
 
@@ -137,7 +148,7 @@ def search_refit(spark: SparkSession, sf: str) -> DataFrame:
 @QUERIES
 def automl_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """A sweep over three tree models."""
-    rows = fold_column(signal(spark, sf), F.col("row_key"), 3)
+    rows = bucket_folds(staged_signal(spark, sf), 3)
     return automl.sweep(rows, FEATURES, "y", max_models=3).leaderboard
 
 
@@ -148,21 +159,21 @@ def _forest(rows: DataFrame) -> Fitted:
 @QUERIES
 def forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """A forest trained on four fifths, tested on the rest."""
-    train, test = hash_split(signal(spark, sf), F.col("row_key"), [0.8, 0.2])
+    train, test = bucket_split(staged_signal(spark, sf), [0.8, 0.2])
     return regression_metrics(_forest(train).model.transform(test), "y")
 
 
 @QUERIES
 def feature_importance_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Columns by how much they reduce impurity."""
-    fitted = _forest(signal(spark, sf))
+    fitted = _forest(staged_signal(spark, sf))
     return feature_importance(fitted.model, fitted.inputs, k=3)
 
 
 @QUERIES
 def permutation_gain(spark: SparkSession, sf: str) -> DataFrame:
     """Columns by the error their shuffling adds."""
-    rows = signal(spark, sf)
+    rows = staged_signal(spark, sf)
     fitted = _forest(rows)
     columns = [*FEATURES.categorical, *FEATURES.numeric]
     return permutation_importance(fitted.model, rows, "y", columns, F.col("row_key"))
@@ -172,7 +183,7 @@ def permutation_gain(spark: SparkSession, sf: str) -> DataFrame:
 def score_registered(spark: SparkSession, sf: str) -> DataFrame:
     """A logged model, registered, put in production and found by name."""
     store = TableStore(spark, scratch_path(spark, "registry"))
-    rows = keyed_lines(spark, sf)
+    rows = staged_prices(spark, sf)
     for estimator in (models.linear(LABEL), one_tree(LABEL)):
         fitted = fit_pipeline(rows, FLAG, estimator)
         run_id = runs.start_run(store, "prices")
@@ -186,8 +197,7 @@ def score_registered(spark: SparkSession, sf: str) -> DataFrame:
 @QUERIES
 def score_stream_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The same model over a stream of files."""
-    rows = keyed_lines(spark, sf)
-    fitted = fit_pipeline(rows, FLAG, one_tree(LABEL))
+    fitted = fit_pipeline(staged_prices(spark, sf), FLAG, one_tree(LABEL))
     out, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "progress")
     source = table(spark, sf, "lineitem")
     # A pattern, since a stream source takes a folder or a pattern but no single file.

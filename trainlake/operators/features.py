@@ -145,7 +145,10 @@ def fit_index(
     sizes = {c: found[c]["n"] if c in found else 0 for c in columns}
     widths = {c: found[c]["width"] if c in found else 0 for c in columns}
     order = [F.desc("freq"), F.col("level")]
-    table = positions(counts, "column", order, "idx", max(sizes.values()), window_rows, partitions)
+    largest = max(sizes.values())
+    table = positions(counts, "column", order, "idx", largest, window_rows, partitions)
+    if largest > window_rows:  # numbered once, not for each lookup
+        table = materialise(table, "index", partition_by=["column"])
     return LevelIndex(table, sizes, widths)
 
 

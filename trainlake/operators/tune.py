@@ -31,7 +31,8 @@ def grid(**values: Sequence) -> list[dict]:
 
 def with_params(estimator: Estimator, params: Params) -> Estimator:
     """A copy with the parameters set; whole floats are fine for integer parameters."""
-    return estimator.copy({estimator.getParam(name): value for name, value in params.items()})
+    named = {estimator.getParam(name): value for name, value in params.items()}
+    return estimator.copy({p: p.typeConverter(value) for p, value in named.items()})
 
 
 def fit_all(
