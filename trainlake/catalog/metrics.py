@@ -26,11 +26,11 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in df.columns if c in ROUNDED})
 
 
-def _sql_metrics(scored: str, by: str = "") -> str:
-    keys = f"{by}, " if by else ""
+def sql_metrics(scored: str, by: str = "", digits: int = 4) -> str:
+    keys, d = f"{by}, " if by else "", digits
     return (
-        f"SELECT {keys}count(*) AS n, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(e * e), 4) AS mse, "
-        "round(avg(abs(e)), 4) AS mae, round(1 - avg(e * e) / var_pop(y), 4) AS r2 "
+        f"SELECT {keys}count(*) AS n, round(sqrt(avg(e * e)), {d}) AS rmse, round(avg(e * e), {d}) AS mse, "
+        f"round(avg(abs(e)), {d}) AS mae, round(1 - avg(e * e) / var_pop(y), {d}) AS r2 "
         f"FROM (SELECT *, y - p AS e FROM ({scored})) GROUP BY ALL"
     )
 
@@ -48,7 +48,7 @@ def metrics_group_mean(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(regression_metrics(with_group_mean(lines, "l_returnflag", LABEL), LABEL))
 
 
-ORACLES["metrics_group_mean"] = _sql_metrics(
+ORACLES["metrics_group_mean"] = sql_metrics(
     f"SELECT {LABEL} AS y, avg({LABEL}) OVER (PARTITION BY l_returnflag) AS p FROM lineitem"
 )
 
@@ -61,7 +61,7 @@ def metrics_by_segment(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(regression_metrics(scored, LABEL, by=["l_linestatus"]))
 
 
-ORACLES["metrics_by_segment"] = _sql_metrics(
+ORACLES["metrics_by_segment"] = sql_metrics(
     f"SELECT l_linestatus, {LABEL} AS y, avg({LABEL}) OVER (PARTITION BY l_quantity) AS p FROM lineitem",
     "l_linestatus",
 )

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
 from trainlake.catalog.listing import KEY, SPEC, raw_listing
-from trainlake.catalog.metrics import LABEL, rounded, signal, sql_fold_means
-from trainlake.catalog.splits import keyed_lines
+from trainlake.catalog.metrics import LABEL, rounded, signal, sql_fold_means, sql_metrics
+from trainlake.catalog.splits import SQL_BUCKET, SQL_KEY, keyed_lines
 from trainlake.functions.buckets import row_key
 from trainlake.operators import automl, models, tune
 from trainlake.operators.evaluate import feature_importance, permutation_importance, regression_metrics
@@ -24,6 +24,7 @@ from trainlake.operators.score import score
 from trainlake.operators.split import bucket_folds, bucket_split, fold_column, with_buckets
 from trainlake.plans import training
 from trainlake.session import materialise, scratch_path
+from trainlake.sources.listing import ListingSpec
 from trainlake.streaming.score import read_stream, score_stream
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
@@ -123,35 +124,82 @@ def grid_cv_best(spark: SparkSession, sf: str) -> DataFrame:
     return tune.cv_summary(result.trials)
 
 
-def _searched(spark: SparkSession, sf: str, propose: str, evaluations: int) -> tune.SearchResult:
-    parts = bucket_split(staged_signal(spark, sf), [0.6, 0.2, 0.2])
-    space = {"maxDepth": tune.Quantised(2, 5), "numTrees": tune.Quantised(5, 20)}
-    return tune.search_validated(*parts, FEATURES, models.forest("y"), space, evaluations, propose=propose)
+def _searched(spark: SparkSession, sf: str, propose) -> tune.SearchResult:
+    """A search among trees that all separate the flags, so that each predicts their means."""
+    keyed = with_buckets(staged_prices(spark, sf), F.col("row_key"))
+    space = {"maxDepth": tune.Quantised(2, 5)}
+    return tune.search_validated(
+        *bucket_split(keyed, [0.6, 0.2, 0.2]), FLAG, models.tree(LABEL), space, 4, propose=propose
+    )
+
+
+def sql_holdout(fit: str, test: str) -> str:
+    """(y, p): labels of the test buckets and means of their flag in the fitted ones."""
+    return (
+        f"SELECT {LABEL} AS y, p FROM lineitem JOIN (SELECT l_returnflag AS g, avg({LABEL}) AS p FROM lineitem "
+        f"WHERE {SQL_BUCKET} {fit} GROUP BY ALL) ON g = l_returnflag WHERE {SQL_BUCKET} {test}"
+    )
 
 
 @QUERIES
 def search_trials(spark: SparkSession, sf: str) -> DataFrame:
-    """Errors of randomly proposed forests on the validation rows."""
-    return _searched(spark, sf, "random", 3).trials
+    """Errors of random proposals on the validation rows."""
+    trials = _searched(spark, sf, "random").trials
+    return trials.select("trial_id", F.round("rmse", 3).alias("rmse"))
+
+
+ORACLES["search_trials"] = (
+    "SELECT CAST(trial_id AS INT) AS trial_id, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse FROM "
+    f"({sql_holdout('< 600', 'BETWEEN 600 AND 799')}), range(4) t(trial_id) GROUP BY trial_id"
+)
 
 
 @QUERIES
 def search_refit(spark: SparkSession, sf: str) -> DataFrame:
-    """The best proposal refitted on train and validation, and its test metrics."""
+    """The best guided proposal refitted on train and validation, and its test metrics."""
 
     def propose(space, history, rng):
         return tune.propose_parzen(space, history, rng, startup=2)
 
-    return _searched(spark, sf, propose, 3).test_metrics
+    return rounded(_searched(spark, sf, propose).test_metrics, 3)
+
+
+ORACLES["search_refit"] = sql_metrics(sql_holdout("< 800", ">= 800"), digits=3)
+
+
+@QUERIES
+def search_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """H3 H4: forests with all features; proposals and errors."""
+    parts = bucket_split(staged_signal(spark, sf), [0.6, 0.2, 0.2])
+    space = {"maxDepth": tune.Quantised(2, 5), "numTrees": tune.Quantised(5, 20)}
+    return tune.search_validated(*parts, FEATURES, models.forest("y"), space, 3).trials
 
 
 @QUERIES
 def automl_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
-    """A sweep over three tree models."""
+    """A sweep over three tree models with all features."""
     rows = bucket_folds(staged_signal(spark, sf), 3)
     return automl.sweep(rows, FEATURES, "y", max_models=3).leaderboard
 
 
+@QUERIES
+def automl_flag_means(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree, a linear and a generalised model that all predict the flag means."""
+    rows = fold_column(staged_prices(spark, sf), F.col("row_key"), 3)
+    board = automl.sweep(rows, FLAG, LABEL, exclude=["boosted", "forest"], max_models=3).leaderboard
+    # Unknown levels make one slot too many for an exact solution; the squared error shows it.
+    return rounded(board.drop("mse", "fit_seconds"), 3)
+
+
+ORACLES["automl_flag_means"] = (
+    "SELECT algo || '_1' AS model_id, algo, round(avg(rmse), 3) AS rmse, "
+    "round(avg(mae), 3) AS mae, round(avg(r2), 3) AS r2 FROM (SELECT fold, sqrt(avg(e * e)) AS rmse, "
+    "avg(abs(e)) AS mae, 1 - avg(e * e) / var_pop(y) AS r2 "
+    f"FROM (SELECT *, y - p AS e FROM ({sql_fold_means('l_returnflag')})) GROUP BY fold), "
+    "(VALUES ('tree'), ('linear'), ('glm')) a(algo) GROUP BY algo"
+)
+
+
 def _forest(rows: DataFrame) -> Fitted:
     return fit_pipeline(rows, FEATURES, models.forest("y", numTrees=10))
 
@@ -179,6 +227,27 @@ def permutation_gain(spark: SparkSession, sf: str) -> DataFrame:
     return permutation_importance(fitted.model, rows, "y", columns, F.col("row_key"))
 
 
+@QUERIES
+def permutation_flag(spark: SparkSession, sf: str) -> DataFrame:
+    """The error when rows borrow the flag of another row."""
+    rows = staged_prices(spark, sf)
+    fitted = fit_pipeline(rows, FLAG, one_tree(LABEL))
+    table_ = permutation_importance(fitted.model, rows, LABEL, ["l_returnflag"], F.col("row_key"))
+    return table_.select("feature", F.round("rmse", 3).alias("rmse"), F.round("rmse_gain", 3).alias("rmse_gain"))
+
+
+ORACLES["permutation_flag"] = f"""
+WITH k AS (SELECT {SQL_KEY} AS row_key, l_returnflag AS flag, {LABEL} AS y,
+             CAST('0x' || substr(md5('42:' || {SQL_KEY}), 1, 8) AS BIGINT)
+               % greatest(1, (SELECT count(*) // 10000 FROM lineitem)) AS bucket FROM lineitem),
+w AS (SELECT *, coalesce(lead(flag) OVER (PARTITION BY bucket ORDER BY md5('42/' || row_key), row_key),
+        first_value(flag) OVER (PARTITION BY bucket ORDER BY md5('42/' || row_key), row_key)) AS other FROM k),
+m AS (SELECT flag AS g, avg(y) AS p FROM k GROUP BY flag),
+s AS (SELECT sqrt(avg((y - own.p) * (y - own.p))) AS base, sqrt(avg((y - lent.p) * (y - lent.p))) AS rmse
+      FROM w JOIN m own ON own.g = flag JOIN m lent ON lent.g = other)
+SELECT 'l_returnflag' AS feature, round(rmse, 3) AS rmse, round(rmse - base, 3) AS rmse_gain FROM s"""
+
+
 @QUERIES
 def score_registered(spark: SparkSession, sf: str) -> DataFrame:
     """A logged model, registered, put in production and found by name."""
@@ -228,3 +297,29 @@ def training_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("`metrics.r2`").alias("r2"),
         F.col("`params.label`").alias("label"),
     )
+
+
+FLAG_SPEC = ListingSpec(keep=("price", "returnflag"), impute=())
+
+
+@QUERIES
+def training_flag_means(spark: SparkSession, sf: str) -> DataFrame:
+    """Jobs with one category, whose test metrics SQL can tell."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    rows = training.stage_rows(raw_listing(spark, sf), FLAG_SPEC, F.col("row_key"))
+    data = training.prepare(rows, FLAG_SPEC, [0.8, 0.2])
+    for algo in ("linear", "tree"):
+        training.train_simple(store, data, algo, algo)
+    found = runs.search_runs(
+        store.read("runs"), store.read("metrics"), experiment=training.EXPERIMENT, metric_keys=["rmse", "r2"]
+    )
+    return found.select(
+        "run_name", F.round(F.col("`metrics.rmse`"), 3).alias("rmse"), F.round(F.col("`metrics.r2`"), 3).alias("r2")
+    )
+
+
+ORACLES["training_flag_means"] = (
+    "SELECT run_name, round(sqrt(avg((y - p) * (y - p))), 3) AS rmse, "
+    f"round(1 - avg((y - p) * (y - p)) / var_pop(y), 3) AS r2 FROM ({sql_holdout('< 800', '>= 800')}), "
+    "(VALUES ('linear'), ('tree')) r(run_name) GROUP BY run_name"
+)

@@ -35,7 +35,9 @@ def fit_imputation(
 
     Given a relative error, the median is one sketch pass; without it, exact.
     """
-    if strategy == "median" and relative_error is None:
+    if not columns:
+        values = {}
+    elif strategy == "median" and relative_error is None:
         values = exact_quantiles(train, columns)
     elif strategy == "median":
         values = _sketched_medians(train, columns, relative_error)
