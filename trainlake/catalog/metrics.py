@@ -14,6 +14,7 @@ from trainlake.operators.models import fit_pipeline
 from trainlake.operators.score import score
 from trainlake.operators.split import fold_column
 from trainlake.operators.tune import cv_summary
+from trainlake.session import materialise
 
 QUERIES = Queries()
 ORACLES: dict[str, str] = {}
@@ -36,9 +37,13 @@ def sql_metrics(scored: str, by: str = "", digits: int = 4) -> str:
 
 
 def with_group_mean(rows: DataFrame, group: str, label: str) -> DataFrame:
-    """Predict the mean label of the row's group."""
+    """Predict the mean label of the row's group.
+
+    The means are written first: their size is then known, so that the join is a
+    broadcast only if they are small, and rows do not move for a few groups.
+    """
     means = rows.groupBy(group).agg(F.avg(label).alias("prediction"))
-    return rows.join(means, group)
+    return rows.join(materialise(means, "means"), group)
 
 
 @QUERIES

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trainlake.operators import models
 from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER
 from trainlake.operators.features import Roles
-from trainlake.operators.models import Fitted, fit_pipeline
+from trainlake.operators.models import Fitted, fit_features, fit_on_features
 from trainlake.operators.tune import cross_validate
 
 # Tree ensembles first, as they win most often on tabular data; each family goes
@@ -75,13 +75,15 @@ def sweep(
     listed = candidates(label, exclude, max_models)
     if not listed:
         raise ValueError("no candidate is left")
-    rows = []
+    rows, features = [], {}
     for one_hot in (True, False):
         group = [c for c in listed if (c.algo in LINEAR_FAMILIES) == one_hot]
         if not group:
             continue
+        features[one_hot] = fit_features(train, roles, one_hot, **options)
         trials = cross_validate(
-            train, roles, [c.estimator for c in group], folds, one_hot, parallelism=parallelism, **options
+            train, roles, [c.estimator for c in group], folds, one_hot,
+            parallelism=parallelism, features=features[one_hot],
         )
         for i, candidate in enumerate(group):
             mine = [t for t in trials if t["trial_id"] == i]
@@ -91,7 +93,7 @@ def sweep(
     board = leaderboard(train.sparkSession.createDataFrame(rows, schema), sort_metric)
     best_id = board.first()["model_id"]
     winner = next(c for c in listed if c.model_id == best_id)
-    fitted = fit_pipeline(train, roles, winner.estimator, winner.algo in LINEAR_FAMILIES, **options)
+    fitted = fit_on_features(train, features[winner.algo in LINEAR_FAMILIES], winner.estimator)
     return SweepResult(fitted, best_id, board)
 
 

@@ -62,21 +62,23 @@ def cross_validate(
     scope: str = "estimator",
     parallelism: int = 4,
     fold: str = FOLD,
+    features: Fitted | None = None,
     **options,
 ) -> list[dict]:
     """One row for each estimator and fold: trial_id, fold, n, the metrics, fit_seconds.
 
     `train` has its fold number in a column. With scope "estimator" the feature
-    stages are fitted once, on all folds; with "pipeline" again for each fold,
-    without its rows. The feature rows are kept in memory or on local disk while
+    stages are fitted once, on all folds (or given, if they are already); with
+    "pipeline" again for each fold, without its rows. The feature rows are kept in memory or on local disk while
     the fits run, and one scan scores all models of a fold.
     """
     if scope not in ("estimator", "pipeline"):
         raise ValueError(f"scope is 'estimator' or 'pipeline', not {scope!r}")
     label = estimators[0].getLabelCol()
-    features = None
-    if scope == "estimator":
-        features = fit_features(train, roles, one_hot, **options)
+    if scope == "pipeline":
+        features = None
+    else:
+        features = features or fit_features(train, roles, one_hot, **options)
         train = features.model.transform(train).select("features", label, fold)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     trials = []
@@ -133,16 +135,19 @@ def grid_cv(
     folds: int = 3,
     metric: str = "rmse",
     one_hot: bool = False,
+    scope: str = "estimator",
+    parallelism: int = 4,
     **options,
 ) -> GridResult:
     """The parameters with the best mean metric over the folds, refitted on all rows."""
     candidates = [with_params(estimator, p) for p in param_grid]
-    rows = cross_validate(train, roles, candidates, folds, one_hot, **options)
+    features = fit_features(train, roles, one_hot, **options)
+    rows = cross_validate(
+        train, roles, candidates, folds, one_hot, scope, parallelism, features=features, **options
+    )
     trials = trial_table(train.sparkSession, rows)
     best = cv_summary(trials, metric).first()["trial_id"]
-    features = {k: v for k, v in options.items() if k in ("max_levels", "on_unknown", "on_null")}
-    fitted = fit_pipeline(train, roles, candidates[best], one_hot, **features)
-    return GridResult(fitted, param_grid[best], trials)
+    return GridResult(fit_on_features(train, features, candidates[best]), param_grid[best], trials)
 
 
 # --- sequential search --------------------------------------------------------
