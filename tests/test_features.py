@@ -79,6 +79,14 @@ def test_columns_with_too_many_levels_are_left_out(spark):
     assert roles.categorical == ("s",) and "levels" in roles.excluded["key"]
 
 
+def test_columns_with_a_level_for_each_row_are_left_out(spark):
+    df = spark.range(500).select(
+        F.col("id").cast("string").alias("address"), (F.col("id") % 90).cast("string").alias("city")
+    )
+    with pytest.warns(UserWarning, match="address"):
+        assert preflight(df, feat.column_roles(df, "")).categorical == ("city",)
+
+
 def test_stage_inputs():
     roles = feat.Roles(("s",), ("n",))
     assert feature_stages(roles, one_hot=True)[1] == ["sOHE", "n"]

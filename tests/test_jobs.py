@@ -62,6 +62,7 @@ def test_all_jobs_log_register_and_score(spark, houses, tmp_path, monkeypatch):
     by_name = {r.run_name: r for r in found.collect()}
     assert set(by_name) == {"linear", "forest_grid_cv", "forest_search_trial", "forest_search", "automl"}
     assert by_name["linear"]["metrics.r2"] > 0.99
+    assert by_name["linear"]["metrics.n_test"] == halves.parts[1].count()
     assert by_name["forest_search"]["params.RandomForestRegressionModel.numTrees"] == "20"
     names = {r.name for r in store.read("artifacts").collect()}
     assert {"model", "model_input_example", "feature_importance", "cv_trials", "leaderboard"} <= names

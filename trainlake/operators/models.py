@@ -24,6 +24,7 @@ from trainlake.session import ensure_checkpoint_dir
 SEED = 42
 MAX_BINS = 40
 MAX_LEVELS = 10_000
+FEW_LEVELS = 100
 
 
 # --- estimators --------------------------------------------------------------
@@ -62,8 +63,9 @@ def preflight(train: DataFrame, roles: Roles, max_levels: int = MAX_LEVELS, on_n
     """Check the features in one pass before anything is fitted.
 
     Raises for features with missing numbers (unless on_null says what to do with
-    them) and leaves out string columns with more levels than an indexer should
-    hold on the driver; the roles tell which.
+    them). Leaves out string columns with more levels than an indexer should hold
+    on the driver, and those with a level for less than two rows, such as addresses:
+    hardly any level of other rows would be known. The roles tell which.
     """
     checks = [F.approx_count_distinct(c).alias(f"levels_{i}") for i, c in enumerate(roles.categorical)]
     checks += [
@@ -72,14 +74,16 @@ def preflight(train: DataFrame, roles: Roles, max_levels: int = MAX_LEVELS, on_n
     ]
     if not checks:
         raise ValueError("no feature columns")
-    row = train.agg(*checks).first()
+    row = train.agg(F.count(F.lit(1)).alias("n"), *checks).first()
     holes = [c for i, c in enumerate(roles.numeric) if row[f"nulls_{i}"]]
     if holes and on_null == "error":
         raise ValueError(f"feature columns with missing values: {holes}; impute them or set on_null")
-    wide = {c: row[f"levels_{i}"] for i, c in enumerate(roles.categorical) if row[f"levels_{i}"] > max_levels}
+    levels = {c: row[f"levels_{i}"] for i, c in enumerate(roles.categorical)}
+    most = min(max_levels, max(FEW_LEVELS, row["n"] // 2))
+    wide = {c: n for c, n in levels.items() if n > most}
     if not wide:
         return roles
-    warnings.warn(f"left out, more than {max_levels} levels: {wide}", stacklevel=2)
+    warnings.warn(f"left out, more than {most} levels: {wide}", stacklevel=2)
     return replace(
         roles,
         categorical=tuple(c for c in roles.categorical if c not in wide),

@@ -84,8 +84,16 @@ def prepare(
 
 
 def _evaluate(fitted: Fitted, test: DataFrame, label: str) -> dict[str, float]:
-    row = regression_metrics(fitted.model.transform(test), label).first()
-    return {"rmse": row["rmse"], "r2": row["r2"]}
+    return _logged(regression_metrics(fitted.model.transform(test), label))
+
+
+def _logged(metrics: DataFrame) -> dict[str, float]:
+    """What is logged of test metrics; rows with unknown levels are not in n_test."""
+    row = metrics.first()
+    if not row["n"]:
+        raise ValueError("no test row has levels known from the training rows")
+    values = {"rmse": row["rmse"], "r2": row["r2"], "n_test": row["n"]}
+    return {k: v for k, v in values.items() if v is not None}
 
 
 def _log(
@@ -142,8 +150,7 @@ def train_forest_search(
         runs.log_metrics(store, trial_run, {"rmse": trial["rmse"]})
     run_id = runs.start_run(store, EXPERIMENT, "forest_search")
     runs.log_params(store, run_id, {f"best.{k}": v for k, v in result.params.items()})
-    row = result.test_metrics.first()
-    metrics = {"rmse": row["rmse"], "r2": row["r2"]}
+    metrics = _logged(result.test_metrics)
     _log(store, run_id, result.best, metrics, train, data.key, importance=True)
     return run_id
 
