@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, spread_table, table
-from trainlake.functions import stopwords as stop
 from trainlake.functions import words as W
+from trainlake.functions.stopwords import stopwords
 from trainlake.operators import trend
 from trainlake.session import scratch_path, spread_scan
 from trainlake.sources.documents import read_documents, text_field
@@ -22,19 +17,8 @@ QUERIES = Queries()
 ORACLES: dict[str, str] = {}
 
 
-def sql_stopwords() -> list[str]:
-    """The stopwords without a session: the language lists read from Spark's own jar."""
-    (jar,) = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    found = set(stop.CUSTOM) | set(stop.ENGLISH_STEMS)
-    with zipfile.ZipFile(jar) as archive:
-        for language in stop.LANGUAGES:
-            text = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode()
-            found |= set(text.split("\n"))
-    return sorted(found - set(stop.ENGLISH_KEPT) - {""})
-
-
 def _sql_list() -> str:
-    return ", ".join("'" + w.replace("'", "''") + "'" for w in sql_stopwords())
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in stopwords())
 
 
 def _sql_steps(c: str) -> str:
