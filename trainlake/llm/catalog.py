@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
-from trainlake.llm import language, packing, token_files, toxicity
+from trainlake.llm import jaccard, language, packing, token_files, toxicity
 from trainlake.llm.common import fold
 from trainlake.session import scratch_path
 
@@ -34,6 +34,12 @@ def op3_compression_distance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@QUERIES
+def op8_adaptive_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of near duplicates over 4-grams among all documents."""
+    return jaccard.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), words=4, percent=85)
+
+
 @QUERIES
 def op9_output_codes(spark: SparkSession, sf: str) -> DataFrame:
     """Language of all documents."""
