@@ -7,13 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
-from trainlake.llm import jaccard, language, packing, token_files, toxicity
+from trainlake.llm import decontaminate, jaccard, language, packing, pii, token_files, toxicity
 from trainlake.llm.common import fold
 from trainlake.session import scratch_path
 
 QUERIES = Queries()
 ORACLES: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
+#: The key of surrogates; a real job takes it from its secret store.
+KEY = "surrogate key of the registered queries"
+
+
+@QUERIES
+def op1_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of all documents with surrogates in place of personal data."""
+    return pii.replace(table(spark, sf, "documents").select("doc_id", "text"), KEY)
 
 
 @QUERIES
@@ -34,6 +42,13 @@ def op3_compression_distance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@QUERIES
+def op7_block_max_wand(spark: SparkSession, sf: str) -> DataFrame:
+    """Test items found in all documents, one row for each document and item."""
+    found = decontaminate.find_leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 @QUERIES
 def op8_adaptive_prefix(spark: SparkSession, sf: str) -> DataFrame:
     """Components of near duplicates over 4-grams among all documents."""
