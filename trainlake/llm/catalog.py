@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
-from trainlake.llm import decontaminate, jaccard, language, packing, pii, token_files, toxicity
+from trainlake.llm import decontaminate, html, jaccard, language, licenses, neighbours, packing, pii, token_files, toxicity
 from trainlake.llm.common import fold
 from trainlake.session import scratch_path
 
@@ -42,6 +42,25 @@ def op3_compression_distance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@QUERIES
+def op4_nn_descent(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of near-duplicate embeddings of one label."""
+    return neighbours.near_vectors(table(spark, sf, "embeddings"), least=0.93)[0]
+
+
+@QUERIES
+def op5_license_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@QUERIES
+def op6_equivalence_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of all pages."""
+    found = html.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 @QUERIES
 def op7_block_max_wand(spark: SparkSession, sf: str) -> DataFrame:
     """Test items found in all documents, one row for each document and item."""
