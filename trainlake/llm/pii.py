@@ -26,13 +26,15 @@ FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Госпожа"
 SECRET_WORDS = "password|passwd|pwd|token|secret|api_key|apikey|access_key"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-IP = rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d.]*\d)"
-SECRET = rf"(?<=\b(?i:{SECRET_WORDS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?)[A-Za-z0-9_+/\-]{{8,}}"
-CARD = r"(?<![\w.+-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])"
-PHONE = r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
-NAME = rf"\b(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+IP = rf"(?=\d)(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d.]*\d)"
+SECRET = rf"(?<=[=:\"'\s])(?=[A-Za-z0-9_+/\-]{{8}})(?<=[=:]\s{{0,2}}[\"']?)(?<=\b(?i:{SECRET_WORDS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?)[A-Za-z0-9_+/\-]{{8,}}"
+CARD = r"(?=[3-6])(?<![\w.+-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])"
+PHONE = r"(?=[+(0-9])(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
+NAME = rf"(?=[FHMSГ])\b(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
 ENTITY = f"{EMAIL}|{SECRET}|{IP}|{CARD}|{PHONE}|{NAME}"
+#: What every entity holds or follows; texts without it need no closer look.
+HINT = rf"[@0-9=:]|(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
 ROUNDS = 16
 
 
@@ -49,10 +51,9 @@ def kind(mention: Column) -> Column:
     )
 
 
-def canonical(mention: Column) -> Column:
+def canonical(mention: Column, what: Column) -> Column:
     """What mentions of one entity have in common."""
     digits = F.regexp_replace(mention, r"\D", "")
-    what = kind(mention)
     return (
         F.when(what == "email", F.lower(mention))
         .when(what == "card", digits)
@@ -70,8 +71,10 @@ def _letters(seed: Column, text: Column, keep: Column | None = None) -> Column:
     """Every digit by a digit, every letter by a letter of its script and case; the rest, and the last ``keep`` characters, stay."""
     from_, ranges = F.split(text, ""), (("[0-9]", 48, 10), ("[a-z]", 97, 26), ("[A-Z]", 65, 26), ("[а-я]", 0x430, 32), ("[А-Я]", 0x410, 32), ("[α-ρσ-ω]", 0x3B1, 17))
 
+    hexadecimal = text.rlike("^[0-9a-f]+$")
+
     def one(c: Column, i: Column) -> Column:
-        out = F.when(F.lit(False), c)
+        out = F.when(hexadecimal & c.rlike("^[a-f]$"), F.substring(F.lit("abcdef"), _pick(seed, i, 6) + 1, F.lit(1)))
         if keep is not None:
             out = out.when(i >= F.length(text) - keep, c)
         for pattern, first, n in ranges:
@@ -107,10 +110,13 @@ def _name(seed: Column, text: Column, female: bool) -> Column:
     return F.concat_ws(" ", F.transform(F.split(text, " "), word))
 
 
-def surrogate(what: Column, entity: Column, key: str, turn: Column) -> Column:
-    """The surrogate of an entity, in its canonical form; another one for each turn."""
-    secret = F.sha2(F.concat_ws("|", F.lit(key), turn.cast("string"), what, entity), 256)
-    names = F.sha2(F.concat_ws("|", F.lit(key), turn.cast("string"), F.lit("name")), 256)
+def secrets(what: Column, entity: Column, key: str, turn: int) -> tuple[Column, Column]:
+    """The keyed digest of an entity, and that of all names, from which those of their words are made."""
+    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(str(turn)), what, entity), 256), F.sha2(F.lit(f"{key}|{turn}|name"), 256)
+
+
+def surrogate(what: Column, entity: Column, secret: Column, names: Column) -> Column:
+    """The surrogate of an entity in its canonical form."""
     tail = F.length(F.regexp_extract(entity, r"\.[a-z]{2,}$", 0))
     octets = F.concat_ws(".", F.transform(F.array(*map(F.lit, range(4))), lambda i: (_pick(secret, i, 254) + 1).cast("string")))
     body = F.concat(F.substring(entity, 1, 1), _letters(secret, F.substring(entity, F.lit(2), F.length(entity) - 2)))
@@ -122,6 +128,7 @@ def surrogate(what: Column, entity: Column, key: str, turn: Column) -> Column:
         .when(what == "card", F.concat(body, check.cast("int").cast("string")))
         .when(what == "female", _name(names, entity, True))
         .when(what == "male", _name(names, entity, False))
+        .when(what == "phone", F.concat_ws("", F.transform(F.split(_letters(secret, entity), ""), lambda c, i: F.when(i.isin(0, 3), (_pick(secret, i, 8) + 2).cast("string")).otherwise(c))))
         .otherwise(_letters(secret, entity))
     )
 
@@ -147,9 +154,15 @@ def _digit(mention: Column, made: Column, width: Column, c: Column, i: Column) -
     return F.when(at >= 1, F.substring(made, at, F.lit(1))).otherwise(c)
 
 
+def _made(entities: DataFrame, key: str, turn: int) -> DataFrame:
+    secret, names = secrets(F.col("what"), F.col("entity"), key, turn)
+    keyed = entities.select("what", "entity", secret.alias("secret"), names.alias("names"))
+    return materialise(keyed.select("what", "entity", surrogate(F.col("what"), F.col("entity"), F.col("secret"), F.col("names")).alias("made")), "entities")
+
+
 def _exceptions(entities: DataFrame, key: str) -> DataFrame | None:
     """what, entity and made of the entities whose first surrogate is not theirs alone; None without any."""
-    known = materialise(entities.withColumn("made", surrogate(F.col("what"), F.col("entity"), key, F.lit(0))), "entities")
+    known = _made(entities, key, 0)
     mixed = lambda df, taken: df.join(taken, ["what", "made"])
     real = known.select("what", F.col("entity").alias("made"))
 
@@ -166,7 +179,7 @@ def _exceptions(entities: DataFrame, key: str) -> DataFrame | None:
         turn += 1
         if turn > ROUNDS:
             raise ValueError("entities of some format are more than its surrogates")
-        tried = materialise(open_.withColumn("made", surrogate(F.col("what"), F.col("entity"), key, F.lit(turn))), "tried")
+        tried = _made(open_, key, turn)
         bad = clashing(tried).unionByName(mixed(tried, taken).select("what", "entity")).distinct()
         bad = materialise(bad, "clashing")
         good = tried.join(bad, ["what", "entity"], "left_anti")
@@ -184,8 +197,12 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     """
     row, found, made, name = fresh(docs, "row_number_of_text", "mentions", "exceptions_of_text", "n_replaced")
     text = F.col("text").cast("string")
-    marked = docs.select("*", F.monotonically_increasing_id().alias(row), F.coalesce(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), F.array().cast("array<string>")).alias(found))
-    mentions = marked.select(row, F.posexplode(found).alias("at", "mention")).select(row, "at", kind(F.col("mention")).alias("what"), canonical(F.col("mention")).alias("entity"))
+    marked = docs.select("*", F.monotonically_increasing_id().alias(row), F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>")).alias(found))
+    # Each step names what the next ones need, so that no expression is written out twice.
+    typed = F.transform(F.col(found), lambda m: F.struct(m.alias("mention"), kind(m).alias("what")))
+    named = F.transform(typed, lambda m: F.struct(m.mention.alias("mention"), m.what.alias("what"), canonical(m.mention, m.what).alias("entity")))
+    marked = marked.withColumn(found, named)
+    mentions = marked.select(row, F.posexplode(found).alias("at", "m")).select(row, "at", "m.what", "m.entity")
     exceptions = _exceptions(mentions.select("what", "entity").distinct(), key)
     if exceptions is None:
         marked = marked.withColumn(made, F.lit(None).cast("map<int,string>"))
@@ -193,13 +210,17 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
         hit = mentions.join(exceptions, ["what", "entity"]).groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("at", "made"))).alias(made))
         marked = marked.join(hit, row, "left")
 
-    def change(mention: Column, at: Column) -> Column:
-        what = kind(mention)
-        own = F.coalesce(F.try_element_at(F.col(made), at), surrogate(what, canonical(mention), key, F.lit(0)))
-        return render(mention, what, own)
+    def keyed(m: Column, at: Column) -> Column:
+        secret, names = secrets(m.what, m.entity, key, 0)
+        other = F.try_element_at(F.col(made), at)
+        return F.struct(m.mention.alias("mention"), m.what.alias("what"), m.entity.alias("entity"), secret.alias("secret"), names.alias("names"), other.alias("other"))
+
+    def change(m: Column) -> Column:
+        own = F.coalesce(m.other, surrogate(m.what, m.entity, m.secret, m.names))
+        return F.struct(m.mention.alias("mention"), m.what.alias("what"), own.alias("made"))
 
+    changed = F.transform(F.transform(F.transform(F.col(found), keyed), change), lambda m: render(m.mention, m.what, m.made))
     pieces = F.split(text, ENTITY, -1)
-    changed = F.transform(found, change)
     joined = F.concat_ws("", F.flatten(F.zip_with(pieces, changed, lambda p, c: F.array(p, F.coalesce(c, F.lit(""))))))
     new = F.when(F.size(found) > 0, joined).otherwise(text)
     return marked.select(*[new.alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size(found).cast("long").alias(name))

@@ -31,10 +31,11 @@ TOXIC_TEXTS, ORDINARY_TEXTS, SAMPLE_CHARS = 2000, 4000, 12_000
 TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 8 << 10, 64 << 10, 3
 #: Words drawn by how often they occur, to train the ordinary dictionary on.
 ORDINARY_SAMPLES = 200_000
-#: A word stands for toxic text if it is found in so many different places of it, and so much oftener (log) than in ordinary text.
+#: A word stands for toxic text if it or a beginning of it is found in so many different places of it, and so much oftener (log) than in ordinary text.
 PLACES, LOG_RATIO, FEWEST_WORDS = 8, 2.0, 20
 CACHED_WINDOWS = 300_000
 CLEAN_WEIGHT = 3
+STEM = 4
 FILLING = b"0123456789ABCDEF"
 _WORD = re.compile(r"\w+")
 
@@ -102,14 +103,27 @@ class Scorer:
         return 1 / (1 + math.exp(-(self.raw(text) - self._model.threshold) / self._model.spread))
 
 
+def _stems(word: str) -> list[str]:
+    """The beginnings of a word from STEM letters on, and the whole word with its end."""
+    return [*(word[:k] for k in range(STEM, min(len(word), 2 * STEM) + 1)), word + " "]
+
+
 def _places(texts: list[str]) -> Counter:
-    """In how many different places each word is found: with different words both before and after it, so that copies count once."""
+    """In how many different places each stem is found: with different words both before and after it, so that copies count once."""
     before, after = set(), set()
     for text in texts:
         w = ["", *windows(text), ""]
         before.update(zip(w, w[1:-1]))
         after.update(zip(w[1:-1], w[2:]))
-    return Counter(b for _, b in before) & Counter(a for a, _ in after)
+    counts = []
+    for pairs, at in ((before, 1), (after, 0)):
+        words = Counter(x[at] for x in pairs)
+        stems = Counter()
+        for word, n in words.items():
+            for stem in _stems(word):
+                stems[stem] += n
+        counts.append(stems)
+    return counts[0] & counts[1]
 
 
 def _threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
@@ -133,18 +147,21 @@ def train(texts: list[str], toxic: list[bool]) -> Model | None:
     in_toxic, in_ordinary = _places(learn(bad)), _places(learn(good))
     if not in_toxic or not in_ordinary:
         in_toxic, in_ordinary = _places(bad), _places(good)
-    n_toxic, n_ordinary = sum(in_toxic.values()) or 1, sum(in_ordinary.values()) or 1
-    ratio = {w: math.log((n + 0.5) / n_toxic) - math.log((in_ordinary[w] + 0.5) / n_ordinary) for w, n in in_toxic.items()}
-    marked = sorted(in_toxic)
+    whole = lambda c: {s[:-1]: n for s, n in c.items() if s[-1] == " "}
+    toxic_words, ordinary_words = whole(in_toxic), whole(in_ordinary)
+    share = math.log(sum(ordinary_words.values()) / sum(toxic_words.values()))
+    ratio = {s: math.log((n + 0.5) / (in_ordinary[s] + 0.5)) + share for s, n in in_toxic.items()}
+    marked = sorted(toxic_words)
     for least in (PLACES, PLACES * 5 // 8, PLACES * 3 // 8):  # small samples have no word in many places
-        found = sorted(w for w, r in ratio.items() if r > LOG_RATIO and in_toxic[w] >= least)
+        stems = {s for s, r in ratio.items() if r > LOG_RATIO and in_toxic[s] >= least}
+        found = sorted(w for w in toxic_words if not stems.isdisjoint(_stems(w)))
         if len(found) >= FEWEST_WORDS:
             marked = found
             break
-    words, places = list(in_ordinary), np.array(list(in_ordinary.values()), float)
+    words, places = list(ordinary_words), np.array(list(ordinary_words.values()), float)
     drawn = np.random.default_rng(0).choice(len(words), ORDINARY_SAMPLES, p=places / places.sum())
-    repeats = max(int(in_toxic[w] ** 0.5) for w in marked)
-    toxic_samples = [_bytes(w) for k in range(repeats) for w in marked if in_toxic[w] > k * k]
+    repeats = max(int(toxic_words[w] ** 0.5) for w in marked)
+    toxic_samples = [_bytes(w) for k in range(max(1, repeats)) for w in marked if toxic_words[w] > k * k]
     model = Model(_dictionary([_bytes(words[k]) for k in drawn], ORDINARY_BYTES), _dictionary(toxic_samples, TOXIC_BYTES), 0.0, 0.02)
     scorer = Scorer(model)
     held = [(scorer.raw(t), y) for part, y in ((test(bad), True), (test(good), False)) for t in part]
