@@ -38,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     pairs = links.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).filter("a <> b").distinct()
     pairs, seen = materialise(pairs, "links"), None
     while True:
-        state = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") / 2)).first())
+        state = tuple(pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
         if state == seen or not state[0]:
             break
         seen = state

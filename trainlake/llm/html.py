@@ -136,7 +136,7 @@ def slots(pages: DataFrame) -> DataFrame:
     """
     tokens = _tokens(pages.select("page", "host", "html"))
     per = tokens.groupBy("host", "path").agg(
-        F.sum(F.expr("n * (xxhash64(page) / 4294967296)")).cast("long").alias("vector"), F.count(F.lit(1)).alias("on"), F.max("n").alias("most"),
+        F.sum(F.expr("n * shiftright(xxhash64(page), 33)")).alias("vector"), F.count(F.lit(1)).alias("on"), F.max("n").alias("most"),
         F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), (F.min("digest") != F.max("digest")).alias("differs"), F.bool_or("dropped").alias("dropped"),
     )
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= FEW_PAGES)
