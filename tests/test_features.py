@@ -72,19 +72,18 @@ def test_missing_numbers_are_named(spark):
     assert fit_features(df, roles, one_hot=False, on_null="keep").inputs == ("sIndex", "x", "y", "z")
 
 
-def test_columns_with_too_many_levels_are_left_out(spark):
+def test_columns_with_too_many_levels_are_named(spark):
     df = spark.range(200).select(F.col("id").cast("string").alias("key"), F.lit("a").alias("s"), F.lit(1.0).alias("n"))
-    with pytest.warns(UserWarning, match="key"):
-        roles = preflight(df, feat.column_roles(df, ""), max_levels=50)
-    assert roles.categorical == ("s",) and "levels" in roles.excluded["key"]
+    with pytest.raises(ValueError, match="key"):
+        preflight(df, feat.column_roles(df, ""), max_levels=50)
 
 
-def test_columns_with_a_level_for_each_row_are_left_out(spark):
+def test_no_column_is_left_out_unasked(spark):
     df = spark.range(500).select(
         F.col("id").cast("string").alias("address"), (F.col("id") % 90).cast("string").alias("city")
     )
-    with pytest.warns(UserWarning, match="address"):
-        assert preflight(df, feat.column_roles(df, "")).categorical == ("city",)
+    roles = feat.column_roles(df, "")
+    assert preflight(df, roles) == roles and roles.categorical == ("address", "city")
 
 
 def test_stage_inputs():

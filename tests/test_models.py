@@ -134,6 +134,9 @@ def test_search_refits_the_best(rows):
 
 
 def test_candidates_go_round_the_families():
+    for asked in (10, 25):
+        found = automl.candidates("y", ["linear", "glm"], asked)
+        assert len({c.model_id for c in found}) == asked
     ids = [c.model_id for c in automl.candidates("y", ["linear", "glm"], 4)]
     assert ids == ["boosted_1", "forest_1", "tree_1", "boosted_2"]
     with pytest.raises(ValueError, match="unknown families"):

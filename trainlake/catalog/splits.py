@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from trainlake.catalog.common import Queries, table
 from trainlake.catalog.listing import KEY
 from trainlake.functions.buckets import row_key
-from trainlake.operators.split import combine, fold_column, hash_split, random_split
+from trainlake.operators.split import combine, fold_column, hash_split, random_split, split_index
 from trainlake.session import spread_scan
 
 QUERIES = Queries()
@@ -24,15 +23,10 @@ def keyed_lines(spark: SparkSession, sf: str) -> DataFrame:
     return spread_scan(table(spark, sf, "lineitem").drop("l_shipdate")).withColumn("row_key", row_key(*KEY))
 
 
-def _numbered(parts: list[DataFrame]) -> DataFrame:
-    tagged = [p.select("row_key", F.lit(i).alias("part")) for i, p in enumerate(parts)]
-    return reduce(DataFrame.unionByName, tagged)
-
-
 @QUERIES
 def split_80_20(spark: SparkSession, sf: str) -> DataFrame:
     """The part of each row."""
-    return _numbered(hash_split(keyed_lines(spark, sf), F.col("row_key"), [0.8, 0.2]))
+    return keyed_lines(spark, sf).select("row_key", split_index(F.col("row_key"), [0.8, 0.2]).alias("part"))
 
 
 ORACLES["split_80_20"] = (
@@ -43,7 +37,7 @@ ORACLES["split_80_20"] = (
 @QUERIES
 def split_60_20_20(spark: SparkSession, sf: str) -> DataFrame:
     """Train, validation and test."""
-    return _numbered(hash_split(keyed_lines(spark, sf), F.col("row_key"), [0.6, 0.2, 0.2]))
+    return keyed_lines(spark, sf).select("row_key", split_index(F.col("row_key"), [0.6, 0.2, 0.2]).alias("part"))
 
 
 ORACLES["split_60_20_20"] = (

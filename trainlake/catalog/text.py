@@ -153,14 +153,13 @@ _step("documents", "doc_id", "text", "B12", "letters_only", W.letters_only, "[^a
 def token_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """Words by language: all, long enough, and no stopwords."""
     words = trend.tokens(spread_table(spark, sf, "documents", "text", "lang"), F.col("text"), ["lang"]).filter("word <> ''")
-    long_enough = trend.min_length(words)
-    kept = trend.drop_stopwords(long_enough)
-    stages = {"1_words": words, "2_long": long_enough, "3_kept": kept}
-    counted = [
-        df.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "lang", "n")
-        for name, df in stages.items()
-    ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    long_enough = F.length("word") > 3
+    counted = words.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("1_words"), F.count_if(long_enough).alias("2_long"),
+        F.count_if(long_enough & ~F.col("word").isin(*stopwords())).alias("3_kept"),
+    )
+    stages = counted.unpivot(["lang"], ["1_words", "2_long", "3_kept"], "stage", "n")
+    return stages.filter("n > 0").select("stage", "lang", "n")
 
 
 ORACLES["token_funnel"] = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import random
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -34,8 +36,20 @@ class Candidate:
     estimator: Estimator
 
 
+def _drawn(algo: str, number: int) -> dict:
+    """Settings number 1, 2, ... of a family beyond its listed ones: drawn, always the same."""
+    draw = random.Random(f"{algo} {number}")
+    if algo in LINEAR_FAMILIES:
+        drawn = {"regParam": round(10 ** draw.uniform(-4, 1), 6)}
+        return drawn | ({"elasticNetParam": round(draw.random(), 3)} if algo == "linear" else {})
+    drawn = {"maxDepth": draw.randint(2, 10), "minInstancesPerNode": draw.randint(1, 20)}
+    if algo == "forest":
+        return drawn | {"numTrees": draw.randint(10, 100)}
+    return drawn | ({"maxIter": draw.randint(5, 40), "stepSize": round(draw.uniform(0.05, 0.5), 3)} if algo == "boosted" else {})
+
+
 def candidates(label: str, exclude: Sequence[str] = (), max_models: int = 10) -> list[Candidate]:
-    """The first settings of each family, then the second ones, and so on."""
+    """The first settings of each family, then the second ones, and so on; then seeded ones until there are enough."""
     unknown = set(exclude) - set(FAMILIES)
     if unknown:
         raise ValueError(f"unknown families {sorted(unknown)}; known: {sorted(FAMILIES)}")
@@ -45,6 +59,11 @@ def candidates(label: str, exclude: Sequence[str] = (), max_models: int = 10) ->
             for algo, (make, settings) in FAMILIES.items():
                 if algo not in exclude and round_ < len(settings):
                     yield Candidate(f"{algo}_{round_ + 1}", algo, make(label, **settings[round_]))
+        used = [algo for algo in FAMILIES if algo not in exclude]
+        for more in itertools.count(1) if used else ():
+            for algo in used:
+                make, settings = FAMILIES[algo]
+                yield Candidate(f"{algo}_{len(settings) + more}", algo, make(label, **_drawn(algo, more)))
 
     return [c for c, _ in zip(in_rounds(), range(max_models))]
 

@@ -23,8 +23,8 @@ def money_to_double(df: DataFrame, column: str) -> DataFrame:
 
 
 def keep_positive(df: DataFrame, column: str) -> DataFrame:
-    """Rows with a positive value; NULL is dropped."""
-    return df.filter(F.col(column) > 0)
+    """Rows with a positive value; NULL and NaN, which Spark ranks above all numbers, are dropped."""
+    return df.filter((F.col(column) > 0) & ~F.isnan(F.col(column).cast("double")))
 
 
 def cap_rows(df: DataFrame, column: str, upper: float) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import warnings
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier
@@ -23,8 +22,7 @@ from trainlake.session import ensure_checkpoint_dir
 
 SEED = 42
 MAX_BINS = 40
-MAX_LEVELS = 10_000
-FEW_LEVELS = 100
+MAX_LEVELS = 1_000_000
 
 
 # --- estimators --------------------------------------------------------------
@@ -63,9 +61,9 @@ def preflight(train: DataFrame, roles: Roles, max_levels: int = MAX_LEVELS, on_n
     """Check the features in one pass before anything is fitted.
 
     Raises for features with missing numbers (unless on_null says what to do with
-    them). Leaves out string columns with more levels than an indexer should hold
-    on the driver, and those with a level for less than two rows, such as addresses:
-    hardly any level of other rows would be known. The roles tell which.
+    them), and for string columns with more levels than an indexer should hold on the
+    driver. No column is left out unasked: name it in ``column_roles(exclude=...)``, or
+    index it with ``fit_index`` and ``apply_index``, which hold no levels on the driver.
     """
     checks = [F.approx_count_distinct(c).alias(f"levels_{i}") for i, c in enumerate(roles.categorical)]
     checks += [
@@ -79,16 +77,10 @@ def preflight(train: DataFrame, roles: Roles, max_levels: int = MAX_LEVELS, on_n
     if holes and on_null == "error":
         raise ValueError(f"feature columns with missing values: {holes}; impute them or set on_null")
     levels = {c: row[f"levels_{i}"] for i, c in enumerate(roles.categorical)}
-    most = min(max_levels, max(FEW_LEVELS, row["n"] // 2))
-    wide = {c: n for c, n in levels.items() if n > most}
-    if not wide:
-        return roles
-    warnings.warn(f"left out, more than {most} levels: {wide}", stacklevel=2)
-    return replace(
-        roles,
-        categorical=tuple(c for c in roles.categorical if c not in wide),
-        excluded={**roles.excluded, **{c: f"about {n} levels" for c, n in wide.items()}},
-    )
+    wide = {c: n for c, n in levels.items() if n > max_levels}
+    if wide:
+        raise ValueError(f"string columns with more than {max_levels} levels: {wide}; exclude them or use an index table")
+    return roles
 
 
 def feature_stages(
