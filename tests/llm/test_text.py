@@ -1,7 +1,10 @@
 import collections
 import re
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -256,3 +259,10 @@ def test_pipeline_edge_rows(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, edge_rows(spark), SMALL).columns == edge_rows(spark).columns, name
         assert stage(spark, no_rows(spark), SMALL).count() == 0, name
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), unique=True), st.lists(st.integers(0, 2**64 - 1), unique=True), st.lists(st.integers(0, 2**64 - 1), unique=True))
+def test_sketches_differ_no_more_than_their_sets(shared, left, right):
+    x, y = (np.unique(np.array(shared + own, np.uint64)) for own in (left, right))
+    bits = np.bitwise_count((jaccard.sketch(x) ^ jaccard.sketch(y)).view(np.uint64)).sum()
+    assert bits <= len(np.setxor1d(x, y))

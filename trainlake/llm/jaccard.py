@@ -10,6 +10,7 @@ n-grams asks for more matches instead of more candidates.
 Groups of very many alike texts are not compared pair by pair: rounds of stars come first, in
 which each set of a posting list is compared with one of them, chosen anew in each round. Only
 sets that are not in one component by then meet in pairs, so no link between components is lost.
+Pairs whose sketches already differ too much for the similarity leave within the join.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ SEEN = 4
 LONGEST_MATCH = 4
 VERIFY_COST = 8
 STAR_ROUNDS = 6
+#: A sketch has so many longs; each bit is the parity of the n-grams of one bucket of hashes.
+SKETCH = 8
 
 
 def ngrams(text: str | None, words: int) -> np.ndarray:
@@ -54,6 +57,12 @@ def _joined(each: np.ndarray, words: int) -> np.ndarray:
     return h
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """Parities of the n-grams by bucket, as SKETCH longs; two sketches differ in no more bits than their sets in n-grams."""
+    bits = np.bincount((grams % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _class_of(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).astype(np.int64))
 
@@ -147,14 +156,19 @@ def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) ->
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    schema = pa.schema([("cls", pa.int64()), ("grams", pa.list_(pa.int64()))])
+    names = [f"s{k}" for k in range(SKETCH)]
+    schema = pa.schema([("cls", pa.int64()), ("grams", pa.list_(pa.int64())), *((c, pa.int64()) for c in names)])
 
     def full(batches):
         for b in batches:
             grams = [ngrams(t.as_py(), words) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([_class_of(g) for g in grams], pa.int64()), pa.array([g.view(np.int64) for g in grams], schema[1].type)], schema=schema)
+            sketches = np.array([sketch(g) for g in grams], np.int64).reshape(len(grams), SKETCH)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_class_of(g) for g in grams], pa.int64()), pa.array([g.view(np.int64) for g in grams], schema[1].type), *(pa.array(c) for c in sketches.T)],
+                schema=schema,
+            )
 
-    return docs.mapInArrow(full, "cls long, grams array<long>")
+    return docs.mapInArrow(full, "cls long, grams array<long>, " + ", ".join(f"{c} long" for c in names))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -217,9 +231,12 @@ def _components_of_classes(postings: DataFrame, sets: DataFrame, percent: int) -
         links = materialise(links.unionByName(_similar(pairs, sets, percent)), "similar")
         roots = components(links)
         open_ = open_.select("gram", "cls", "n", "least")
-    a, b = open_.alias("a"), open_.alias("b")
+    # Sets as similar as asked differ in (100 - percent) / (100 + percent) of both sizes at most, and so do their sketches.
+    sketched = materialise(open_.join(sets.drop("grams"), "cls"), "sketched")
+    a, b = sketched.alias("a"), sketched.alias("b")
     far = (F.col("a.cls") < F.col("b.cls")) & (F.col("a.root") != F.col("b.root"))
-    near = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
+    differ = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(1, SKETCH)), F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))))
+    near = (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")) & ((100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n")))
     met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & far & near)
     pairs = met.groupBy(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).agg(F.count(F.lit(1)).alias("k"), F.min(F.least("a.least", "b.least")).alias("least"))
     links = materialise(links.unionByName(_similar(pairs.filter("k >= least").select("a", "b"), sets, percent)), "similar")
