@@ -8,7 +8,7 @@ the candidates to verify, which must share the smaller l of both. So a set whose
 n-grams asks for more matches instead of more candidates.
 
 Groups of very many alike texts are not compared pair by pair: rounds of stars come first, in
-which each set of a posting list is compared with one of them, chosen anew in each round. Only
+which each set of a posting list is compared with one of them, chosen anew for each list and round. Only
 sets that are not in one component by then meet in pairs, so no link between components is lost.
 Pairs whose sketches already differ too much for the similarity leave within the join.
 """
@@ -20,7 +20,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainlake.llm.components import components
@@ -28,13 +28,15 @@ from trainlake.session import materialise
 
 #: The levels of frequency are kept by this many buckets of hashes: 4 MB for any input.
 LEVEL_BITS = 22
+#: Parts in which the driver fetches them, a job each.
+LEVEL_PARTS = 4
 #: A task reports n-grams that it saw in so many texts; rarer ones count as rare everywhere.
 SEEN = 4
 LONGEST_MATCH = 4
 VERIFY_COST = 8
 STAR_ROUNDS = 6
 #: A sketch has so many longs; each bit is the parity of the n-grams of one bucket of hashes.
-SKETCH = 8
+SKETCH = 16
 
 
 def ngrams(text: str | None, words: int) -> np.ndarray:
@@ -110,7 +112,7 @@ def _levels(rows: DataFrame) -> np.ndarray:
     levels = total.groupBy(bucket.cast("int").alias("bucket")).agg(F.max(F.floor(F.log2("seen"))).cast("int").alias("level"))
     table = np.zeros(1 << LEVEL_BITS, np.uint8)
     page = F.shiftright("bucket", 12)  # at most 4 MB, as 1,024 pages
-    for r in levels.groupBy(page.alias("page")).agg(F.collect_list("bucket").alias("b"), F.collect_list("level").alias("l")).toLocalIterator():
+    for r in levels.groupBy(page.alias("page")).agg(F.collect_list("bucket").alias("b"), F.collect_list("level").alias("l")).coalesce(LEVEL_PARTS).toLocalIterator():
         table[np.array(r.b, int)] = r.l
     return table
 
@@ -212,7 +214,8 @@ def _components_of_classes(postings: DataFrame, sets: DataFrame, percent: int) -
     for turn in range(STAR_ROUNDS + 1):
         # Posting lists whose sets are in one component have nothing more to tell.
         labelled = open_.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        labelled = labelled.select("gram", "cls", "n", "least", "root")
+        # The more shared n-grams a prefix has, the fewer are the set's own: the set is in the middle of its group.
+        labelled = labelled.select("gram", "cls", "n", "least", "root", F.count(F.lit(1)).over(Window.partitionBy("cls")).alias("central"))
         # Sets of one component in a list, then what pairs across components would remain.
         by_root = labelled.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k"))
         lists = by_root.groupBy("gram").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("inner"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
@@ -223,8 +226,9 @@ def _components_of_classes(postings: DataFrame, sets: DataFrame, percent: int) -
         if across <= 2 * size or across > 0.9 * before or turn == STAR_ROUNDS:
             break
         before = across
-        # A star: the set with the smallest hash of this round is compared with all others of its list.
-        order = F.struct(F.xxhash64(F.lit(turn), "cls"), "cls", "n", "root")
+        # A star: one set is compared with all others of its list. It is one in the middle, in every other round any.
+        middle = F.lit(0) if turn % 2 else -F.col("central")
+        order = F.struct(middle, F.xxhash64(F.lit(turn), "gram", "cls"), "cls", "n", "root")
         heads = open_.groupBy("gram").agg(F.min(order).alias("head")).select("gram", F.col("head.cls").alias("b"), F.col("head.n").alias("nb"), F.col("head.root").alias("rb"))
         near = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (F.col("root") != F.col("rb"))
         pairs = open_.join(heads, "gram").filter(near).select(F.col("cls").alias("a"), "b").distinct()
