@@ -142,7 +142,11 @@ def test_wand_finds_all_above_the_threshold(spark):
             for at, value in zip(*index.postings[w][:2], strict=True):
                 share[at] += value
         for least in (0.05, 0.3, 0.6):
-            assert {i for i, _ in index.search(query, least)} == {i for i, s in share.items() if s >= least - 1e-9}
+            wanted = {i for i, s in share.items() if s >= least - 1e-9}
+            assert {i for i, _ in index.search(query, least)} == wanted
+            numbers = np.array(sorted(index.numbers[w] for w in query), np.int64)
+            blocks = index.open_blocks(np.zeros(len(numbers), np.int64), numbers, least)
+            assert {i for _, b in blocks for i, _ in index.search(query, least, b)} == wanted
 
 
 def test_decontamination_edge_rows(spark):

@@ -4,7 +4,8 @@ Every training text is cut into overlapping passages, twice as long as the longe
 one item apart, so that each place of an item lies whole in a passage. Every passage queries the
 inverted index of the items: scores are BM25 shares of the item's own full score, so one
 threshold holds for all items, and block-max WAND finds all items at or above it while skipping
-those that their blocks' bounds rule out. An item that is found counts if its question and its
+those that their blocks' bounds rule out. Blocks are ranges of items, the same for all words, so the bounds of all
+passages of a text are summed at once and WAND walks only the blocks that can reach the threshold. An item that is found counts if its question and its
 answer, each for itself, overlap with the passage.
 """
 
@@ -12,10 +13,12 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +30,10 @@ K1, B = 1.2, 0.75
 SHARE = 0.6
 OVERLAP = 0.8
 NGRAM = 5
-POSTING_BLOCK = 16
+#: Items in a block.
+POSTING_BLOCK = 4
+#: Bounds that are summed at a time, for as many passages as that allows.
+ENTRIES = 2_000_000
 #: An index block, broadcast to all tasks, holds items of about so many characters, or one longer item.
 INDEX_CHARS = 16 << 20
 _WORD = re.compile(r"\w+")
@@ -68,12 +74,20 @@ def overlap(part: list[str], passage: list[str]) -> float:
 
 @dataclass
 class Index:
-    """Postings of some items: for each word the items in order, their shares, and a bound for each block of postings."""
+    """Postings of some items: for each word the items in order, their shares and the greatest share.
+
+    The bounds of word number k are entries starts[k] to starts[k + 1] of blocks (numbers) and bounds.
+    """
 
     ids: list[int]
     parts: list[tuple[list[str], list[str]]]
-    postings: dict[str, tuple[list[int], list[float], list[tuple[int, float]], float]]
+    postings: dict[str, tuple[list[int], list[float], float]]
+    numbers: dict[str, int]
+    starts: np.ndarray
+    blocks: np.ndarray
+    bounds: np.ndarray
     window: int
+    at_once: int
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], frequency: dict[str, int], n_items: int, mean_words: float) -> Index:
@@ -87,68 +101,81 @@ class Index:
             full = sum(share.values())
             for word, value in share.items():
                 lists[word].append((at, value / full))
-        postings = {}
+        postings, starts, blocks, bounds = {}, [0], [], []
         for word, entries in lists.items():
-            at, shares = [e[0] for e in entries], [e[1] for e in entries]
-            blocks = [(at[min(k + POSTING_BLOCK, len(at)) - 1], max(shares[k : k + POSTING_BLOCK])) for k in range(0, len(at), POSTING_BLOCK)]
-            postings[word] = (at, shares, blocks, max(shares))
-        return cls([i for i, _, _ in kept], [question_and_answer(t) for _, t, _ in kept], postings, 2 * max((len(f) for _, _, f in kept), default=1))
-
-    def search(self, query: set[str], least: float) -> list[tuple[int, float]]:
-        """All items whose shares of the query's words add up to the threshold (block-max WAND)."""
+            postings[word] = [e[0] for e in entries], [e[1] for e in entries], max(e[1] for e in entries)
+            best: dict[int, float] = defaultdict(float)
+            for at, value in entries:
+                best[at // POSTING_BLOCK] = max(best[at // POSTING_BLOCK], value)
+            blocks += best
+            bounds += best.values()
+            starts.append(len(blocks))
+        window = 2 * max((len(f) for _, _, f in kept), default=1)
+        longest = max((y - x for x, y in zip(starts, starts[1:], strict=False)), default=1)
+        return cls(
+            [i for i, _, _ in kept], [question_and_answer(t) for _, t, _ in kept], postings, {w: k for k, w in enumerate(postings)},
+            np.array(starts), np.array(blocks, np.int64), np.array(bounds), window, max(1, ENTRIES // max(1, window * longest)),
+        )
+
+    def open_blocks(self, passages: np.ndarray, numbers: np.ndarray, least: float) -> list[tuple[int, int]]:
+        """The pairs of passage and block whose bounds add up to the threshold; each word of a passage is given once."""
+        first, sizes = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
+        ends = np.cumsum(sizes)
+        entry = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + sizes, sizes)
+        n = len(self.ids) // POSTING_BLOCK + 1
+        keys, place = np.unique(np.repeat(passages, sizes) * n + self.blocks[entry], return_inverse=True)
+        reach = np.bincount(place, self.bounds[entry], len(keys))
+        return [(int(k) // n, int(k) % n) for k in keys[reach >= least - 1e-9]]
+
+    def search(self, query: set[str], least: float, block: int | None = None) -> list[tuple[int, float]]:
+        """All items of a block, or of all blocks, whose shares of the query's words add up to the threshold (WAND)."""
+        first, end = (0, len(self.ids)) if block is None else (block * POSTING_BLOCK, (block + 1) * POSTING_BLOCK)
         lists = [self.postings[w] for w in query]
-        if sum(p[3] for p in lists) < least:
-            return []
-        at = [0] * len(lists)
+        at = [bisect_left(items, first) for items, _, _ in lists]
         open_ = list(range(len(lists)))
         found = []
         while True:
-            open_ = sorted((k for k in open_ if at[k] < len(lists[k][0])), key=lambda k: lists[k][0][at[k]])
+            here = sorted((lists[k][0][at[k]], k) for k in open_ if at[k] < len(lists[k][0]) and lists[k][0][at[k]] < end)
+            open_ = [k for _, k in here]
             bound, pivot = 0.0, None
-            for k in open_:
-                bound += lists[k][3]
+            for item, k in here:
+                bound += lists[k][2]
                 if bound >= least - 1e-9:
-                    pivot = lists[k][0][at[k]]
+                    pivot = item
                     break
             if pivot is None:
                 return found
-            upto = [k for k in open_ if lists[k][0][at[k]] <= pivot]
-            reach, ends = 0.0, []
-            for k in upto:
-                block = next((b for b in lists[k][2][at[k] // POSTING_BLOCK :] if b[0] >= pivot), None)
-                if block:
-                    reach += block[1]
-                    ends.append(block[0])
-            if reach < least - 1e-9:  # no item up to the first end of these blocks can get there
-                beyond = [lists[k][0][at[k]] for k in open_ if lists[k][0][at[k]] > pivot]
-                target = min([*(e + 1 for e in ends), *beyond])
-            else:
-                score = 0.0
-                for k in upto:
-                    while at[k] < len(lists[k][0]) and lists[k][0][at[k]] < pivot:
-                        at[k] += 1
-                    if at[k] < len(lists[k][0]) and lists[k][0][at[k]] == pivot:
-                        score += lists[k][1][at[k]]
-                if score >= least - 1e-9:
-                    found.append((pivot, score))
-                target = pivot + 1
-            for k in upto:
+            score = 0.0
+            for item, k in here:
+                if item > pivot:
+                    break
                 items = lists[k][0]
-                while at[k] < len(items) and items[at[k]] < target:
+                at[k] = bisect_left(items, pivot, at[k])
+                if at[k] < len(items) and items[at[k]] == pivot:
+                    score += lists[k][1][at[k]]
                     at[k] += 1
+            if score >= least - 1e-9:
+                found.append((pivot, score))
 
     def leaks(self, text: str | None) -> list[tuple[int, float, float, float]]:
         """Item, best score and overlaps of each verified item in the whole text."""
         found, best = words(text), {}
-        step = self.window // 2
-        for start in range(0, max(1, len(found) - step), step):
-            passage = found[start : start + self.window]
-            known = {w for w in passage if w in self.postings}
-            for item, score in self.search(known, SHARE) if known else ():
-                question, answer = self.parts[item]
-                row = (self.ids[item], min(1.0, score), overlap(question, passage), overlap(answer, passage))
-                if row[2] >= OVERLAP and row[3] >= OVERLAP and (item not in best or best[item] < row):
-                    best[item] = row
+        known = np.array([self.numbers.get(w, -1) for w in found], np.int64)
+        step, size = self.window // 2, max(1, len(self.numbers))
+        starts = range(0, max(1, len(found) - step), step)
+        for begin in range(0, len(starts), self.at_once):
+            some = starts[begin : begin + self.at_once]
+            at = np.array(some)[:, None] + np.arange(self.window)
+            number = np.where(at < len(found), known[np.minimum(at, len(found) - 1)], -1) if len(found) else np.full(at.shape, -1)
+            passage, column = np.nonzero(number >= 0)
+            pairs = np.unique(passage * size + number[passage, column])
+            for k, block in self.open_blocks(pairs // size, pairs % size, SHARE):
+                words_ = found[some[k] : some[k] + self.window]
+                for item, score in self.search({w for w in words_ if w in self.numbers}, SHARE, block):
+                    question, answer = self.parts[item]
+                    row = (self.ids[item], min(1.0, score), overlap(question, words_), overlap(answer, words_))
+                    if row[2] >= OVERLAP and row[3] >= OVERLAP and (item not in best or best[item] < row):
+                        best[item] = row
         return [best[k] for k in sorted(best)]
 
 
