@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainlake.llm.common import fresh
+from trainlake.session import materialise
 
 # Elements and words in class and id of what is no main text.
 DROPPED = set("head title script style noscript template svg iframe object nav aside footer form button select textarea dialog menu".split())
@@ -189,7 +190,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     at, name, found, text = fresh(pages, "page_number", "page_host", "slots", "main_text")
     marked = pages.select("*", host(F.col("url").cast("string")).alias(name), F.monotonically_increasing_id().alias(at))
-    kept = slots(marked.select(F.col(at).alias("page"), F.col(name).alias("host"), F.col("html").cast("string").alias("html")))
+    # Written, so that the join knows its size, and adaptive execution can split the pages of a large host.
+    kept = materialise(slots(marked.select(F.col(at).alias("page"), F.col(name).alias("host"), F.col("html").cast("string").alias("html"))), "slots")
     joined = marked.join(kept.select(F.col("host").alias(name), F.col("slots").alias(found)), name, "left")
 
     def cut(pages_: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
