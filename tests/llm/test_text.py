@@ -237,6 +237,34 @@ def test_html_template_without_article_elements(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of(spark, pages, host="h"):
+    """page -> main text of pages of one host."""
+    rows = [(k, f"http://{host}/{k}", p) for k, p in enumerate(pages)]
+    return {r.page_id: r.main_text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_html_slots_hold_repeated_and_optional_parts(spark):
+    frame = "<html><body><div id=top><a href=/>home</a></div>{}<div id=copyright>same line</div></body></html>"
+    wordy = lambda k: f"text of page {k} " * 30
+    # Sections: repeated on each page, and on one page only.
+    many = [frame.format(f"<article><h1>Head {k}</h1><section><p>One {k}</p></section><section><p>Two {k}</p></section></article>") for k in range(5)]
+    assert texts_of(spark, many) == {k: f"Head {k}\nOne {k}\nTwo {k}" for k in range(5)}
+    odd = [frame.format(f"<article><h1>Head {k}</h1><section><p>One {k}</p></section>{'<section>Two</section>' * (k == 2)}</article>") for k in range(5)]
+    assert texts_of(spark, odd) == {k: f"Head {k}\nOne {k}" + "\nTwo" * (k == 2) for k in range(5)}
+    divs = [frame.format(f"<div id=x><h1>Head {k}</h1><div><p>One {k}</p></div><div><p>Two {k}</p></div></div>") for k in range(5)]
+    assert texts_of(spark, divs) == {k: f"Head {k}\nOne {k}\nTwo {k}" for k in range(5)}
+    # Mixed layouts, the rarer one without a token of its own in the template.
+    mixed = [frame.format(f"<article><p>Art {k}</p></article>" if k % 3 == 0 else f"<div id=x><p>Div {k}</p></div>") for k in range(9)]
+    assert texts_of(spark, mixed) == {k: f"{'Div' if k % 3 else 'Art'} {k}" for k in range(9)}
+    # A title block far below a tenth of the text, and text beside main.
+    title = [frame.format(f"<div id=t>Title {k}</div><div id=x><p>{wordy(k)}</p></div>") for k in range(5)]
+    assert texts_of(spark, title) == {k: f"Title {k}\n{wordy(k).strip()}" for k in range(5)}
+    beside = [frame.format(f"<main><h1>Head {k}</h1></main><div id=x><p>Body {k}</p></div>") for k in range(5)]
+    assert texts_of(spark, beside) == {k: f"Head {k}\nBody {k}" for k in range(5)}
+    # Pages without containers around their text.
+    assert texts_of(spark, [f"<h1>Head {k}</h1><p>Bare {k}" for k in range(5)]) == {k: f"Head {k}\nBare {k}" for k in range(5)}
+
+
 # pipeline
 
 def test_pipeline_stages(spark):

@@ -3,10 +3,11 @@
 A token is the place of an element in its page: the path of containers down to it, with their
 classes and ids. Tokens of one host with the same number of occurrences on every page form an
 equivalence class (their vectors are compared as keyed sums over the pages, so no vector is
-ever put together). A class belongs to the template if its tokens occur once on each of their
-pages, on at least half of the host's pages, and if each lies within another token of the template: the classes
-nest. What stands between template tokens are slots; those that hold the articles are kept: they
-differ between pages, are mostly not links and are no menu, header, footer or the like.
+ever put together). A class belongs to the template if its tokens occur once on at least half of the host's
+pages, and if each lies within other tokens of the template only: the classes
+nest. What stands between template tokens are slots: text is in the slot of the nearest token around it, also
+where sections are repeated or on few pages. Slots with text that differs between pages, is mostly
+not links and is in no menu, header, footer or the like are kept, and so are all such texts of article and main.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def host(url):
 
 def _marks(attrs: str) -> str:
     """Class, id and role as one string."""
-    return ".".join((m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)) if attrs else ""
+    return ".".join((m[2] or m[3] or m[4] or "").lower().replace("/", "-") for m in _ATTR.finditer(attrs)) if attrs else ""
 
 
 def _is_dropped(tag: str, marks: str, within_article: bool) -> bool:
@@ -107,7 +108,7 @@ def _tokens(pages: DataFrame) -> DataFrame:
         for b in batches:
             out = []
             for key, name, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                seen: dict[tuple, list] = {}
+                seen: dict[tuple, list] = {(): [1, 0, 0, [], False]}
                 opened = ()
                 for text, path, dropped, linked in events(page.as_py() or ""):
                     if path != opened:
@@ -116,7 +117,7 @@ def _tokens(pages: DataFrame) -> DataFrame:
                             seen.setdefault(path[: k + 1], [0, 0, 0, [], dropped])[0] += 1
                         opened = path
                     found = _clean(text) if text else ""
-                    if found and path:
+                    if found:
                         entry = seen[path]
                         entry[1] += len(found)
                         entry[2] += len(found) if linked else 0
@@ -131,44 +132,60 @@ def _tokens(pages: DataFrame) -> DataFrame:
 
 
 def slots(pages: DataFrame) -> DataFrame:
-    """host and the paths of its slots that hold main text; pages has page (a number), host and html.
+    """host, the paths of its slots that hold main text, and those of its whole template; pages has page (a number), host and html.
+
+    The path of the page itself is empty; it is always in the template.
 
     A host of fewer than FEW_PAGES pages shows no template; it gets no slots.
     """
     tokens = _tokens(pages.select("page", "host", "html"))
     per = tokens.groupBy("host", "path").agg(
-        F.sum(F.expr("n * shiftright(xxhash64(page), 33)")).alias("vector"), F.count(F.lit(1)).alias("on"), F.max("n").alias("most"),
+        F.sum(F.expr("n * shiftright(xxhash64(page), 33)")).alias("vector"), F.count(F.lit(1)).alias("on"), F.count_if(F.col("n") == 1).alias("single"),
         F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), (F.min("digest") != F.max("digest")).alias("differs"), F.bool_or("dropped").alias("dropped"),
     )
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= FEW_PAGES)
-    once = per.join(sizes, "host").filter((F.col("most") == 1) & (F.col("on") >= SUPPORT * F.col("pages")))
+    per = materialise(per.join(sizes, "host"), "page-tokens")
+    once = per.filter(F.col("single") >= SUPPORT * F.col("pages"))
     # Tokens of one vector are a class; all its tokens are in the template or none.
-    classes = once.groupBy("host", "vector", "on").agg(F.collect_list(F.struct("path", "chars", "linked", "differs", "dropped")).alias("tokens"))
+    classes = once.groupBy("host", "vector", "on").agg(F.collect_list("path").alias("paths"))
     # At most twice as many tokens as an average page has: each is on half of the pages.
-    template = classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    template = template.withColumn("paths", F.transform("tokens", lambda t: t.path))
-    parent = lambda p: F.regexp_replace(p, "/?[^/]*$", "")
-    nested = F.filter("tokens", lambda t: (parent(t.path) == "") | F.array_contains(F.col("paths"), parent(t.path)))
-    inside = lambda p: p.rlike(r"(^|/)(article|main)(\.|/|$)")
-    fit = lambda t: (~t.dropped) & (t.chars > 0) & (2 * t.linked <= t.chars) & (t.differs | inside(t.path))
-    good = template.select("host", F.filter(nested, fit).alias("good"))
-    articles = F.filter("good", lambda t: inside(t.path))
-    total = F.aggregate("good", F.lit(0).cast("long"), lambda a, t: a + t.chars)
-    kept = F.when(F.size(articles) > 0, articles).otherwise(F.filter("good", lambda t: 10 * t.chars >= total))
-    return good.select("host", F.transform(kept, lambda t: t.path).alias("slots")).filter(F.size("slots") > 0)
-
-
-def main_text(page: str | None, kept: list[str] | None) -> str:
+    template = classes.groupBy("host").agg(F.flatten(F.collect_list("paths")).alias("paths"))
+    within = lambda p, t: (t == "") | F.startswith(F.concat(p, F.lit("/")), F.concat(t, F.lit("/")))
+    depth = lambda p: F.when(p == "", 0).otherwise(F.size(F.split(p, "/")))
+    # A token nests if each token around it is in the template, and so is counted with it; the page itself is.
+    nested = F.filter("paths", lambda p: F.size(F.filter("paths", lambda t: (t != "") & within(p, t))) == depth(p))
+    template = materialise(template.select("host", F.array_union(nested, F.array(F.lit(""))).alias("template")), "template")
+    # All text belongs to the nearest token of the template around it, also where what holds it is repeated or on few pages only.
+    holder = F.array_max(F.transform(F.filter("template", lambda t: within(F.col("path"), t)), lambda t: F.struct(F.length(t).alias("size"), t.alias("path"))))["path"]
+    fit = per.filter("NOT dropped AND chars > 0 AND 2 * linked <= chars")
+    # Written, so that the join of a large host can be split; text of one page only differs from the other pages.
+    held = materialise(fit.join(template, "host").select("host", holder.alias("slot"), (F.col("differs") | (F.col("on") == 1)).alias("differs")), "slot-texts")
+    by_slot = held.groupBy("host", "slot").agg(F.bool_or("differs").alias("differs"))
+    good = by_slot.filter(F.col("differs") | F.col("slot").rlike(r"(^|/)(article|main)(\.|/|$)")).groupBy("host").agg(F.collect_list("slot").alias("slots"))
+    return good.join(template, "host").select("host", "slots", "template")
+
+
+def main_text(page: str | None, kept: list[str] | None, template: list[str] | None = None) -> str:
     """The blocks in the kept slots, or without slots those of article or main, or else all that is not dropped.
 
+    A block is in the slot of the nearest token of the template around it (without a template, of the nearest slot).
     A page that lacks all of its host's slots is read as one without.
     """
     pieces = list(events(page or ""))
     inside = lambda p: any(x.split(".")[0] in ("article", "main") for x in p)
-    slots_ = {tuple(k.split("/")) for k in kept or ()}
-    holds = lambda p: any(p[:k] in slots_ for k in range(1, len(p) + 1))
-    if not (slots_ and any(text and holds(p) for text, p, _, _ in pieces)):
-        holds = inside if any(text and inside(p) for text, p, _, _ in pieces) else lambda p: True
+    as_path = lambda k: tuple(k.split("/")) if k else ()
+    slots_ = {as_path(k) for k in kept or ()}
+    tokens = slots_.union(as_path(k) for k in template or ())
+    nearest: dict[tuple, bool] = {}
+
+    def holds(p):
+        if p not in nearest:
+            nearest[p] = next((p[:k] in slots_ for k in range(len(p), -1, -1) if p[:k] in tokens), False)
+        return nearest[p]
+
+    with_text = [p for text, p, dropped, _ in pieces if text and not dropped and _clean(text)]
+    if not any(map(holds, with_text)):
+        holds = inside if any(map(inside, with_text)) else lambda p: True
     blocks, held = [], []
     for text, path, dropped, _ in pieces:
         if text is None:
@@ -188,14 +205,14 @@ def extract(pages: DataFrame) -> DataFrame:
     white space in a block becomes one blank, blocks are joined by line breaks. Rows are treated one by one; repeated ones count as
     pages of their own in the template. An empty table gives no rows.
     """
-    at, name, found, text = fresh(pages, "page_number", "page_host", "slots", "main_text")
+    at, name, found, around, text = fresh(pages, "page_number", "page_host", "slots", "template", "main_text")
     marked = pages.select("*", host(F.col("url").cast("string")).alias(name), F.monotonically_increasing_id().alias(at))
     # Written, so that the join knows its size, and adaptive execution can split the pages of a large host.
     kept = materialise(slots(marked.select(F.col(at).alias("page"), F.col(name).alias("host"), F.col("html").cast("string").alias("html"))), "slots")
-    joined = marked.join(kept.select(F.col("host").alias(name), F.col("slots").alias(found)), name, "left")
+    joined = marked.join(kept.select(F.col("host").alias(name), F.col("slots").alias(found), F.col("template").alias(around)), name, "left")
 
-    def cut(pages_: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for htmls, slots_ in pages_:
-            yield pd.Series([main_text(h, None if s is None else list(s)) for h, s in zip(htmls, slots_, strict=True)], dtype=object)
+    def cut(pages_: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for htmls, slots_, templates in pages_:
+            yield pd.Series([main_text(h, None if s is None else list(s), None if t is None else list(t)) for h, s, t in zip(htmls, slots_, templates, strict=True)], dtype=object)
 
-    return joined.select(*pages.columns, F.pandas_udf(cut, "string")(F.col("html").cast("string"), F.col(found)).alias(text))
+    return joined.select(*pages.columns, F.pandas_udf(cut, "string")(F.col("html").cast("string"), F.col(found), F.col(around)).alias(text))
