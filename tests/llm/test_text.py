@@ -265,6 +265,20 @@ def test_html_slots_hold_repeated_and_optional_parts(spark):
     assert texts_of(spark, [f"<h1>Head {k}</h1><p>Bare {k}" for k in range(5)]) == {k: f"Head {k}\nBare {k}" for k in range(5)}
 
 
+@pytest.mark.parametrize("body, text", [
+    ("<body class='has-sidebar'><p>a", "a"), ("<body class=no-sidebar><p>a", "a"), ("<body class='search-results'><p>a", "a"), ("<body class=search><p>a", "a"),
+    ("<body><article class='post comments-open'><p>a</article>", "a"), ("<main class=widget><p>a</main>", "a"),
+    ("<article><div class='entry-header'><h1>h</h1></div><p>a</article>", "h\na"), ("<article><div class=article__header><h1>h</h1></div>a</article>", "h\na"),
+    ("<article><div class=header><h1>h</h1></div><p>a</article>", "h\na"), ("<div class=entry-header><h1>h</h1></div><p>a", "h\na"), ("<h1 class=header>h</h1><p>a", "h\na"),
+    ("<div class='site-header'>x</div><div class=header>x</div><div class=share-buttons>x</div><div id=sidebar_2>x</div><div class='box side-bar'>x</div><p>a", "a"),
+    ("<p class=notice>x</p><p>a", "a"), ("<p class=advert>x<p>a", "a"), ("<p class=ad>x<div>a</div>", "a"), ("<div><p class='ad'>x</div>a", "a"),
+    ("<ul><li class='ad'>x<ul><li>x</li></ul>x</li><li>a<li class=promo>x<li>b</ul>c", "a\nb\nc"),
+    ("<p>a <span class=sponsored>x<span>x</span>x</span>b</p>", "a b"), ("<p>a<span class=ad>x</p><p>b", "a\nb"), ("<span class=ad />a", "a"), ("<p class=no-ad>a", "a"),
+])
+def test_html_marks_drop_whole_names_only(body, text):
+    assert html.main_text(f"<html>{body}", None) == text
+
+
 # pipeline
 
 def test_pipeline_stages(spark):

@@ -32,6 +32,11 @@ DROPPED_WORDS = set(
     "notice cookie consent popup modal newsletter subscribe subscription comment comments respond disqus share sharing social related "
     "breadcrumb breadcrumbs widget login search".split()
 )
+# What may stand beside those words in a name made of several, such as site-header or share-buttons.
+BESIDE = set("site page main top bottom left right side primary secondary global mobile sub dropdown bar box area list block container wrapper wrap inner section slot unit links item items buttons form posts articles".split())
+HEADER_BESIDE = set("site top global".split())
+# Elements that no mark drops.
+KEPT = set("html body main article".split())
 # Elements that hold others and make paths, and elements that end a block of text.
 CONTAINERS = set("html head body header nav main article section aside footer div form ul ol table h1 h2 h3 h4 h5 h6 title".split()) | DROPPED
 BLOCKS = CONTAINERS | set("p li dl dt dd tr td th thead tbody tfoot caption blockquote pre figure figcaption address hr".split())
@@ -41,7 +46,10 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_SPLIT = re.compile(r"[^a-z]+")
+# Other elements that are dropped by their marks.
+MARKED = {"p", "li", "span"}
+_NAMES = re.compile(r"[.\s]+")
+_PARTS = re.compile(r"[^a-z]+")
 SUPPORT = 0.5
 FEW_PAGES = 3
 
@@ -55,8 +63,24 @@ def _marks(attrs: str) -> str:
     return ".".join((m[2] or m[3] or m[4] or "").lower().replace("/", "-") for m in _ATTR.finditer(attrs)) if attrs else ""
 
 
+def _names_dropped(name: str, heads: bool) -> bool:
+    """Whether a whole class, id or role is one of the dropped words, or made of them and what may stand beside; heads: headers are kept."""
+    parts = {x for x in _PARTS.split(name) if x}
+    if parts in ({"side", "bar"}, {"nav", "bar"}):
+        return True
+    words = parts & DROPPED_WORDS
+    if words == {"header"}:
+        return not heads and parts <= words | HEADER_BESIDE
+    return bool(words) and parts <= words | BESIDE
+
+
 def _is_dropped(tag: str, marks: str, within_article: bool) -> bool:
-    return tag in DROPPED or (tag == "header" and not within_article) or bool(marks and DROPPED_WORDS.intersection(_SPLIT.split(marks)))
+    if tag in KEPT:
+        return False
+    if tag in DROPPED or (tag == "header" and not within_article):
+        return True
+    heads = within_article or tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+    return bool(marks) and any(_names_dropped(x, heads) for x in _NAMES.split(marks))
 
 
 def events(page: str) -> Iterator[tuple[str, tuple, bool, bool]]:
@@ -82,7 +106,21 @@ def events(page: str) -> Iterator[tuple[str, tuple, bool, bool]]:
             yield None, path, dropped, False
         elif tag == "br":
             yield " ", path, dropped, False
-        if tag in CONTAINERS:
+        # p, li and span are held only where they are dropped, and those of one kind within, to find the end.
+        if tag in BLOCKS and not (m["end"] and tag in CONTAINERS):
+            ended = len(stack)
+            while stack and (stack[-1][0] == "span" and tag not in CONTAINERS or stack[-1][0] == "p" or (stack[-1][0] == tag == "li" and not m["end"])):
+                stack.pop()
+            if len(stack) < ended:
+                path, dropped = state()
+        if tag in MARKED and not m["end"]:
+            marks = _marks(m["attrs"])
+            if (m["attrs"] or "").endswith("/"):
+                continue
+            if any(s[0] == tag for s in stack) or _is_dropped(tag, marks, any(s[0] in ("article", "main") for s in stack)):
+                stack.append((tag, f"{tag}.{marks}" if marks else tag, True))
+                path, dropped = state()
+        elif tag in CONTAINERS or tag in MARKED:
             if not m["end"]:
                 if not (m["attrs"] or "").endswith("/"):
                     marks = _marks(m["attrs"])
