@@ -105,6 +105,14 @@ def test_jaccard_large_group_of_near_copies(spark):
     assert found == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("words, percent", [(4, 85), (5, 80)])
+def test_jaccard_text_of_exactly_so_many_words(spark, words, percent):
+    texts = [f"{' '.join([w] * n)}" for w in "ab" for n in range(1, words + 3)] + ["", "a b a b", "a b a b a b"]
+    rows = list(enumerate(texts))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words, percent).collect()}
+    assert found == brute_components(rows, words, percent)
+
+
 def test_jaccard_edge_rows(spark):
     rows = jaccard.near_duplicates(edge_rows(spark)).collect()
     assert len(rows) == 9

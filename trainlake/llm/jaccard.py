@@ -44,7 +44,7 @@ def ngrams(text: str | None, words: int) -> np.ndarray:
     found = (text or "").encode("utf-8", "replace").lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    if len(found) <= words:
+    if len(found) < words:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64)
     each = np.array([xxhash.xxh3_64_intdigest(w) for w in found], np.uint64)
     return np.unique(_joined(each, words))
