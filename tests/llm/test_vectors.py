@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import types as T
 
 from trainlake.llm import neighbours
@@ -47,6 +48,21 @@ def test_groups_copies_and_chains(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.collect())
 
 
+@pytest.mark.parametrize("queries", ["vec_id % 10 = 0", "vec_id < 0"])
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_no_link_is_lost_where_the_graph_is_poor(spark, monkeypatch, queries, rounds):
+    for name, value in (("TREES", 1), ("BLOCK", 4), ("LEAF", 2), ("MAX_ROUNDS", rounds)):
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((150, 16))
+    rows = [(k, (centres[k // 2] + 0.15 * rng.standard_normal(16)).astype(np.float32).tolist(), 0, "x") for k in range(300)]
+    found, recall = neighbours.near_vectors(spark.createDataFrame(rows, SCHEMA), queries=queries, recall=1.0)
+    assert recall == 1.0
+    audited = sorted((r.vec_id, r.n_links, r.component_id) for r in found.collect())
+    if rounds == 1 or queries == "vec_id < 0":
+        assert audited == brute(rows, 0.93)
+
+
 def test_no_vectors(spark):
     found, recall = neighbours.near_vectors(spark.createDataFrame([], SCHEMA))
     assert found.count() == 0 and recall == 1.0

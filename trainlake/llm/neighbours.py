@@ -5,8 +5,9 @@ ordered by the sides they lie on, and blocks of that order are compared. Then ro
 neighbours of each node with one another and keep the best of each list. Lists that are full of
 links are saturated: such nodes are compared with all vectors of their label, in blocks, so
 no partner is lost to the length of a list. A fixed query set is compared with all vectors, too; the
-share of its links that the graph has found is the audited recall, and rounds go on
-while it is too low.
+share of its links that the graph has found is the audited recall. Where the queries have no links to find,
+vectors drawn by hash take their place. While the recall is too low, rounds go on with fresh hyperplanes and
+longer lists; if it stays too low, or there are no links to measure it by, all vectors are compared, in blocks.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ LEAF = 96
 BLOCK = 192
 WIDE_BLOCK = 512
 MAX_ROUNDS = 6
+#: Nodes drawn for the audit, about, where the queries have no links.
+AUDITED = 2_000
 _EDGE = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("cos", pa.float64())])
 EDGES = "u long, v long, cos double"
 
@@ -63,8 +66,8 @@ def _best(ids: np.ndarray, cos: np.ndarray, k: int) -> pa.RecordBatch:
     return _edges(np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(cos, near, 1).ravel())
 
 
-def _first_graph(nodes: DataFrame, planes: int) -> DataFrame:
-    """Edges between nodes that lie in one block of a random order of hyperplane sides."""
+def _first_graph(nodes: DataFrame, planes: int, first: int = 0, length: int = LIST) -> DataFrame:
+    """Edges between nodes that lie in one block of a random order of hyperplane sides; first is the number of the first tree."""
     keys = pa.schema([("tree", pa.int32()), ("grp", pa.string()), ("side", pa.int64()), ("along", pa.float64()), ("node", pa.int64()), ("unit", pa.binary())])
 
     def place(batches):
@@ -74,7 +77,7 @@ def _first_graph(nodes: DataFrame, planes: int) -> DataFrame:
                 at = np.flatnonzero(size == dims)
                 part = b.take(pa.array(at))
                 x = _matrix(part.column(2).to_pylist())
-                for tree in range(TREES):
+                for tree in range(first, first + TREES):
                     normal = np.random.default_rng((7, tree, int(dims))).standard_normal((dims, planes + 1))
                     seen = x @ normal
                     side = (seen[:, :planes] > 0) @ (1 << np.arange(planes, dtype=np.int64))
@@ -87,7 +90,7 @@ def _first_graph(nodes: DataFrame, planes: int) -> DataFrame:
         def block():
             if len(held) > 1:
                 x = _matrix([h[1] for h in held])
-                yield _best(np.array([h[0] for h in held]), x @ x.T, LIST)
+                yield _best(np.array([h[0] for h in held]), x @ x.T, length)
 
         for b in batches:
             columns = [b.column(k).to_pylist() for k in range(6)]
@@ -105,26 +108,26 @@ def _first_graph(nodes: DataFrame, planes: int) -> DataFrame:
     return materialise(placed, "placed").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, EDGES)
 
 
-def _lists(edges: DataFrame) -> DataFrame:
-    """The LIST best different neighbours of each node."""
+def _lists(edges: DataFrame, length: int = LIST) -> DataFrame:
+    """The best different neighbours of each node."""
     per = edges.groupBy("u", "v").agg(F.max("cos").alias("cos"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("cos", "v")), asc=False), 1, LIST)
+    best = F.slice(F.sort_array(F.collect_list(F.struct("cos", "v")), asc=False), 1, length)
     return per.groupBy("u").agg(best.alias("best")).select("u", F.explode("best").alias("e")).select("u", "e.v", "e.cos")
 
 
-def _descend(lists: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges between neighbours of one node: of each node its list, and the LIST best of those that list it."""
-    back = _lists(lists.select(F.col("v").alias("u"), F.col("u").alias("v"), "cos"))
+def _descend(lists: DataFrame, nodes: DataFrame, length: int = LIST) -> DataFrame:
+    """Edges between neighbours of one node: of each node its list, and as many of the best of those that list it."""
+    back = _lists(lists.select(F.col("v").alias("u"), F.col("u").alias("v"), "cos"), length)
     around = lists.select("u", "v").unionByName(back.select("u", "v")).unionByName(lists.select("u", F.col("u").alias("v"))).distinct()
     given = around.join(nodes.select(F.col("node").alias("v"), "unit"), "v")
-    meeting = given.groupBy("u").agg(F.collect_list(F.struct("v", "unit")).alias("met"))  # at most 2 LIST + 1
+    meeting = given.groupBy("u").agg(F.collect_list(F.struct("v", "unit")).alias("met"))  # at most 2 length + 1
 
     def compare(batches):
         for b in batches:
             for met in b.column(0).to_pylist():
                 if len(met) > 1:
                     x = _matrix([m["unit"] for m in met])
-                    yield _best(np.array([m["v"] for m in met]), x @ x.T, LIST)
+                    yield _best(np.array([m["v"] for m in met]), x @ x.T, length)
 
     return meeting.select("met").mapInArrow(compare, EDGES)
 
@@ -202,7 +205,7 @@ def _meetings(rows: np.ndarray, columns: np.ndarray, first: np.ndarray):
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.93, queries: str = "vec_id % 100 = 0", recall: float = 0.95) -> tuple[DataFrame, float]:
-    """n_links, component_id and kept of every vector, and the audited recall.
+    """n_links, component_id and kept of every vector, and the audited recall (1 where all were compared).
 
     vectors has vec_id, embedding and label; other columns are not looked at. Only vectors with the same
     label and the same length are compared. Vectors without a label, NULL or empty ones, zero ones and
@@ -219,25 +222,43 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, queries: str = "vec_id
     members = units.join(nodes.select("grp", "unit", "node", "copies"), ["grp", "unit"]).select("row", "node", "copies")
     largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0] or 0
     planes = max(1, min(40, int(np.ceil(np.log2(max(2, largest / LEAF))))))
+    audits: dict[str, DataFrame] = {}
+
+    def audit(name: str, drawn) -> tuple:
+        """Links found and links there are, of the drawn nodes that are not full."""
+        if name not in audits:
+            some = nodes.withColumn("asked", drawn)
+            audits[name] = materialise(_exact(some.filter("asked"), some, least).join(some.filter("asked").select("node"), "node").filter("partner = -1").groupBy("node").agg(F.sum("n").alias("n")), "truth")
+        open_ = audits[name].join(full.select("node"), "node", "left_anti").join(found, "node", "left")
+        return tuple(open_.agg(F.coalesce(F.sum(F.coalesce("found", F.lit(0))), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first())
+
+    n_nodes = nodes.count()
     lists = materialise(_lists(_first_graph(nodes, planes)), "lists")
-    turn = 0
+    turn, length, seen = 0, LIST, 1.0
     while True:
         turn += 1
-        lists = materialise(_lists(lists.unionByName(_descend(lists, nodes))), "lists")
+        lists = materialise(_lists(lists.unionByName(_descend(lists, nodes, length)), length), "lists")
         near = lists.filter(F.col("cos") >= least)
-        full = near.groupBy("u").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= LIST).select(F.col("u").alias("node"), F.lit(True).alias("full"))
-        state = materialise(nodes.join(full, "node", "left").select("node", "grp", "unit", "copies", "asked", F.coalesce("full", F.lit(False)).alias("full")), "state")
-        wide = state.withColumn("asked", F.col("asked") | F.col("full"))
-        exact = materialise(_exact(wide.filter("asked"), wide, least), "exact")
-        # Recall over the queries: links of the graph (nodes that have their links from all vectors count as found).
+        full = materialise(near.groupBy("u").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= length).select(F.col("u").alias("node"), F.lit(True).alias("full")), "full")
         pairs = near.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct()
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(nodes.select(F.col("node").alias("b"), "copies"), "b")
         found = both.groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("found"))
-        truth = exact.filter("partner = -1").groupBy("node").agg(F.sum("n").alias("n"))
-        audit = state.filter("asked AND NOT full").join(truth, "node").join(found, "node", "left").agg(F.sum(F.coalesce("found", F.lit(0))), F.sum("n")).first()
-        seen = audit[0] / audit[1] if audit[1] else 1.0
-        if seen >= recall or turn >= MAX_ROUNDS:
+        # Full nodes are compared with all vectors after the rounds; the others have to have their links by then.
+        n_open = n_nodes - full.count()
+        got, there = audit("queries", F.col("asked"))
+        if n_open and not there:
+            got, there = audit("drawn", F.pmod(F.xxhash64("node"), F.lit(max(1, n_nodes // AUDITED))) == 0)
+        seen = got / there if there else float(not n_open)
+        if seen >= recall or turn >= MAX_ROUNDS or not there:
             break
+        length *= 2
+        lists = materialise(lists.unionByName(_first_graph(nodes, planes, turn * TREES, length)), "lists")
+    state = nodes.join(full, "node", "left")
+    wide = state.withColumn("asked", F.lit(seen < recall) | F.col("asked") | F.coalesce("full", F.lit(False))).select("node", "grp", "unit", "copies", "asked")
+    wide = materialise(wide, "state")
+    exact = materialise(_exact(wide.filter("asked"), wide, least), "exact")
+    truth = exact.filter("partner = -1").groupBy("node").agg(F.sum("n").alias("n"))
+    seen = seen if seen >= recall else 1.0
     # Nodes that were compared with all vectors have exact numbers; links between the others are those of the graph.
     others = wide.filter("NOT asked").select("node")
     plain = both.join(others.select(F.col("node").alias("a")), "a").join(others.select(F.col("node").alias("b")), "b")
