@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
-from trainlake.llm import decontaminate, html, jaccard, language, licenses, neighbours, packing, pii, token_files, toxicity
+from trainlake.llm import chat, decontaminate, html, jaccard, language, licenses, neighbours, packing, pii, token_files, toxicity
 from trainlake.llm.common import fold
 from trainlake.session import scratch_path
 
@@ -89,3 +89,16 @@ def op10_dictionary_frames(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_tokens(table(spark, sf, "documents"), path, public_tokenizers.path(TOKENIZER), end_id=2)
     return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+#: A conversation that holds the marks of a chat template.
+MARKED = [(-7, turn, role, "\\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+@QUERIES
+def op11_budgeted_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations and one that holds the template's marks, in windows written and read back."""
+    said = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    path = scratch_path(spark, "chat-windows")
+    chat.format_windows(said.union(spark.createDataFrame(MARKED, said.schema)), public_tokenizers.path(TOKENIZER)).write.parquet(path)
+    return chat.digests(spark.read.parquet(path))
