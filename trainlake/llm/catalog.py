@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
-from trainlake.llm import chat, decontaminate, html, jaccard, language, licenses, neighbours, packing, pii, token_files, toxicity
+from trainlake.llm import chat, decontaminate, divergence, html, jaccard, language, licenses, neighbours, packing, pii, token_files, toxicity
 from trainlake.llm.common import fold
 from trainlake.session import scratch_path
 
@@ -102,3 +102,51 @@ def op11_budgeted_windows(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "chat-windows")
     chat.format_windows(said.union(spark.createDataFrame(MARKED, said.schema)), public_tokenizers.path(TOKENIZER)).write.parquet(path)
     return chat.digests(spark.read.parquet(path))
+
+
+@QUERIES
+def op12_duplicate_text_collapse(spark: SparkSession, sf: str) -> DataFrame:
+    """Divergence of the sources of each language, and the terms that set a source apart."""
+    return divergence.divergence(table(spark, sf, "documents").select("text", "lang", "source"))
+
+
+_UPPER, _LOWER = (bytes(range(c, c + 26)).decode() for c in b"Aa")
+ORACLES["op12_duplicate_text_collapse"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+terms AS (
+    SELECT row, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs
+),
+vocabulary AS (SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM vocabulary GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN vocabulary USING (lang, term) GROUP BY lang, source, term),
+named AS (SELECT DISTINCT lang, source FROM docs),
+full_counts AS (
+    SELECT g.lang, g.source, w.term, coalesce(c.n, 0) AS n FROM named g JOIN vocabulary w ON g.lang = w.lang
+    LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = w.term
+),
+shares AS (
+    SELECT f.lang, f.source, f.term, f.n, 1 + (1000000000::HUGEINT * (f.n + 2)) // (sum(f.n) OVER (PARTITION BY f.lang, f.source) + 2 * s.v) AS p
+    FROM full_counts f JOIN sizes s ON f.lang = s.lang
+),
+whole AS (SELECT lang, term, sum(n) AS n FROM full_counts GROUP BY lang, term),
+lang_shares AS (
+    SELECT w.lang, w.term, 1 + (1000000000::HUGEINT * (w.n + 2)) // (sum(w.n) OVER (PARTITION BY w.lang) + 2 * s.v) AS q
+    FROM whole w JOIN sizes s ON w.lang = s.lang
+),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value FROM named a JOIN named b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+),
+own AS (
+    SELECT s.lang, s.source, s.term AS item, ((s.p - l.q) * (s.p - l.q)) // (s.p + l.q) AS value
+    FROM shares s JOIN lang_shares l ON s.lang = l.lang AND s.term = l.term WHERE s.n > 0 AND s.p > l.q
+),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM own)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 10
+"""
