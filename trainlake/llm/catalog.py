@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
-from trainlake.llm import chat, decontaminate, divergence, html, jaccard, language, licenses, neighbours, packing, pii, token_files, toxicity
+from trainlake.llm import chat, decontaminate, divergence, html, jaccard, language, licenses, neighbours, packing, pii, token_files, toxicity, trie
 from trainlake.llm.common import fold
 from trainlake.session import scratch_path
 
@@ -150,3 +150,9 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
 WHERE part = 'pair' OR rank <= 10
 """
+
+
+@QUERIES
+def op13_union_find_lcp(spark: SparkSession, sf: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf, "conversations"))
