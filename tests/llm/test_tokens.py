@@ -15,7 +15,6 @@ from trainlake.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 OURS = Encoder(PATH, cached=50)
 
 
@@ -29,8 +28,15 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
     assert OURS.encode([text])[0] == plain(text, 0)[:-1].tobytes()
 
 
-def test_strings_of_special_tokens_are_text():
-    assert OURS.encode(["a<|endoftext|>b"])[0] == plain("a<|endoftext|>b", 0)[:-1].tobytes()
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> <|endo", "a\x00b \x00", "<|endoftext|", "it's 'super"])
+def test_special_strings_and_odd_characters_as_the_library_takes_them(text):
+    assert OURS.encode([text])[0] == plain(text, 0)[:-1].tobytes()
+
+
+def test_forgotten_pieces_are_asked_for_again():
+    few = Encoder(PATH, cached=6)
+    texts = [" ".join(f"word{i * j % 17}" for i in range(40)) for j in range(30)] + ["x" * 500 + " y"]
+    assert few.encode(texts) == [plain(t, 0)[:-1].tobytes() for t in texts] and len(few._newer) <= 3
 
 
 @pytest.mark.parametrize("tokens", [1, 2, 3, 1023, 1024, 1025, 5000])

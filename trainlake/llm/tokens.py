@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import cached_property
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _LETTER = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -15,53 +16,81 @@ _LETTER = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _PIECE = re.compile(
     rf" ?[{_LETTER}]+(?=[ \n,.!?;:|]|\Z)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-CACHED_PIECES = 500_000
+CACHED_PIECES = 400_000
 LONGEST_CACHED = 64
+#: Stands between pieces that are asked for together; its token has no other byte.
+_BETWEEN = "\x00"
+ASKED = 128
 
 
 class Encoder:
-    """Encodes whole texts of a byte-level BPE; strings of special tokens are ordinary text.
+    """Encodes whole texts of a byte-level BPE, with the ids that the library gives without added special tokens.
 
-    The library is asked once for each different piece (a word with the blank before it);
-    at most ``cached`` pieces are remembered, then the memory starts anew.
+    The library is asked once for each different piece (a word with the blank before it), for many pieces in one call. At most
+    ``cached`` pieces are remembered, in two halves: when the newer is full it becomes the older, and what is used again moves up.
+    Texts that hold a special string of the tokenizer, or the character between pieces, are encoded as they are.
     """
 
     def __init__(self, path: str, cached: int = CACHED_PIECES):
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
-        self._cached = cached
+        self._path = path
+        self._joined = Tokenizer.from_file(path)
+        self._joined.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(_BETWEEN, "isolated"), self._joined.pre_tokenizer])
+        (self._between,) = self._joined.encode(_BETWEEN, add_special_tokens=False).ids
+        special = [t.content for t in self._joined.get_added_tokens_decoder().values()]
+        self._whole = re.compile("|".join(map(re.escape, [_BETWEEN, *special])))
+        self._newer: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._half = max(1, cached // 2)
 
     @property
     def vocabulary(self) -> int:
-        return self._tokenizer.get_vocab_size()
+        return self._joined.get_vocab_size()
+
+    @cached_property
+    def _plain(self) -> Tokenizer:
+        return Tokenizer.from_file(self._path)
 
     def _ask(self, pieces: list[str]) -> dict[str, bytes]:
-        encoded = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(pieces, encoded, strict=True)}
+        """Ids of different pieces."""
+        found = {}
+        for k in range(0, len(pieces), ASKED):
+            some = pieces[k : k + ASKED]
+            (encoded,) = self._joined.encode_batch_fast([_BETWEEN.join(some)], add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(some, [*np.flatnonzero(ids == self._between).tolist(), len(ids)], strict=True):
+                found[piece] = data[4 * start : 4 * end]
+                start = end + 1
+        return found
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        older = self._older
+        found = {p: older[p] for p in pieces if p in older}
+        if len(found) < len(pieces):
+            found.update(self._ask([p for p in pieces if p not in found]))
+        for piece, ids in found.items():
+            if len(piece) <= LONGEST_CACHED:
+                if len(self._newer) >= self._half:
+                    self._older, self._newer = self._newer, {}
+                self._newer[piece] = ids
+        return found
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; nothing for NULL or empty texts."""
         out = []
         for text in texts:
-            pieces = _PIECE.findall(text or "")
-            unknown = list(set(pieces).difference(self._known))
-            once: dict[str, bytes] = {}
-            if unknown:
-                if len(self._known) + len(unknown) > self._cached:
-                    self._known.clear()
-                    unknown = list(set(pieces))
-                found = self._ask(unknown)
-                if len(found) > self._cached:
-                    once = found
-                else:
-                    once = {p: v for p, v in found.items() if len(p) > LONGEST_CACHED}
-                    self._known.update((p, v) for p, v in found.items() if len(p) <= LONGEST_CACHED)
-            known = self._known
-            if once:
-                out.append(b"".join([known[p] if p in known else once[p] for p in pieces]))
+            if not text:
+                out.append(b"")
+            elif self._whole.search(text):
+                (encoded,) = self._plain.encode_batch_fast([text], add_special_tokens=False)
+                out.append(np.array(encoded.ids, "<u4").tobytes())
             else:
-                out.append(b"".join([known[p] for p in pieces]))
+                pieces = _PIECE.findall(text)
+                found = list(map(self._newer.get, pieces))
+                if None in found:
+                    learned = self._learn({p for p, ids in zip(pieces, found, strict=True) if ids is None})
+                    found = [learned[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+                out.append(b"".join(found))
         return out
 
 
