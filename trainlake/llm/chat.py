@@ -77,13 +77,17 @@ def _formatted(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
     """
 
     def extend(batch):
-        encode = encoder(tokenizer_path).encode
-        roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        written = [format_turn(r, t) for r, t in zip(roles, texts, strict=True)]
-        tokens = np.array([len(ids) // 4 for ids in encode([w for w, _ in written])], np.int64)
-        leads = np.where([r == SYSTEM for r in roles], tokens, -1)
-        chars = [len(w) for w, _ in written]
-        return [pa.array([w for w, _ in written], pa.string()), pa.array(chars, pa.int64()), pa.array([h for _, h in written], pa.int64())], tokens, leads
+        encode, columns, tokens, system = encoder(tokenizer_path).encode, [[], [], []], [], []
+        for part in _slices(batch):
+            for role, text in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                written, head = format_turn(role, text)
+                for column, value in zip(columns, (written, len(written), head), strict=True):
+                    column.append(value)
+                tokens.append(len(encode([written])[0]) // 4)
+                system.append(role == SYSTEM)
+        weights = np.array(tokens, np.int64)
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)]
+        return arrays, weights, np.where(system, weights, -1)
 
     return running(clean_turns(conversations), "conv_id", turn_order(), extend, _ADDED)
 
