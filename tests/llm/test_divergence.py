@@ -71,6 +71,7 @@ def test_same_rows_as_brute_force(spark, least):
 def test_more_than_one_square_of_sources(monkeypatch):
     monkeypatch.setattr(divergence, "SQUARE", 3)
     monkeypatch.setattr(divergence, "SQUARES", 2)
+    monkeypatch.setattr(divergence, "PAIRS", 7)
     held = [[{"at": k, "p": 100 + 7 * k * t, "base": 3 + k} for k in range(17) if (k * t) % 5 < 3] for t in range(1, 40)]
     batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(held)), pa.array(held)], names=["lang", "held"])
     found, expected = Counter(), Counter()
@@ -90,11 +91,14 @@ def test_counts_are_handed_on_when_too_many_are_held(monkeypatch):
     rows = [("en", "a b A", [{"source": "x", "n": 2}, {"source": "y", "n": 1}]), ("en", "b c d e", [{"source": "x", "n": 5}])]
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["lang", "text", "copies"])
     outs = list(divergence._count([batch]))
-    found = Counter()
+    found, docs = Counter(), Counter()
     for out in outs:
         for r in out.to_pylist():
-            found[r["source"], r["term"]] += r["n"]
+            for held in r["held"]:
+                found[held["source"], r["term"]] += held["n"]
+                docs[held["source"], r["term"]] += held["docs"]
     assert len(outs) > 1 and found == {("x", b"a"): 4, ("x", b"b"): 7, ("y", b"a"): 2, ("y", b"b"): 1, ("x", b"c"): 5, ("x", b"d"): 5, ("x", b"e"): 5}
+    assert docs == {("x", b"a"): 2, ("x", b"b"): 7, ("y", b"a"): 1, ("y", b"b"): 1, ("x", b"c"): 5, ("x", b"d"): 5, ("x", b"e"): 5}
 
 
 def test_texts_are_collapsed_with_their_copies(spark):

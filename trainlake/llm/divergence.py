@@ -30,15 +30,16 @@ LEAST_DOCUMENTS = 10
 TOP_TERMS = 10
 #: Term counts a task holds before it hands them on.
 HELD = 400_000
+#: Documents are counted in multiples of this, in one number with occurrences, of which a task holds fewer.
+DOCUMENT = 1 << 44
+#: Pairs of sources that are worked on at once.
+PAIRS = 1 << 18
 #: Sources of one square of pairs, and squares a task holds (2 MB each) before it hands them on.
 SQUARE, SQUARES = 512, 32
 
 #: Fixed by the contract: a term is a run of letters A-Z, a-z and of anything beyond ASCII; only A-Z are lower-cased.
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
-_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())])
-
-
 def terms(text: bytes) -> list[bytes]:
     """The terms of a UTF-8 text in order."""
     return text.translate(_TABLE).split()
@@ -62,14 +63,24 @@ def collapse(docs: DataFrame) -> DataFrame:
 
 
 def _count(batches):
-    """Occurrences and documents of each term by language and source; texts are taken apart once, whatever their copies."""
-    counts: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
+    """Occurrences and documents of each term by source, one row for a term of a language.
+
+    Texts are taken apart once, whatever their copies. Both numbers are held in one: documents above DOCUMENT.
+    """
+    counts: dict[tuple[str, str], dict[bytes, int]] = defaultdict(dict)
     held = 0
 
     def rows():
-        found = [(lang, source, term, n, docs) for (lang, source), by_term in counts.items() for term, (n, docs) in by_term.items()]
-        columns = [[r[k] for r in found] for k in range(len(_COUNTS))]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _COUNTS, strict=True)], schema=_COUNTS)
+        by_term: dict[tuple[str, bytes], list] = defaultdict(list)
+        for (lang, source), found in counts.items():
+            for term, both in found.items():
+                by_term[lang, term].append((source, both % DOCUMENT, both // DOCUMENT))
+        flat = [one for many in by_term.values() for one in many]
+        ends = np.cumsum([0, *map(len, by_term.values())])
+        structs = pa.StructArray.from_arrays([pa.array([one[k] for one in flat], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.int64()))], ["source", "n", "docs"])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+        keys = [pa.array([key[k] for key in by_term], kind) for k, kind in enumerate((pa.string(), pa.binary()))]
+        return pa.RecordBatch.from_arrays([*keys, lists], names=["lang", "term", "held"])
 
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
@@ -79,12 +90,7 @@ def _count(batches):
                 into, n = counts[lang, copy["source"]], copy["n"]
                 held -= len(into)
                 for term, times in found.items():
-                    seen = into.get(term)
-                    if seen is None:
-                        into[term] = [times * n, n]
-                    else:
-                        seen[0] += times * n
-                        seen[1] += n
+                    into[term] = into.get(term, 0) + n * (times + DOCUMENT)
                 held += len(into)
                 if held >= HELD:
                     yield rows()
@@ -93,10 +99,15 @@ def _count(batches):
     yield rows()
 
 
-def term_counts(collapsed: DataFrame) -> DataFrame:
-    """lang, source, term, n, docs of all terms."""
-    partial = collapsed.mapInArrow(_count, "lang string, source string, term binary, n long, docs long")
-    return partial.groupBy("lang", "source", F.col("term").cast("string").alias("term")).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def kept_terms(collapsed: DataFrame, least_documents: int) -> DataFrame:
+    """lang, term, total, sources (array of source and n) of the terms in enough documents of their language.
+
+    Partial counts are shuffled once, by term; both sums, by source and over sources, are made where they arrive.
+    """
+    partial = collapsed.mapInArrow(_count, "lang string, term binary, held array<struct<source:string,n:long,docs:long>>")
+    by_source = partial.repartition("lang", "term").select("lang", "term", F.inline("held")).groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    by_term = by_source.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("sources"))
+    return by_term.filter(F.col("docs") >= least_documents).select("lang", F.col("term").cast("string").alias("term"), "total", "sources")
 
 
 def _share(n: str, total: str, kept: str) -> Column:
@@ -112,45 +123,60 @@ def _gap(p: str, q: str) -> Column:
 
 
 def _gaps(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    a, b = p[:, None], q[None, :]
-    return (a - b) ** 2 // (a + b)
+    return (p - q) ** 2 // (p + q)
+
+
+def _pairs(size: int):
+    """Pairs of positions below size, the first the smaller, some rows of the triangle at a time."""
+    rows = max(1, PAIRS // size)
+    for k in range(0, size - 1, rows):
+        first, second = np.nonzero(np.arange(k, min(k + rows, size - 1))[:, None] < np.arange(size)[None, :])
+        yield first + k, second
 
 
 def _common(batches):
     """What terms of two sources add beyond the parts of each: lang, a, b (positions, a < b), value.
 
-    Each row is a term with its sources in order. Sums are kept in squares of sources and handed on when a task holds too many.
+    Each row is a term with its sources in order. Terms of a batch with the same number of sources are taken together, all their pairs at
+    once. Sums are kept in squares of sources and handed on when a task holds too many.
     """
     squares: dict[tuple[str, int, int], np.ndarray] = {}
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+    names = ["lang", "a", "b", "value"]
 
     def rows():
-        found = []
         for (lang, x, y), sums in squares.items():
             a, b = np.nonzero(sums)
-            up = x * SQUARE + a < y * SQUARE + b
-            a, b = a[up], b[up]
-            found.append(pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(a), pa.string()), pa.array(x * SQUARE + a), pa.array(y * SQUARE + b), pa.array(sums[a, b])
-            ], names=["lang", "a", "b", "value"]))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(a), pa.string()), pa.array(x * SQUARE + a), pa.array(y * SQUARE + b), pa.array(sums[a, b])], names=names)
         squares.clear()
-        return found
+
+    def add(lang, a, b, value):
+        square = a // SQUARE * (1 << 32) + b // SQUARE
+        for key in np.unique(square).tolist():
+            x, y = divmod(key, 1 << 32)
+            here = square == key
+            if (lang, x, y) not in squares:
+                if len(squares) >= SQUARES:
+                    yield from rows()
+                squares[lang, x, y] = np.zeros((SQUARE, SQUARE), np.int64)
+            np.add.at(squares[lang, x, y], (a[here] % SQUARE, b[here] % SQUARE), value[here])
 
     for batch in batches:
-        for lang, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            at, p, base = (np.array([s[c] for s in held], np.int64) for c in ("at", "p", "base"))
-            cuts = np.flatnonzero(np.diff(at // SQUARE)) + 1
-            blocks = [(int(at[k[0]]) // SQUARE, at[k] % SQUARE, p[k], base[k]) for k in np.split(np.arange(len(at)), cuts)]
-            for k, (x, rows_at, px, bx) in enumerate(blocks):
-                for y, columns_at, py, by in blocks[k:]:
-                    square = squares.get((lang, x, y))
-                    if square is None:
-                        if len(squares) >= SQUARES:
-                            yield from rows()
-                        square = squares[lang, x, y] = np.zeros((SQUARE, SQUARE), np.int64)
-                    square[np.ix_(rows_at, columns_at)] += _gaps(px, py) - _gaps(px, by) - _gaps(bx, py) + _gaps(bx, by)
+        langs, lists = np.array(batch.column(0).to_pylist(), object), batch.column(1)
+        offsets = lists.offsets.to_numpy()
+        fields = lists.values
+        at, p, base = (fields.field(c).to_numpy(zero_copy_only=False) for c in ("at", "p", "base"))
+        sizes = np.diff(offsets)
+        for lang in dict.fromkeys(langs):
+            for size in np.unique(sizes[langs == lang]).tolist():
+                starts = offsets[:-1][(langs == lang) & (sizes == size)]
+                for first, second in _pairs(size):
+                    wide = max(1, PAIRS // len(first))
+                    for k in range(0, len(starts), wide):
+                        left, right = ((starts[k : k + wide, None] + side[None, :]).ravel() for side in (first, second))
+                        px, py, bx, by = p[left], p[right], base[left], base[right]
+                        yield from add(lang, at[left], at[right], _gaps(px, py) - _gaps(px, by) - _gaps(bx, py) + _gaps(bx, by))
     yield from rows()
-    yield pa.RecordBatch.from_arrays([pa.array([], kind) for kind in kinds], names=["lang", "a", "b", "value"])
+    yield pa.RecordBatch.from_arrays([pa.array([], kind) for kind in (pa.string(), pa.int64(), pa.int64(), pa.int64())], names=names)
 
 
 def _ranked(found: DataFrame, part: str) -> DataFrame:
@@ -166,9 +192,8 @@ def divergence(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int
     often than its language. A language without a term in ``least_documents`` documents has pairs of value 0 and no terms.
     Ties are ordered by item. An empty table gives no rows.
     """
-    counts = materialise(term_counts(collapse(docs)), "term-counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")).filter(F.col("docs") >= least_documents)
-    sparse = materialise(counts.join(kept.select("lang", "term", "total"), ["lang", "term"]).select("lang", "source", "term", "n", "total"), "kept-counts")
+    kept = materialise(kept_terms(collapse(docs), least_documents), "kept-terms")
+    sparse = kept.select("lang", "term", "total", F.inline("sources"))
     # One row for each language, and one for each source of a language: as many as the answer has groups.
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("total").alias("lang_total"))
     totals = sparse.groupBy("lang", "source").agg(F.sum("n").alias("source_total"))
