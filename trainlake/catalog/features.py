@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.catalog.common import Queries, table
+from trainlake.catalog.splits import SQL_KEY, keyed_lines
 from trainlake.operators import features as feat
 from trainlake.operators.clean import ints_to_double
 from trainlake.operators.models import fit_features
@@ -67,6 +68,27 @@ ORACLES["index_high_cardinality"] = (
 )
 
 
+WIDE = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
+@QUERIES
+def index_three_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Three wide columns looked up in one pass, with levels that the training rows lack."""
+    lines = keyed_lines(spark, sf).select("row_key", *(F.col(c).cast("string").alias(c) for c in WIDE))
+    train, _ = hash_split(lines, F.col("row_key"), [0.8, 0.2])
+    index = feat.fit_index(train, WIDE)
+    return feat.apply_index(lines, index, on_unknown="keep", broadcast_levels=10).drop(*WIDE)
+
+
+_SQL_LINES = f"(SELECT {SQL_KEY} AS row_key, " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in WIDE) + " FROM lineitem)"
+ORACLES["index_three_wide"] = (
+    f"WITH lines AS {_SQL_LINES}, train AS (SELECT * FROM lines WHERE CAST('0x' || substr(md5('42:' || row_key), 1, 8) AS BIGINT) % 1000 < 800), "
+    + ", ".join(f"{c}_i AS {_sql_index('train', c)}" for c in WIDE)
+    + " SELECT row_key, " + ", ".join(f"coalesce({c}_i.idx, (SELECT count(*) FROM {c}_i)) AS {c}_idx" for c in WIDE)
+    + " FROM lines " + " ".join(f"LEFT JOIN {c}_i ON lines.{c} = {c}_i.level" for c in WIDE)
+)
+
+
 @QUERIES
 def one_hot_long(spark: SparkSession, sf: str) -> DataFrame:
     """the one-hot slot of each part's brand; the rarest brand has none."""

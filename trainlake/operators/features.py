@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,39 +162,63 @@ def apply_index(
     broadcast_levels: int = BROADCAST_LEVELS,
 ) -> DataFrame:
     """Add <column>_idx. Rows with an unknown or NULL level are dropped ("skip")
-    or get the number of levels as index ("keep")."""
+    or get the number of levels as index ("keep").
+
+    Columns whose levels fit a broadcast are looked up where the rows are. Of the others, the
+    most frequent levels are, too; rows with a rarer level in any of them are shuffled, once for all columns.
+    """
     if on_unknown not in ("skip", "keep"):
         raise ValueError(f"on_unknown is 'skip' or 'keep', not {on_unknown!r}")
-    for c in columns or index.sizes:
-        out = c + suffix
-        found = _lookup(df, index, c, out, broadcast_levels)
-        if on_unknown == "skip":
-            df = found.filter(F.col(out).isNotNull())
-        else:
-            df = found.withColumn(out, F.coalesce(out, F.lit(index.sizes[c]).cast("bigint")))
-    return df
-
-
-def _lookup(df: DataFrame, index: LevelIndex, c: str, out: str, limit: int) -> DataFrame:
-    levels = index.of(c).select(F.col("level").alias("_level"), F.col("idx").alias("_idx"))
-    # What is broadcast is bounded in rows and, by the longest level, in bytes.
-    limit = min(limit, BROADCAST_BYTES // max(index.widths[c], 1))
-    if index.sizes[c] <= limit:
-        joined = df.join(F.broadcast(levels), F.col(c) == F.col("_level"), "left")
-        return joined.withColumnRenamed("_idx", out).drop("_level")
-
-    # Indexes go by frequency: the first ones are the hot levels. Those are looked
-    # up without moving rows; only rows of rarer levels are shuffled by level.
-    head = levels.filter(F.col("_idx") < limit)
-    tail = levels.filter(F.col("_idx") >= limit)
-    first = df.join(F.broadcast(head), F.col(c) == F.col("_level"), "left").drop("_level")
-    rare = F.col("_idx").isNull() & F.col(c).isNotNull()
-    looked_up = first.filter(rare).drop("_idx").join(tail, F.col(c) == F.col("_level"), "left")
-    return (
-        first.filter(~rare)
-        .unionByName(looked_up.drop("_level"))
-        .withColumnRenamed("_idx", out)
+    columns = list(columns or index.sizes)
+    outs = {c: c + suffix for c in columns}
+    # What is broadcast is bounded in rows and, by the longest level, in bytes, for all columns together.
+    limits = {c: min(broadcast_levels, BROADCAST_BYTES // (max(index.widths[c], 1) * len(columns))) for c in columns}
+    wide = [c for c in columns if index.sizes[c] > limits[c]]
+    found = df
+    for c in columns:
+        levels = index.of(c).select(F.col("level").alias("_level"), F.col("idx").alias(outs[c]))
+        # Indexes go by frequency: the first ones are the hot levels.
+        head = levels.filter(F.col(outs[c]) < limits[c]) if c in wide else levels
+        found = found.join(F.broadcast(head), F.col(c) == F.col("_level"), "left").drop("_level")
+    if wide:
+        found = _rare_levels(found, index, wide, outs, limits)
+    found = found.select(*df.columns, *outs.values())
+    if on_unknown == "skip":
+        return found.dropna(subset=list(outs.values()))
+    return found.withColumns({out: F.coalesce(out, F.lit(index.sizes[c]).cast("bigint")) for c, out in outs.items()})
+
+
+def _rare_levels(df: DataFrame, index: LevelIndex, wide: Sequence[str], outs: Mapping[str, str], limits: Mapping[str, int]) -> DataFrame:
+    """Fill in the indexes of rare levels of all wide columns with one shuffle by level.
+
+    Rows without a rare level stay where they are. A row with some becomes an entry for each of them, and one
+    for the row itself under a level of its own, so that rows spread; after the look-up the entries of a row meet again.
+    """
+    rare = {c: F.col(outs[c]).isNull() & F.col(c).isNotNull() for c in wide}
+    some = reduce(Column.__or__, rare.values())
+    row, at, level = "_row", "_column", "_level"
+    entries = F.array(
+        F.struct(F.lit(-1).alias(at), F.col(row).cast("string").alias(level), F.struct(*df.columns).alias("_values")),
+        *(
+            F.when(rare[c], F.struct(F.lit(k).alias(at), F.col(c).alias(level), F.lit(None).cast(df.select(F.struct(*df.columns)).schema[0].dataType).alias("_values")))
+            for k, c in enumerate(wide)
+        ),
+    )
+    numbered = df.filter(some).withColumn(row, F.monotonically_increasing_id())
+    spread = numbered.select(row, F.inline(F.filter(entries, lambda e: e.isNotNull())))
+    number = F.create_map(*(x for k, c in enumerate(wide) for x in (F.lit(c), F.lit(k))))
+    least = F.create_map(*(x for c in wide for x in (F.lit(c), F.lit(limits[c]).cast("bigint"))))
+    tails = index.table.filter(F.col("column").isin(*wide) & (F.col("idx") >= least[F.col("column")])).select(
+        number[F.col("column")].alias("_of"), F.col("level").alias("_name"), F.col("idx").alias("_idx")
+    )
+    looked_up = spread.join(tails, (F.col(at) == F.col("_of")) & (F.col(level) == F.col("_name")), "left")
+    whole = looked_up.groupBy(row).agg(
+        F.first("_values", ignorenulls=True).alias("_values"),
+        *(F.max(F.when(F.col(at) == k, F.col("_idx"))).alias(f"_idx_{k}") for k in range(len(wide))),
     )
+    filled = {outs[c]: F.coalesce(F.col("_values")[outs[c]], F.col(f"_idx_{k}")) for k, c in enumerate(wide)}
+    back = whole.select(*(filled.get(c, F.col("_values")[c]).alias(c) for c in df.columns))
+    return df.filter(~some).unionByName(back)
 
 
 # --- one-hot and assembled features -----------------------------------------
