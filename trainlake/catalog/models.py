@@ -18,7 +18,7 @@ from trainlake.catalog.splits import SQL_BUCKET, SQL_KEY, keyed_lines
 from trainlake.functions.buckets import row_key
 from trainlake.operators import automl, models, tune
 from trainlake.operators.evaluate import feature_importance, permutation_importance, regression_metrics
-from trainlake.operators.features import Roles
+from trainlake.operators.features import Roles, fit_groups
 from trainlake.operators.models import Fitted, fit_pipeline
 from trainlake.operators.score import score
 from trainlake.operators.split import bucket_folds, bucket_split, fold_column, with_buckets
@@ -77,6 +77,65 @@ def boosted_group_mean(spark: SparkSession, sf: str) -> DataFrame:
 ORACLES["forest_group_mean"] = ORACLES["boosted_group_mean"] = SQL_FLAG_MEAN
 
 
+GROUPS = 8
+ORDERS = Roles(("l_orderkey",), ())
+
+
+def staged_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with their order as a category of very many levels, and a label of whole numbers, written once."""
+    lines = keyed_lines(spark, sf).select("row_key", F.col("l_orderkey").cast("string").alias("l_orderkey"), "l_quantity")
+    return materialise(lines, "orders")
+
+
+def _order_scores(spark: SparkSession, sf: str, estimator, one_hot: bool = False) -> DataFrame:
+    rows = staged_orders(spark, sf)
+    fitted = fit_pipeline(rows, ORDERS, estimator, one_hot, wide_levels=100)
+    return score(fitted.model, rows, ["row_key"]).withColumn("prediction", F.round("prediction", 4))
+
+
+@QUERIES
+def grouped_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by mean quantity, cut into groups of about as many lines."""
+    index = fit_groups(staged_orders(spark, sf), ["l_orderkey"], "l_quantity", GROUPS, window_rows=100, partitions=8)
+    return index.table.select("level", "freq", F.col("idx").alias("grp"))
+
+
+SQL_GROUPS = (
+    "SELECT level, freq, coalesce(sum(freq) OVER (ORDER BY m, level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+    f"* {GROUPS} // sum(freq) OVER () AS grp FROM (SELECT CAST(l_orderkey AS VARCHAR) AS level, count(*) AS freq, avg(l_quantity) AS m FROM lineitem GROUP BY 1)"
+)
+ORACLES["grouped_levels"] = f"SELECT level, freq, CAST(grp AS BIGINT) AS grp FROM ({SQL_GROUPS})"
+
+
+@QUERIES
+def forest_wide_category(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree over a category of more levels than bins predicts the means of its groups."""
+    return _order_scores(spark, sf, models.forest("l_quantity", numTrees=1, maxDepth=7, maxBins=GROUPS, bootstrap=False))
+
+
+@QUERIES
+def boosted_wide_category(spark: SparkSession, sf: str) -> DataFrame:
+    """So does boosting."""
+    return _order_scores(spark, sf, models.boosted("l_quantity", maxIter=2, maxDepth=7, maxBins=GROUPS))
+
+
+ORACLES["forest_wide_category"] = ORACLES["boosted_wide_category"] = (
+    f"SELECT {SQL_KEY} AS row_key, round(avg(l_quantity) OVER (PARTITION BY grp), 4) AS prediction "
+    f"FROM lineitem JOIN ({SQL_GROUPS}) ON level = CAST(l_orderkey AS VARCHAR)"
+)
+
+
+@QUERIES
+def linear_wide_category(spark: SparkSession, sf: str) -> DataFrame:
+    """A linear fit with a slot for each of very many levels gives the mean of each level."""
+    return _order_scores(spark, sf, models.linear("l_quantity", tol=1e-12, maxIter=500), one_hot=True)
+
+
+ORACLES["linear_wide_category"] = (
+    f"SELECT {SQL_KEY} AS row_key, round(avg(l_quantity) OVER (PARTITION BY l_orderkey), 4) AS prediction FROM lineitem"
+)
+
+
 @QUERIES
 def classifier_group_odds(spark: SparkSession, sf: str) -> DataFrame:
     """The first round of boosting tells the share of good documents by language."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trainlake.operators import models
 from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER
 from trainlake.operators.features import Roles
-from trainlake.operators.models import Fitted, fit_features, fit_on_features
+from trainlake.operators.models import Fitted, fit_features, fit_on_features, needed_by
 from trainlake.operators.tune import cross_validate
 
 # Tree ensembles first, as they win most often on tabular data; each family goes
@@ -99,7 +99,7 @@ def sweep(
         group = [c for c in listed if (c.algo in LINEAR_FAMILIES) == one_hot]
         if not group:
             continue
-        features[one_hot] = fit_features(train, roles, one_hot, **options)
+        features[one_hot] = fit_features(train, roles, one_hot, **{**needed_by(group[0].estimator), **options})
         trials = cross_validate(
             train, roles, [c.estimator for c in group], folds, one_hot,
             parallelism=parallelism, features=features[one_hot],

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trainlake.operators.ranks import WINDOW_ROWS, positions
+from trainlake.operators.ranks import WINDOW_ROWS, positions, rows_before
 from trainlake.session import materialise
 
 BROADCAST_LEVELS = 500_000
@@ -118,11 +118,20 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 @dataclass(frozen=True)
 class LevelIndex:
     """Index table (column, level, freq, idx); by column, the number of levels and
-    the bytes of the longest."""
+    the bytes of the longest.
+
+    `rank` names the column that numbers levels by falling frequency, where that is not the index itself;
+    `values` tells how many indexes a column has, where that is not the number of its levels.
+    """
 
     table: DataFrame
     sizes: Mapping[str, int]
     widths: Mapping[str, int]
+    rank: str = "idx"
+    values: Mapping[str, int] = field(default_factory=dict)
+
+    def n_values(self, column: str) -> int:
+        return self.values.get(column, self.sizes[column])
 
     def of(self, column: str) -> DataFrame:
         return self.table.filter(F.col("column") == column)
@@ -153,6 +162,41 @@ def fit_index(
     return LevelIndex(table, sizes, widths)
 
 
+def fit_groups(
+    train: DataFrame,
+    columns: Sequence[str],
+    label: str,
+    groups: int,
+    window_rows: int = WINDOW_ROWS,
+    partitions: int | None = None,
+) -> LevelIndex:
+    """Levels of each column ordered by their mean label and cut into groups of about as many rows.
+
+    The index of a level is its group: the rows of the levels before it times groups, by the rows of all. Equal
+    means are ordered by level. For squared error the best split of a category is a cut of its levels in this order, so a tree
+    over the groups loses only the cuts inside a group. Rows without a label do not count.
+    """
+    known = train.filter(F.col(label).isNotNull()).select(*columns, F.col(label).cast("double").alias("_label"))
+    by_level = (
+        known.unpivot(["_label"], list(columns), "column", "level").filter(F.col("level").isNotNull())
+        .groupBy("column", "level").agg(F.count(F.lit(1)).alias("freq"), F.avg("_label").alias("_mean"))
+    )
+    counts = materialise(by_level, "label-means")
+    by_column = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.octet_length("level")).alias("width"), F.sum("freq").alias("rows")
+    )
+    found = {r["column"]: r for r in by_column.collect()}  # one row for each column
+    sizes = {c: found[c]["n"] if c in found else 0 for c in columns}
+    widths = {c: found[c]["width"] if c in found else 0 for c in columns}
+    largest = max(sizes.values())
+    ranked = positions(counts, "column", [F.desc("freq"), F.col("level")], "rank", largest, window_rows, partitions)
+    before = rows_before(ranked, "column", [F.col("_mean"), F.col("level")], "freq", "_before", largest, window_rows, partitions)
+    total = F.create_map(*(x for c in columns for x in (F.lit(c), F.lit(found[c]["rows"] if c in found else 1))))
+    group = F.floor(F.col("_before") * groups / total[F.col("column")]).cast("bigint")
+    table = materialise(before.select("column", "level", "freq", "rank", group.alias("idx")), "groups", partition_by=["column"])
+    return LevelIndex(table, sizes, widths, "rank", dict.fromkeys(columns, groups))
+
+
 def apply_index(
     df: DataFrame,
     index: LevelIndex,
@@ -162,7 +206,7 @@ def apply_index(
     broadcast_levels: int = BROADCAST_LEVELS,
 ) -> DataFrame:
     """Add <column>_idx. Rows with an unknown or NULL level are dropped ("skip")
-    or get the number of levels as index ("keep").
+    or get an index of their own, the number of known ones ("keep").
 
     Columns whose levels fit a broadcast are looked up where the rows are. Of the others, the
     most frequent levels are, too; rows with a rarer level in any of them are shuffled, once for all columns.
@@ -176,16 +220,17 @@ def apply_index(
     wide = [c for c in columns if index.sizes[c] > limits[c]]
     found = df
     for c in columns:
-        levels = index.of(c).select(F.col("level").alias("_level"), F.col("idx").alias(outs[c]))
-        # Indexes go by frequency: the first ones are the hot levels.
-        head = levels.filter(F.col(outs[c]) < limits[c]) if c in wide else levels
+        levels = index.of(c)
+        # Ranks go by frequency: the first ones are the hot levels.
+        head = levels.filter(F.col(index.rank) < limits[c]) if c in wide else levels
+        head = head.select(F.col("level").alias("_level"), F.col("idx").alias(outs[c]))
         found = found.join(F.broadcast(head), F.col(c) == F.col("_level"), "left").drop("_level")
     if wide:
         found = _rare_levels(found, index, wide, outs, limits)
     found = found.select(*df.columns, *outs.values())
     if on_unknown == "skip":
         return found.dropna(subset=list(outs.values()))
-    return found.withColumns({out: F.coalesce(out, F.lit(index.sizes[c]).cast("bigint")) for c, out in outs.items()})
+    return found.withColumns({out: F.coalesce(out, F.lit(index.n_values(c)).cast("bigint")) for c, out in outs.items()})
 
 
 def _rare_levels(df: DataFrame, index: LevelIndex, wide: Sequence[str], outs: Mapping[str, str], limits: Mapping[str, int]) -> DataFrame:
@@ -208,7 +253,7 @@ def _rare_levels(df: DataFrame, index: LevelIndex, wide: Sequence[str], outs: Ma
     spread = numbered.select(row, F.inline(F.filter(entries, lambda e: e.isNotNull())))
     number = F.create_map(*(x for k, c in enumerate(wide) for x in (F.lit(c), F.lit(k))))
     least = F.create_map(*(x for c in wide for x in (F.lit(c), F.lit(limits[c]).cast("bigint"))))
-    tails = index.table.filter(F.col("column").isin(*wide) & (F.col("idx") >= least[F.col("column")])).select(
+    tails = index.table.filter(F.col("column").isin(*wide) & (F.col(index.rank) >= least[F.col("column")])).select(
         number[F.col("column")].alias("_of"), F.col("level").alias("_name"), F.col("idx").alias("_idx")
     )
     looked_up = spread.join(tails, (F.col(at) == F.col("_of")) & (F.col(level) == F.col("_name")), "left")

@@ -17,12 +17,14 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trainlake.operators.features import Roles
+from trainlake.operators.features import Roles, fit_groups, fit_index
+from trainlake.operators.wide import IndexLookup
 from trainlake.session import ensure_checkpoint_dir
 
 SEED = 42
 MAX_BINS = 40
-MAX_LEVELS = 1_000_000
+#: Columns with more levels are looked up in an index table; others are indexed by Spark ML, which holds levels on the driver.
+WIDE_LEVELS = 10_000
 
 
 # --- estimators --------------------------------------------------------------
@@ -57,13 +59,11 @@ def boosted_classifier(label: str, **params) -> GBTClassifier:
 # --- features ----------------------------------------------------------------
 
 
-def preflight(train: DataFrame, roles: Roles, max_levels: int = MAX_LEVELS, on_null: str = "error") -> Roles:
-    """Check the features in one pass before anything is fitted.
+def preflight(train: DataFrame, roles: Roles, on_null: str = "error") -> dict[str, int]:
+    """Check the features in one pass before anything is fitted; about how many levels each string column has.
 
-    Raises for features with missing numbers (unless on_null says what to do with
-    them), and for string columns with more levels than an indexer should hold on the
-    driver. No column is left out unasked: name it in ``column_roles(exclude=...)``, or
-    index it with ``fit_index`` and ``apply_index``, which hold no levels on the driver.
+    Raises for features with missing numbers, unless on_null says what to do with
+    them. No column is left out unasked: name it in ``column_roles(exclude=...)``.
     """
     checks = [F.approx_count_distinct(c).alias(f"levels_{i}") for i, c in enumerate(roles.categorical)]
     checks += [
@@ -76,27 +76,33 @@ def preflight(train: DataFrame, roles: Roles, max_levels: int = MAX_LEVELS, on_n
     holes = [c for i, c in enumerate(roles.numeric) if row[f"nulls_{i}"]]
     if holes and on_null == "error":
         raise ValueError(f"feature columns with missing values: {holes}; impute them or set on_null")
-    levels = {c: row[f"levels_{i}"] for i, c in enumerate(roles.categorical)}
-    wide = {c: n for c, n in levels.items() if n > max_levels}
-    if wide:
-        raise ValueError(f"string columns with more than {max_levels} levels: {wide}; exclude them or use an index table")
-    return roles
+    return {c: row[f"levels_{i}"] for i, c in enumerate(roles.categorical)}
 
 
 def feature_stages(
-    roles: Roles, one_hot: bool, on_unknown: str = "skip", on_null: str = "error", suffix: str = "Index"
+    roles: Roles, one_hot: bool, on_unknown: str = "skip", on_null: str = "error", suffix: str = "Index",
+    lookup: IndexLookup | None = None,
 ) -> tuple[list[Estimator | Transformer], list[str]]:
-    """Indexer, encoder for one-hot, assembler; and the assembler's inputs."""
+    """Indexer, encoder for one-hot, assembler; and the assembler's inputs.
+
+    The columns of a lookup stage are indexed by it. Their one-hot form has a slot for the last level, too: which level is
+    the last means nothing among many, and a solver for many slots gets on better without that gap.
+    """
     stages: list[Estimator | Transformer] = []
+    wide = lookup.columns if lookup else []
+    narrow = [c for c in roles.categorical if c not in wide]
     inputs = [c + suffix for c in roles.categorical]
-    if roles.categorical:
-        stages.append(
-            StringIndexer(inputCols=list(roles.categorical), outputCols=inputs, handleInvalid=on_unknown)
-        )
-        if one_hot:
-            encoded = [c + "OHE" for c in roles.categorical]
-            stages.append(OneHotEncoder(inputCols=inputs, outputCols=encoded))
-            inputs = encoded
+    if narrow:
+        indexed = [c + suffix for c in narrow]
+        stages.append(StringIndexer(inputCols=narrow, outputCols=indexed, handleInvalid=on_unknown))
+    if lookup:
+        stages.append(lookup)
+    if one_hot:
+        for some, drop_last in ((narrow, True), (wide, False)):
+            if some:
+                indexed, encoded = [c + suffix for c in some], [c + "OHE" for c in some]
+                stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=drop_last))
+        inputs = [c + "OHE" for c in roles.categorical]
     inputs = inputs + list(roles.numeric)
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid=on_null))
     return stages, inputs
@@ -112,17 +118,34 @@ class Fitted:
 
 
 def fit_features(
-    train: DataFrame, roles: Roles, one_hot: bool, max_levels: int = MAX_LEVELS,
-    on_unknown: str = "skip", on_null: str = "error",
+    train: DataFrame, roles: Roles, one_hot: bool, wide_levels: int = WIDE_LEVELS,
+    on_unknown: str = "skip", on_null: str = "error", label: str | None = None, bins: int = MAX_BINS,
 ) -> Fitted:
-    """Fit the feature stages only."""
-    used = preflight(train, roles, max_levels, on_null)
-    stages, inputs = feature_stages(used, one_hot, on_unknown, on_null)
-    return Fitted(Pipeline(stages=stages).fit(train), used, tuple(inputs))
+    """Fit the feature stages only.
+
+    String columns with more than wide_levels levels are looked up in an index table, which no machine holds whole. For
+    trees (not one_hot) with a label their levels are ordered by mean label and cut into at most `bins` groups, so that no tree needs a
+    bin for each level.
+    """
+    levels = preflight(train, roles, on_null)
+    wide, lookup = [c for c in roles.categorical if levels[c] > wide_levels], None
+    if wide:
+        # One value is left for levels that are not known.
+        groups = None if one_hot or label is None else max(2, bins - (on_unknown == "keep"))
+        index = fit_groups(train, wide, label, groups) if groups else fit_index(train, wide)
+        lookup = IndexLookup(index, wide, on_unknown=on_unknown)
+    stages, inputs = feature_stages(roles, one_hot, on_unknown, on_null, lookup=lookup)
+    return Fitted(Pipeline(stages=stages).fit(train), roles, tuple(inputs))
+
+
+def needed_by(estimator: Estimator) -> dict:
+    """What fit_features() should know of the estimator that comes behind."""
+    bins = {"bins": estimator.getOrDefault("maxBins")} if estimator.hasParam("maxBins") else {}
+    return {"label": estimator.getLabelCol(), **bins}
 
 
 def enough_bins(estimator: Estimator, features: PipelineModel) -> Estimator:
-    """Trees need a bin for each level of their widest category."""
+    """Trees need a bin for each level of their widest category that is not grouped."""
     if not estimator.hasParam("maxBins"):
         return estimator
     levels = [
@@ -131,6 +154,7 @@ def enough_bins(estimator: Estimator, features: PipelineModel) -> Estimator:
         if isinstance(stage, StringIndexerModel)
         for labels in stage.labelsArray
     ]
+    levels += [stage.n_values(c) for stage in features.stages if isinstance(stage, IndexLookup) for c in stage.columns]
     needed = max([estimator.getOrDefault("maxBins"), *levels])
     return estimator.copy({estimator.getParam("maxBins"): needed})
 
@@ -139,7 +163,7 @@ def fit_pipeline(
     train: DataFrame, roles: Roles, estimator: Estimator, one_hot: bool = False, **options
 ) -> Fitted:
     """Fit features and estimator on the training rows."""
-    features = fit_features(train, roles, one_hot, **options)
+    features = fit_features(train, roles, one_hot, **{**needed_by(estimator), **options})
     return fit_on_features(train, features, estimator)
 
 

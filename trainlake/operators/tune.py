@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER, regression_metrics, score_models
 from trainlake.operators.features import Roles
-from trainlake.operators.models import Fitted, enough_bins, fit_features, fit_on_features, fit_pipeline
+from trainlake.operators.models import Fitted, enough_bins, fit_features, fit_on_features, fit_pipeline, needed_by
 from trainlake.operators.split import combine
 
 Params = Mapping[str, float]
@@ -78,14 +78,14 @@ def cross_validate(
     if scope == "pipeline":
         features = None
     else:
-        features = features or fit_features(train, roles, one_hot, **options)
+        features = features or fit_features(train, roles, one_hot, **{**needed_by(estimators[0]), **options})
         train = features.model.transform(train).select("features", label, fold)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     trials = []
     try:
         for number in range(folds):
             fit_rows, held_out = train.filter(F.col(fold) != number), train.filter(F.col(fold) == number)
-            prep = features or fit_features(fit_rows, roles, one_hot, **options)
+            prep = features or fit_features(fit_rows, roles, one_hot, **{**needed_by(estimators[0]), **options})
             if features is None:
                 fit_rows, held_out = (
                     prep.model.transform(rows).select("features", label) for rows in (fit_rows, held_out)
@@ -141,7 +141,7 @@ def grid_cv(
 ) -> GridResult:
     """The parameters with the best mean metric over the folds, refitted on all rows."""
     candidates = [with_params(estimator, p) for p in param_grid]
-    features = fit_features(train, roles, one_hot, **options)
+    features = fit_features(train, roles, one_hot, **{**needed_by(estimator), **options})
     rows = cross_validate(
         train, roles, candidates, folds, one_hot, scope, parallelism, features=features, **options
     )
@@ -269,7 +269,7 @@ def search_validated(
 ) -> SearchResult:
     """Search on the validation error, refit the best on both sets, test once."""
     label = estimator.getLabelCol()
-    features = fit_features(train, roles, one_hot, **options)
+    features = fit_features(train, roles, one_hot, **{**needed_by(estimator), **options})
     fit_rows, held_out = (
         features.model.transform(rows).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
         for rows in (train, validation)
