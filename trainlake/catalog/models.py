@@ -16,7 +16,7 @@ from trainlake.catalog.listing import KEY, SPEC, raw_listing
 from trainlake.catalog.metrics import LABEL, rounded, signal, sql_fold_means, sql_metrics
 from trainlake.catalog.splits import SQL_BUCKET, SQL_KEY, keyed_lines
 from trainlake.functions.buckets import row_key
-from trainlake.operators import automl, models, tune
+from trainlake.operators import automl, boosting, models, trees, tune
 from trainlake.operators.evaluate import feature_importance, permutation_importance, regression_metrics
 from trainlake.operators.features import Roles, fit_groups
 from trainlake.operators.models import Fitted, fit_pipeline
@@ -159,6 +159,113 @@ ORACLES["classifier_group_odds"] = (
 )
 
 
+BANDS = Roles(("status", "band"), ())
+SQL_BANDS = (
+    f"(SELECT {SQL_KEY} AS row_key, l_linestatus AS status, CASE WHEN l_extendedprice > 30000 THEN 'dear' ELSE 'cheap' END AS band, "
+    "CAST(l_quantity > 25 AS DOUBLE) AS labels, l_quantity AS y FROM lineitem)"
+)
+
+
+def staged_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with two categories of two levels, a class and a number to predict, written once."""
+    band = F.when(F.col("l_extendedprice") > 30000, "dear").otherwise("cheap").alias("band")
+    labels = (F.col("l_quantity") > 25).cast("double").alias("labels")
+    return materialise(keyed_lines(spark, sf).select("row_key", F.col("l_linestatus").alias("status"), band, labels, F.col("l_quantity").alias("y")), "bands")
+
+
+@QUERIES
+def leafwise_two_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten rounds of trees with up to five leaves; margin and class of each line."""
+    rows = staged_bands(spark, sf)
+    scored = boosting.fit_leafwise(rows, BANDS, "labels", least_rows=1).transform(rows)
+    return scored.select("row_key", F.round("rawPrediction", 6).alias("margin"), F.col("prediction").cast("int").alias("prediction"))
+
+
+def _sql_rounds(cell: str) -> str:
+    """Margins of the cells after each round; in each, every cell is a leaf and steps by its own gradient."""
+    return (
+        "WITH RECURSIVE c AS (SELECT " + cell + f" AS cell, avg(labels) AS y FROM {SQL_BANDS} GROUP BY ALL), "
+        f"m AS (SELECT cell, y, 0 AS k, ln((SELECT avg(labels) FROM {SQL_BANDS}) / (1 - (SELECT avg(labels) FROM {SQL_BANDS}))) AS s FROM c "
+        "UNION ALL SELECT cell, y, k + 1, s + 0.1 * (y - p) / (p * (1 - p)) FROM (SELECT *, 1 / (1 + exp(-s)) AS p FROM m WHERE k < 10)) "
+    )
+
+
+ORACLES["leafwise_two_categories"] = (
+    _sql_rounds("status || band") + "SELECT row_key, round(s, 6) AS margin, CAST(s > 0 AS INT) AS prediction "
+    f"FROM {SQL_BANDS} JOIN m ON cell = status || band WHERE k = 10"
+)
+
+
+@QUERIES
+def leafwise_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    """One category of two levels: margin, leaf of each of ten trees, and the category's part."""
+    rows = staged_bands(spark, sf)
+    scored = boosting.fit_leafwise(rows, Roles(("band",), ()), "labels").transform(rows)
+    return scored.select(
+        "row_key", F.round("rawPrediction", 6).alias("margin"), F.array_join(F.col("leafPrediction").cast("array<string>"), ",").alias("leaves"),
+        F.round(F.col("contributions.bandIndex") + F.col("base"), 6).alias("explained"),
+    )
+
+
+# The level with more ones steps up, has the smaller gradient and is the left leaf.
+ORACLES["leafwise_leaves"] = (
+    _sql_rounds("band") + "SELECT row_key, round(s, 6) AS margin, "
+    "rtrim(repeat(CASE WHEN m.y = (SELECT max(y) FROM c) THEN '0,' ELSE '1,' END, 10), ',') AS leaves, round(s, 6) AS explained "
+    f"FROM {SQL_BANDS} JOIN m ON cell = band WHERE k = 10"
+)
+
+
+def _two_level_tree(rows: DataFrame) -> Fitted:
+    return fit_pipeline(rows, BANDS, models.forest("y", numTrees=1, maxDepth=2, bootstrap=False))
+
+
+@QUERIES
+def importance_two_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of the variance that two categories explain, from the table of nodes."""
+    fitted = _two_level_tree(staged_bands(spark, sf))
+    found = trees.importance(trees.node_table(fitted.model.stages[-1]), fitted.inputs, k=2)
+    return found.select("feature", F.round("importance", 8).alias("importance"))
+
+
+@QUERIES
+def importance_spark_ml(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as Spark ML tells."""
+    fitted = _two_level_tree(staged_bands(spark, sf))
+    found = feature_importance(fitted.model, fitted.inputs, k=2)
+    return found.select("feature", F.round("importance", 8).alias("importance"))
+
+
+# The category that explains more comes first in the tree; the other explains what is left between the cells.
+_SQL_EXPLAINED = (
+    f"r AS (SELECT *, avg(y) OVER () AS m, avg(y) OVER (PARTITION BY status) AS ms, avg(y) OVER (PARTITION BY band) AS mb, "
+    f"avg(y) OVER (PARTITION BY status, band) AS mc FROM {SQL_BANDS}), "
+    "e AS (SELECT sum((ms - m) ** 2) AS status, sum((mb - m) ** 2) AS band, sum((mc - m) ** 2) AS cells FROM r)"
+)
+ORACLES["importance_two_categories"] = ORACLES["importance_spark_ml"] = (
+    f"WITH {_SQL_EXPLAINED} SELECT 'statusIndex' AS feature, round(CASE WHEN status > band THEN status ELSE cells - band END / cells, 8) AS importance FROM e "
+    "UNION ALL SELECT 'bandIndex', round(CASE WHEN status > band THEN cells - status ELSE band END / cells, 8) FROM e"
+)
+
+
+@QUERIES
+def contributions_two_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """The part of each category in the prediction of each line."""
+    rows = staged_bands(spark, sf)
+    fitted = _two_level_tree(rows)
+    found = trees.contributions(trees.node_table(fitted.model.stages[-1]), fitted.model.transform(rows), fitted.inputs)
+    parts = {c: F.col(f"contributions.{c}Index") for c in BANDS.categorical}
+    return found.select(
+        "row_key", F.round("base", 6).alias("base"), *(F.round(part, 6).alias(c) for c, part in parts.items()),
+        (F.abs(F.col("base") + sum(parts.values(), F.lit(0.0)) - F.col("prediction")) < 1e-9).alias("adds_up"),
+    )
+
+
+ORACLES["contributions_two_categories"] = (
+    f"WITH {_SQL_EXPLAINED} SELECT row_key, round(m, 6) AS base, round(CASE WHEN e.status > e.band THEN ms - m ELSE mc - mb END, 6) AS status, "
+    "round(CASE WHEN e.status > e.band THEN mc - ms ELSE mb - m END, 6) AS band, TRUE AS adds_up FROM r, e"
+)
+
+
 @QUERIES
 def grid_cv_trials(spark: SparkSession, sf: str) -> DataFrame:
     """Trials of a grid whose two settings fit the same means."""
