@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from trainlake import session
 from trainlake.operators.clean import clean_listing
 from trainlake.sources.documents import collection_name, read_documents, text_field
-from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, read_listing, stage_listing
+from trainlake.sources.csv_ranges import read_listing_ranges
+from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, read_listing, stage_listing, write_listing_csv
 from trainlake.sources.tables import ingest_if_absent, write_table
 
 
@@ -79,3 +80,35 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert session.scratch_path(spark, "x").startswith(session.shared_dir(spark))
     df = spark.range(4)
     assert session.materialise(df, "x").count() == 4
+
+
+CELLS = ["plain", "a,b", 'say "hi"', "line\nbreak", '"\n"', "\n\n", '",\n"', "x" * 300 + "\n" * 40 + '""', None, "  spaced ", "tail\n"]
+
+
+@pytest.mark.parametrize("bytes_", [20, 64, 333, 5000, 1 << 20])
+def test_csv_by_ranges_equals_the_plain_reader(spark, tmp_path, bytes_):
+    schema = "id bigint, a string, b string"
+    rows = spark.createDataFrame([(i, CELLS[i % 11], CELLS[i * 7 % 11]) for i in range(120)], schema)
+    path = str(tmp_path / "csv")
+    write_listing_csv(rows.coalesce(2), path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    expected = read_listing(spark, path, schema).collect()
+    try:
+        for n, v in zip(names, (bytes_, 0)):
+            spark.conf.set(n, str(v))
+        found = read_listing_ranges(spark, path, schema)
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected)) and len(expected) == 120
+        if bytes_ < 100:
+            assert spark.read.text(path).rdd.getNumPartitions() > 20
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+
+
+def test_csv_ranges_of_windows_lines_blank_lines_and_open_quotes(spark, tmp_path):
+    (tmp_path / "w.csv").write_bytes(b'a,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n3,"never closed\r\n4,w')
+    found = read_listing_ranges(spark, str(tmp_path / "w.csv"), "a int, b string").orderBy("a").collect()
+    assert [r.a for r in found] == [1, 2, 3] and found[1].b == "z" and found[0].b.replace("\r", "") == "x\ny"
+    (tmp_path / "e.csv").write_text("a,b\n")
+    assert read_listing_ranges(spark, str(tmp_path / "e.csv"), "a int, b string").isEmpty()
