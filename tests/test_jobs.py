@@ -1,12 +1,16 @@
 import random
+from multiprocessing.pool import ThreadPool
 
 import pytest
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import functions as F
 
 from trainlake.operators.features import Roles
-from trainlake.operators.models import fit_pipeline
+from trainlake.operators.models import fit_pipeline, linear
 from trainlake.plans import training, trends
 from trainlake.sources.listing import HOUSING, read_listing
+from trainlake.streaming.score import read_stream, score_stream_registered
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
 
@@ -102,6 +106,63 @@ def test_later_values_and_stages_win(spark, tmp_path):
     assert runs.list_experiments(store.read("runs")).first()["n_runs"] == 1
 
 
+def test_several_writers_get_versions_of_their_own(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "writers"))
+    found = [runs.start_run(store, "e", str(i)) for i in range(4)]
+    store.append("artifacts", [(run, "model", "model", f"path of {run}", runs.now()) for run in found])
+    with ThreadPool(4) as pool:
+        versions = pool.map(inheritable_thread_target(spark)(lambda run: registry.register(store, "m", run)), found)
+    assert sorted(versions) == [1, 2, 3, 4]
+    rows = store.read("model_versions").collect()
+    assert {(r.version, r.run_id) for r in rows} == set(zip(versions, found))
+    assert registry.register(store, "other/name", found[0]) == 1 and registry.register(store, "m", found[0]) == 5
+
+
+def test_event_numbers_rise_and_break_ties(spark):
+    with ThreadPool(8) as pool:
+        numbers = pool.map(lambda _: runs.next_event(), range(2000))
+    assert len(set(numbers)) == 2000
+    events = spark.createDataFrame([("m", 1, s, None, e) for e, s in ((5, "Staging"), (7, "Archived"), (6, "Production"))] + [("m", 2, "None", None, 1)], runs.SCHEMAS["stage_events"])
+    assert {tuple(r) for r in registry.current_stages(events).collect()} == {("m", 1, "Archived"), ("m", 2, "None")}
+
+
+def test_last_values_need_no_sorted_aggregate(spark):
+    logged = spark.createDataFrame([("r", k, v, None, e) for e, (k, v) in enumerate([("a", 1.0), ("b", 5.0), ("a", 3.0), ("a", 2.0)])], runs.SCHEMAS["metrics"])
+    params = logged.withColumn("value", F.col("value").cast("string"))
+    found = runs.search_runs(spark.createDataFrame([("r", "e", "", None), ("s", "e", "", None)], runs.SCHEMAS["runs"]), logged, params)
+    assert {tuple(r)[4:] for r in found.collect()} == {(2.0, 5.0, "2.0", "5.0"), (None,) * 4}
+    events = spark.createDataFrame([], runs.SCHEMAS["stage_events"])
+    for df in (found, registry.current_stages(events), registry.resolve_all(events)):
+        assert "SortAggregate" not in plan_of(df)
+    with pytest.raises(ValueError, match="more than 1 "):
+        runs.logged_keys(logged, most=1)
+
+
+def test_stream_follows_the_registry(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(20)], "x double, y double")
+    for factor in (1, 10):
+        run_id = runs.start_run(store, "e")
+        runs.log_model(store, run_id, fit_pipeline(df.withColumn("y", F.col("y") * factor), Roles((), ("x",)), linear("y")).model)
+        registry.register(store, "m", run_id)
+    source, out, progress = (str(tmp_path / n) for n in ("source", "out", "progress"))
+
+    def batch(x):
+        spark.createDataFrame([(x,)], "x double").write.mode("append").parquet(source)
+        stream = read_stream(spark, source, "x double")
+        score_stream_registered(store, "models:/m/Production", stream, ["x"], out, progress).awaitTermination()
+
+    registry.transition(store, "m", 1, "Production")
+    batch(3.0)
+    registry.transition(store, "m", 2, "Production")
+    batch(4.0)
+    registry.transition(store, "m", 2, "Archived")
+    batch(5.0)
+    found = {r.x: (r.prediction, r.batch) for r in spark.read.parquet(out).collect()}
+    assert {x: round(p) for x, (p, _) in found.items()} == {3.0: 6, 4.0: 80, 5.0: 10}
+    assert sorted(b for _, b in found.values()) == [0, 1, 2]
+
+
 def test_stage_parameters(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "x double, y double")
     fitted = fit_pipeline(df, Roles((), ("x",)), DecisionTreeRegressor(labelCol="y", maxDepth=3))

@@ -25,7 +25,7 @@ from trainlake.operators.split import bucket_folds, bucket_split, fold_column, w
 from trainlake.plans import training
 from trainlake.session import materialise, scratch_path
 from trainlake.sources.listing import ListingSpec
-from trainlake.streaming.score import read_stream, score_stream
+from trainlake.streaming.score import read_stream, score_stream, score_stream_registered
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
 
@@ -335,10 +335,9 @@ ORACLES["search_refit"] = sql_metrics(sql_holdout("< 800", ">= 800"), digits=3)
 
 @QUERIES
 def search_forest(spark: SparkSession, sf: str) -> DataFrame:
-    """H3 H4: forests with all features; proposals and errors."""
+    """H3 H4: forests with all features over the configured space, four evaluations; proposals and errors."""
     parts = bucket_split(staged_signal(spark, sf), [0.6, 0.2, 0.2])
-    space = {"maxDepth": tune.Quantised(2, 5), "numTrees": tune.Quantised(5, 20)}
-    return tune.search_validated(*parts, FEATURES, models.forest("y"), space, 3).trials
+    return tune.search_validated(*parts, FEATURES, models.forest("y"), training.FOREST_SPACE, 4).trials
 
 
 @QUERIES
@@ -442,7 +441,22 @@ def score_stream_rows(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).withColumn("prediction", F.round("prediction", 3))
 
 
-ORACLES["score_registered"] = ORACLES["score_stream_rows"] = SQL_FLAG_MEAN
+@QUERIES
+def score_stream_registered_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that looks up the model in production for each batch."""
+    store = TableStore(spark, scratch_path(spark, "registry"))
+    rows = staged_prices(spark, sf)
+    for estimator, stage in ((models.linear(LABEL), "Archived"), (one_tree(LABEL), "Production")):
+        run_id = runs.start_run(store, "prices")
+        runs.log_model(store, run_id, fit_pipeline(rows, FLAG, estimator).model)
+        training.register_in_stage(store, run_id, "flag_means", stage)
+    out, checkpoint = scratch_path(spark, "scores"), scratch_path(spark, "progress")
+    stream = read_stream(spark, f"{sf}/lineitem.parque[t]", table(spark, sf, "lineitem").schema).withColumn("row_key", row_key(*KEY))
+    score_stream_registered(store, "models:/flag_means/Production", stream, ["row_key"], out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("row_key", F.round("prediction", 3).alias("prediction"))
+
+
+ORACLES["score_registered"] = ORACLES["score_stream_rows"] = ORACLES["score_stream_registered_rows"] = SQL_FLAG_MEAN
 
 
 @QUERIES

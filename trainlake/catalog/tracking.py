@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from trainlake.catalog.common import Queries, table
 from trainlake.catalog.metrics import LABEL, with_group_mean
 from trainlake.operators.evaluate import regression_metrics
-from trainlake.operators.features import level_counts
+from trainlake.operators.features import Roles, level_counts
+from trainlake.operators.models import fit_pipeline, tree
 from trainlake.session import scratch_path
 from trainlake.tracking import registry, runs
 from trainlake.tracking.runs import TableStore
@@ -45,13 +46,15 @@ def search_runs_wide(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("run_id"), F.col("c_mktsegment").alias("experiment")
     )
     orders = table(spark, sf, "orders")
-    base = [F.col("o_custkey").cast("string").alias("run_id"), F.col("o_orderdate").alias("logged_at"), "o_orderkey"]
+    # Orders are numbered by date and key: seconds, and 28 bits for the key.
+    event = (F.unix_seconds("o_orderdate") * (1 << 28) + F.col("o_orderkey")).alias("event")
+    base = [F.col("o_custkey").cast("string").alias("run_id"), event]
     metrics = orders.select(*base, F.col("o_orderpriority").alias("key"), F.col("o_totalprice").alias("value"))
     params = orders.select(
         *base, F.col("o_orderstatus").alias("key"), F.col("o_orderkey").cast("string").alias("value")
     )
     wide = runs.search_runs(
-        run_rows, metrics, params, tie=["o_orderkey"], metric_keys=PRIORITIES, param_keys=STATUSES
+        run_rows, metrics, params, metric_keys=PRIORITIES, param_keys=STATUSES
     )
     return wide.toDF(*[_plain(c) for c in wide.columns])
 
@@ -98,6 +101,32 @@ SELECT 'prices' AS experiment, 'group mean' AS run_name, key, value FROM (
   SELECT 'n', CAST(CAST(count(*) AS DOUBLE) AS VARCHAR) FROM s UNION ALL SELECT 'label', '{LABEL}')"""
 
 
+@QUERIES
+def autolog_params(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: what is logged by itself of a fitted pipeline."""
+    store = TableStore(spark, scratch_path(spark, "params"))
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_partkey", LABEL)
+    rows = lines.select("l_returnflag", (F.col("l_partkey") % 50).cast("string").alias("bucket"), LABEL)
+    fitted = fit_pipeline(rows, Roles(("l_returnflag", "bucket"), ()), tree(LABEL, maxDepth=3))
+    run_id = runs.start_run(store, "prices")
+    runs.autolog(store, run_id, fitted.model)
+    wide = runs.search_runs(store.read("runs"), store.read("metrics"), store.read("params"), param_keys=LOGGED)
+    values = F.create_map(*(x for k in LOGGED for x in (F.lit(k), F.col(f"`params.{k}`"))))
+    return wide.select(F.explode(values).alias("key", "value"))
+
+
+LOGGED = [
+    "StringIndexerModel.inputCols", "StringIndexerModel.handleInvalid", "VectorAssembler.inputCols",
+    "DecisionTreeRegressionModel.maxDepth", "DecisionTreeRegressionModel.maxBins", "DecisionTreeRegressionModel.labelCol",
+]
+# Bins follow the widest category and its unknown level.
+ORACLES["autolog_params"] = f"""
+SELECT 'StringIndexerModel.inputCols' AS key, '[''l_returnflag'', ''bucket'']' AS value UNION ALL
+SELECT 'StringIndexerModel.handleInvalid', 'skip' UNION ALL SELECT 'VectorAssembler.inputCols', '[''l_returnflagIndex'', ''bucketIndex'']' UNION ALL
+SELECT 'DecisionTreeRegressionModel.maxDepth', '3' UNION ALL SELECT 'DecisionTreeRegressionModel.labelCol', '{LABEL}' UNION ALL
+SELECT 'DecisionTreeRegressionModel.maxBins', CAST(greatest(40, count(DISTINCT l_partkey % 50) + 1) AS VARCHAR) FROM lineitem"""
+
+
 @QUERIES
 def artifact_table(spark: SparkSession, sf: str) -> DataFrame:
     """K6: a result table kept with a run and found through its artifact row."""
@@ -123,13 +152,11 @@ def stage_events(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("supplier"), "l_suppkey").alias("name"),
         F.col("l_partkey").alias("version"),
         stage.alias("stage"),
-        F.col("l_shipdate").alias("changed_at"),
-        "l_orderkey",
-        "l_linenumber",
+        # Numbered by day, order and line: 40 bits for the order, 3 for the line.
+        (F.unix_date(F.to_date("l_shipdate")).cast("bigint") * (1 << 43) + F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event"),
     )
 
 
-TIE = ["l_orderkey", "l_linenumber"]
 _SQL_STAGES = """(SELECT 'supplier' || l_suppkey AS name, l_partkey AS version,
     arg_max(CASE l_returnflag WHEN 'A' THEN 'Archived' WHEN 'N' THEN 'Staging' ELSE 'Production' END,
             (l_shipdate, l_orderkey, l_linenumber)) AS stage
@@ -150,7 +177,7 @@ ORACLES["registry_latest_version"] = (
 @QUERIES
 def registry_current_stage(spark: SparkSession, sf: str) -> DataFrame:
     """What the last change of each version says."""
-    return registry.current_stages(stage_events(spark, sf), TIE)
+    return registry.current_stages(stage_events(spark, sf))
 
 
 ORACLES["registry_current_stage"] = f"SELECT name, version, stage FROM {_SQL_STAGES}"
@@ -159,7 +186,7 @@ ORACLES["registry_current_stage"] = f"SELECT name, version, stage FROM {_SQL_STA
 @QUERIES
 def registry_resolved(spark: SparkSession, sf: str) -> DataFrame:
     """The version that each name and stage stand for."""
-    return registry.resolve_all(stage_events(spark, sf), TIE)
+    return registry.resolve_all(stage_events(spark, sf))
 
 
 ORACLES["registry_resolved"] = f"SELECT name, stage, max(version) AS version FROM {_SQL_STAGES} GROUP BY ALL"

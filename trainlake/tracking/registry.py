@@ -3,20 +3,39 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import threading
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trainlake.tracking.runs import TableStore, now
+from trainlake.tracking.runs import TableStore, next_event, now
 
 # The stages a version can be in.
 STAGES = ("None", "Staging", "Production", "Archived")
+_WRITING = threading.Lock()
+
+
+def _claim(store: TableStore, name: str, first: int) -> int:
+    """The first number from `first` on that no other writer has for the name.
+
+    Each number is a file that is created only if it is not there, which HDFS and object stores with conditional writes do as one step.
+    Local file systems look first, so writers of one process go one after the other.
+    """
+    jvm = store.spark.sparkContext._jvm
+    conf = store.spark.sparkContext._jsc.hadoopConfiguration()
+    folder = store.path("model_claims", name.encode().hex())
+    number = first
+    with _WRITING:
+        while True:
+            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{number}")
+            if path.getFileSystem(conf).createNewFile(path):
+                return number
+            number += 1
 
 
 def register(store: TableStore, name: str, run_id: str, artifact: str = "model") -> int:
-    """Give the model of a run the next version of a name. For one writer at a time."""
+    """Give the model of a run the next version of a name; any number of writers at a time."""
     artifacts = store.read("artifacts")
     found = (
         artifacts.filter((F.col("run_id") == run_id) & (F.col("name") == artifact) & (F.col("kind") == "model"))
@@ -26,7 +45,7 @@ def register(store: TableStore, name: str, run_id: str, artifact: str = "model")
     if found is None:
         raise ValueError(f"run {run_id} has no model {artifact!r}")
     versions = store.read("model_versions").filter(F.col("name") == name)
-    version = versions.agg((F.coalesce(F.max("version"), F.lit(0)) + 1).alias("v")).first()["v"]
+    version = _claim(store, name, versions.agg((F.coalesce(F.max("version"), F.lit(0)) + 1).alias("v")).first()["v"])
     store.append("model_versions", [(name, version, run_id, found, now())])
     return version
 
@@ -37,7 +56,7 @@ def transition(store: TableStore, name: str, version: int, stage: str) -> None:
     known = store.read("model_versions").filter((F.col("name") == name) & (F.col("version") == version))
     if known.isEmpty():
         raise ValueError(f"model {name!r} has no version {version}")
-    store.append("stage_events", [(name, version, stage, now())])
+    store.append("stage_events", [(name, version, stage, now(), next_event())])
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:
@@ -45,21 +64,21 @@ def latest_versions(versions: DataFrame) -> DataFrame:
     return versions.groupBy("name").agg(F.max("version").alias("version"))
 
 
-def current_stages(events: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
-    """(name, version, stage): what the last event of each version says.
+def current_stages(events: DataFrame) -> DataFrame:
+    """(name, version, stage): what the last event of each version says, that is, the one with the greatest number.
 
-    An aggregate, so a version with very many events is no hot window.
+    The stage is carried in the number's last place, so the greatest of both is one fixed-width maximum: a
+    hash aggregate, and a version with very many events is no hot window.
     """
-    return events.groupBy("name", "version").agg(
-        F.max_by("stage", F.struct("changed_at", *tie)).alias("stage")
-    )
+    known = F.array(*(F.lit(stage) for stage in STAGES))
+    coded = F.col("event") * len(STAGES) + F.array_position(known, F.col("stage")) - 1
+    last = events.groupBy("name", "version").agg(F.max(coded).alias("last"))
+    return last.select("name", "version", F.get(known, (F.col("last") % len(STAGES)).cast("int")).alias("stage"))
 
 
-def resolve_all(events: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
+def resolve_all(events: DataFrame) -> DataFrame:
     """(name, stage, version): the highest version now in each stage of each name."""
-    return (
-        current_stages(events, tie).groupBy("name", "stage").agg(F.max("version").alias("version"))
-    )
+    return current_stages(events).groupBy("name", "stage").agg(F.max("version").alias("version"))
 
 
 def parse_model_uri(uri: str) -> tuple[str, str]:

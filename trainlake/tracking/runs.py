@@ -1,16 +1,19 @@
 """A run log of append-only tables below one folder.
 
     runs       run_id, experiment, run_name, started_at
-    params     run_id, key, value, logged_at
-    metrics    run_id, key, value, logged_at
+    params     run_id, key, value, logged_at, event
+    metrics    run_id, key, value, logged_at, event
     artifacts  run_id, name, kind, path, logged_at
 
-Logging appends rows. Reading is ordinary DataFrame work; the functions at the
+Logging appends rows. ``event`` numbers what a process logs by rising time, so that the last value is the one
+with the greatest number, whatever the clock's resolution. Reading is ordinary DataFrame work; the functions at the
 end take any frames of these layouts.
 """
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -24,11 +27,11 @@ from pyspark.sql.utils import AnalysisException
 
 SCHEMAS = {
     "runs": "run_id string, experiment string, run_name string, started_at timestamp",
-    "params": "run_id string, key string, value string, logged_at timestamp",
-    "metrics": "run_id string, key string, value double, logged_at timestamp",
+    "params": "run_id string, key string, value string, logged_at timestamp, event bigint",
+    "metrics": "run_id string, key string, value double, logged_at timestamp, event bigint",
     "artifacts": "run_id string, name string, kind string, path string, logged_at timestamp",
     "model_versions": "name string, version int, run_id string, path string, registered_at timestamp",
-    "stage_events": "name string, version int, stage string, changed_at timestamp",
+    "stage_events": "name string, version int, stage string, changed_at timestamp, event bigint",
 }
 
 
@@ -43,13 +46,14 @@ class TableStore:
         return "/".join([self.root.rstrip("/"), *parts])
 
     def append(self, table: str, rows: Sequence[tuple]) -> None:
+        """Write rows to a folder of their own, so that writers do not share a commit."""
         frame = self.spark.createDataFrame(list(rows), SCHEMAS[table]).coalesce(1)
-        frame.write.mode("append").parquet(self.path(table))
+        frame.write.parquet(self.path(table, uuid.uuid4().hex))
 
     def read(self, table: str) -> DataFrame:
         """The table; without rows while nothing was appended."""
         try:
-            return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
+            return self.spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", True).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -60,6 +64,17 @@ def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+_LAST = [0]
+_LOCK = threading.Lock()
+
+
+def next_event() -> int:
+    """Microseconds since 1970, but always more than any number given before by this process."""
+    with _LOCK:
+        _LAST[0] = max(_LAST[0] + 1, time.time_ns() // 1000)
+        return _LAST[0]
+
+
 def start_run(store: TableStore, experiment: str, run_name: str = "") -> str:
     run_id = uuid.uuid4().hex
     store.append("runs", [(run_id, experiment, run_name, now())])
@@ -67,11 +82,11 @@ def start_run(store: TableStore, experiment: str, run_name: str = "") -> str:
 
 
 def log_metrics(store: TableStore, run_id: str, metrics: Mapping[str, float]) -> None:
-    store.append("metrics", [(run_id, k, float(v), now()) for k, v in metrics.items()])
+    store.append("metrics", [(run_id, k, float(v), now(), next_event()) for k, v in metrics.items()])
 
 
 def log_params(store: TableStore, run_id: str, params: Mapping[str, object]) -> None:
-    store.append("params", [(run_id, k, str(v), now()) for k, v in params.items()])
+    store.append("params", [(run_id, k, str(v), now(), next_event()) for k, v in params.items()])
 
 
 def stage_params(stages: Sequence[Params]) -> dict[str, str]:
@@ -128,12 +143,11 @@ def search_runs(
     metrics: DataFrame,
     params: DataFrame | None = None,
     experiment: str | None = None,
-    tie: Sequence[str] = (),
     metric_keys: Sequence[str] | None = None,
     param_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """One wide row for each run: metrics.<key> and params.<key> columns, each with
-    the value logged last.
+    the value logged last, that is, with the greatest event number.
 
     Give the keys when they are known; otherwise they are looked up first.
     """
@@ -142,20 +156,35 @@ def search_runs(
     if params is not None:
         parts.append(("params", params, param_keys))
     for prefix, logged, keys in parts:
-        wide = wide.join(_latest_by_run(logged, prefix, keys or logged_keys(logged), tie), "run_id", "left")
+        wide = wide.join(_latest_by_run(logged, prefix, keys or logged_keys(logged)), "run_id", "left")
     return wide
 
 
-def logged_keys(logged: DataFrame) -> list[str]:
-    """The distinct keys; few, since each becomes a column."""
-    return [r["key"] for r in logged.select("key").distinct().orderBy("key").collect()]
+MAX_KEYS = 10_000
+
+
+def logged_keys(logged: DataFrame, most: int = MAX_KEYS) -> list[str]:
+    """The distinct keys, each of which becomes a column; an error if there are more than a table can have."""
+    found = [r["key"] for r in logged.select("key").distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} different keys; name the ones that are wanted")
+    return sorted(found)
+
+
+def _latest_by_run(logged: DataFrame, prefix: str, keys: Sequence[str]) -> DataFrame:
+    """The values of the greatest events, by run.
+
+    The greatest number is a hash aggregate; a greatest struct or a value kept beside it, whose width is not fixed, would be sorted
+    before and after the shuffle. The second aggregate meets one row for each run and key.
+    """
+    if not keys:
+        return logged.select("run_id").distinct()
+    wanted = logged.filter(F.col("key").isin(*keys))
+    last = wanted.groupBy("run_id", "key").agg(F.max("event").alias("event"))
+    values = wanted.join(last, ["run_id", "key", "event"]).groupBy("run_id").agg(F.collect_list(F.struct("key", "value")).alias("logged"))
 
+    def value(key: str) -> Column:
+        # Two processes may give one number; then the greater value counts.
+        return F.array_max(F.transform(F.filter("logged", lambda e: e["key"] == key), lambda e: e["value"]))
 
-def _latest_by_run(logged: DataFrame, prefix: str, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
-    """One aggregation for all keys: the values of a run combine ahead of the only
-    shuffle, whose partitioning the join to the runs then uses."""
-    when = F.struct("logged_at", *tie, "value")
-    latest = [
-        F.max_by("value", F.when(F.col("key") == k, when)).alias(f"{prefix}.{k}") for k in keys
-    ]
-    return logged.groupBy("run_id").agg(*latest) if latest else logged.select("run_id").distinct()
+    return values.select("run_id", *(value(k).alias(f"{prefix}.{k}") for k in keys))
