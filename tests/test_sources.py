@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,13 @@ from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, read_lis
 from trainlake.sources.tables import ingest_if_absent, write_table
 
 
+def test_discarded_tables_are_gone_and_others_stay(spark):
+    kept, gone = session.materialise(spark.range(5), "a"), session.materialise(spark.range(6), "b")
+    folder = gone._scratch
+    session.discard(gone, gone, kept.filter("id > 1"))
+    assert kept.count() == 5 and not Path(folder.removeprefix("file:")).exists()
+
+
 def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     (tmp_path / "l.csv").write_text('name,price,n\n"a ""b"",\nc","$1,200.50",3\nplain,"$7",\n')
     rows = {r.name: r for r in read_listing(spark, str(tmp_path / "l.csv")).collect()}

@@ -91,11 +91,27 @@ def materialise(df: DataFrame, label: str, partition_by: Sequence[str] = ()) ->
 
     For results that several later plans read (levels of a category, clean rows):
     the source is scanned once, a lost executor cannot change what was decided
-    from them, and the reader knows their size.
+    from them, and the reader knows their size. discard() deletes them when they have done their work.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._scratch = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialise() has written, when all that reads them is written as well.
+
+    Only the very frames that it returned know their files; others are left alone.
+    """
+    for table in tables:
+        path = getattr(table, "_scratch", None)
+        if path is not None:
+            spark = table.sparkSession
+            found = spark._jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(found, True)
+            table._scratch = None
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
