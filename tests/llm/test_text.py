@@ -113,6 +113,14 @@ def test_jaccard_text_of_exactly_so_many_words(spark, words, percent):
     assert found == brute_components(rows, words, percent)
 
 
+def test_jaccard_rows_with_one_number_or_none(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    texts = [base, base, base + " end", "other " * 9, base.upper(), " ".join(f"v{k}" for k in range(30))]
+    rows = [(i, t) for t in texts for i in (None, 7, None)] + [(9, base + " fin")]
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert found == {(None, 57, 7), (7, 57, 7), (None, 58, 7), (7, 58, 7), (9, 58, 7), (None, 1, 7), (7, 1, 7), (None, 27, 7), (7, 27, 7)}
+
+
 def test_jaccard_edge_rows(spark):
     rows = jaccard.near_duplicates(edge_rows(spark)).collect()
     assert len(rows) == 9

@@ -20,11 +20,11 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainlake.llm.components import components
-from trainlake.session import materialise
+from trainlake.session import discard, materialise
 
 #: The levels of frequency are kept by this many buckets of hashes: 4 MB for any input.
 LEVEL_BITS = 22
@@ -32,6 +32,10 @@ LEVEL_BITS = 22
 LEVEL_PARTS = 4
 #: A task reports n-grams that it saw in so many texts; rarer ones count as rare everywhere.
 SEEN = 4
+#: N-grams whose frequency a task counts at a time, and texts it takes apart at a time.
+HELD_GRAMS, ROWS = 2_000_000, 256
+#: Classes, each a number or two, that may be sent to all tasks.
+BROADCAST_ROWS = 1_000_000
 LONGEST_MATCH = 4
 VERIFY_COST = 8
 STAR_ROUNDS = 6
@@ -70,22 +74,24 @@ def _class_of(grams: np.ndarray) -> int:
 
 
 def _rows(docs: DataFrame, words: int) -> DataFrame:
-    """Two kinds of rows: row, n and cls of each text; gram and seen of n-grams often met in a task."""
-    schema = pa.schema([("row", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("gram", pa.int64()), ("seen", pa.int64())])
+    """Two kinds of rows: row, digest, n and cls of each text; gram and seen of n-grams often met in a task."""
+    names = ("row", "digest", "n", "cls", "gram", "seen")
+    schema = pa.schema([(c, pa.int64()) for c in names])
 
     def batch(columns: list) -> pa.RecordBatch:
         size = max(len(c) for c in columns if c is not None)
         return pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     def shingle(batches):
-        classes, held, size = set(), [], 0
+        held, size = [], 0
 
         def often():
             grams, seen = np.unique(np.concatenate(held), return_counts=True)
-            return batch([None, None, None, grams[seen >= SEEN].view(np.int64), seen[seen >= SEEN]])
+            return batch([None, None, None, None, grams[seen >= SEEN].view(np.int64), seen[seen >= SEEN]])
 
         for b in batches:
             rows, ns, keys = [], [], []
+            classes = set()
             for row, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 grams = ngrams(text.as_py(), words)
                 key = _class_of(grams)
@@ -94,15 +100,15 @@ def _rows(docs: DataFrame, words: int) -> DataFrame:
                     classes.add(key)
                     held.append(grams)
                     size += len(grams)
-                    if size > 4_000_000:
+                    if size > HELD_GRAMS:
                         yield often()
                         held, size = [], 0
             if rows:
-                yield batch([rows, ns, keys, None, None])
+                yield batch([rows, b.column(2).to_pylist(), ns, keys, None, None])
         if held:
             yield often()
 
-    return docs.mapInArrow(shingle, "row long, n long, cls long, gram long, seen long")
+    return docs.mapInArrow(shingle, ", ".join(f"{c} long" for c in names))
 
 
 def _levels(rows: DataFrame) -> np.ndarray:
@@ -140,67 +146,109 @@ def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) ->
     schema = pa.schema([("gram", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("least", pa.int32())])
 
     def cut(batches):
-        classes = set()
         for b in batches:
-            out = [[], [], [], []]
-            for text in b.column(1):
-                grams = ngrams(text.as_py(), words)
-                key = _class_of(grams)
-                if len(grams) and key not in classes:
-                    classes.add(key)
-                    first, least = prefix(grams, sent.value, percent)
-                    for column, values in zip(out, (first.view(np.int64), np.full(len(first), key), np.full(len(first), len(grams)), np.full(len(first), least)), strict=True):
-                        column.append(values)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+            # Copies in one batch are left out here, all others where prefixes meet.
+            classes = set()
+            for k in range(0, b.num_rows, ROWS):
+                out = [[], [], [], []]
+                for text in b.column(1).slice(k, ROWS):
+                    grams = ngrams(text.as_py(), words)
+                    key = _class_of(grams)
+                    if len(grams) and key not in classes:
+                        classes.add(key)
+                        first, least = prefix(grams, sent.value, percent)
+                        for column, values in zip(out, (first.view(np.int64), np.full(len(first), key), np.full(len(first), len(grams)), np.full(len(first), least)), strict=True):
+                            column.append(values)
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     return docs.mapInArrow(cut, "gram long, cls long, n int, least int")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """cls, sketch and n-grams of the texts whose class is the one that docs (text, cls) names."""
     names = [f"s{k}" for k in range(SKETCH)]
     schema = pa.schema([("cls", pa.int64()), ("grams", pa.list_(pa.int64())), *((c, pa.int64()) for c in names)])
 
     def full(batches):
         for b in batches:
-            grams = [ngrams(t.as_py(), words) for t in b.column(0)]
-            sketches = np.array([sketch(g) for g in grams], np.int64).reshape(len(grams), SKETCH)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_class_of(g) for g in grams], pa.int64()), pa.array([g.view(np.int64) for g in grams], schema[1].type), *(pa.array(c) for c in sketches.T)],
-                schema=schema,
-            )
+            for k in range(0, b.num_rows, ROWS):
+                found = [(key, ngrams(t.as_py(), words)) for t, key in zip(b.column(0).slice(k, ROWS), b.column(1).slice(k, ROWS).to_pylist(), strict=True)]
+                found = [(key, grams) for key, grams in found if len(grams) and _class_of(grams) == key]
+                sketches = np.array([sketch(g) for _, g in found], np.int64).reshape(len(found), SKETCH)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key for key, _ in found], pa.int64()), pa.array([g.view(np.int64) for _, g in found], schema[1].type), *(pa.array(c) for c in sketches.T)],
+                    schema=schema,
+                )
+
+    return docs.select("text", "cls").mapInArrow(full, "cls long, grams array<long>, " + ", ".join(f"{c} long" for c in names))
 
-    return docs.mapInArrow(full, "cls long, grams array<long>, " + ", ".join(f"{c} long" for c in names))
 
+def _sent(table: DataFrame) -> DataFrame:
+    """A table of a few numbers in a row, sent to all tasks if it is small enough to be."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of classes (a, b) whose whole sets reach the similarity."""
-    left, right = (sets.select(F.col("cls").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab")
+
+def _apart(a: str, b: str) -> Column:
+    """In how many bits the sketches of two rows differ."""
+    return sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(1, SKETCH)), F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int, sketched: bool) -> DataFrame:
+    """The pairs of classes (a, b, na, nb) whose whole sets reach the similarity.
+
+    Sets are only sent for pairs whose sketches may be near enough; ``sketched`` pairs are known to be.
+    """
+    if not sketched:
+        # Sets as similar as asked differ in (100 - percent) / (100 + percent) of both sizes at most, and so do their sketches.
+        left, right = (sets.select(F.col("cls").alias(c), *(F.col(f"s{k}").alias(f"s{k}") for k in range(SKETCH))).alias(f"s{c}") for c in "ab")
+        met = pairs.alias("p").join(left, F.col("p.a") == F.col("sa.a")).join(right, F.col("p.b") == F.col("sb.b"))
+        pairs = met.filter((100 + percent) * _apart("sa", "sb") <= (100 - percent) * (F.col("na") + F.col("nb"))).select("p.*")
+    pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
+    named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    needed = sets.select("cls", "grams").join(_sent(named), "cls", "left_semi")
+    left, right = (needed.select(F.col("cls").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("grams_a", "grams_b"))
     union = F.size("grams_a") + F.size("grams_b") - shared
-    return both.filter(100 * shared >= percent * union).select("a", "b")
+    return both.filter(100 * shared >= percent * union).select("a", "b").distinct()
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """row, n and root of each row of docs (row, text); rows with one root are alike or linked by others that are.
 
-    row is a number without repeats. Two texts link if 100 * shared >= percent * all of their
+    row is a number, which may be NULL or that of several rows; docs is read three times and must have the same rows each
+    time. Two texts link if 100 * shared >= percent * all of their
     n-grams of words: ASCII letters are lower-cased, words are what stands between ASCII blanks.
     NULL texts and texts without words have n = 0, no root and link with nothing.
     Sets and n-grams are told apart by 64-bit hashes.
     """
-    docs = docs.select("row", F.col("text").cast("string").alias("text"))
+    docs = docs.select("row", F.col("text").cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
     rows = materialise(_rows(docs, words), "ngram-rows")
-    texts = rows.filter("row IS NOT NULL").select("row", "n", "cls")
-    prefixes = materialise(_prefixes(docs, words, percent, _levels(rows)), "prefixes")
+    texts = materialise(rows.filter("n IS NOT NULL").select("row", "digest", "n", "cls"), "classes")
+    levels = _levels(rows)
+    discard(rows)
+    prefixes = materialise(_prefixes(docs, words, percent, levels), "prefixes")
+    # One shuffle by n-gram: what follows up to the next write has its partitioning.
+    by_gram = prefixes.repartition("gram")
     # Sets of one posting list differ, or they would be one class: two different ones make a candidate.
-    shared = prefixes.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("gram")
-    postings = materialise(prefixes.join(shared, "gram").distinct(), "postings")
+    shared = by_gram.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("gram")
+    postings = materialise(by_gram.join(shared, "gram", "left_semi").distinct(), "postings")
+    discard(prefixes)
+    # One text for each class: the smallest digest under its smallest number.
     wanted = postings.select("cls").distinct()
-    one_each = texts.join(wanted, "cls").groupBy("cls").agg(F.min("row").alias("row"))
-    sets = materialise(_sets(docs.join(one_each.select("row"), "row").select("text"), words), "sets")
+    smallest = texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("row").alias("of"))
+    named = texts.join(smallest, "cls").filter(F.col("row").eqNullSafe(F.col("of"))).groupBy("cls", "of").agg(F.min("digest").alias("it"))
+    one_each = materialise(named, "one-each")
+    of_class = F.col("row").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("it"))
+    sets = materialise(_sets(docs.join(_sent(one_each), of_class), words), "sets")
+    n, different = sets.agg(F.count(F.lit(1)), F.count_distinct("cls")).first()
+    if n > different:  # copies with one number
+        several, sets = sets, materialise(sets.dropDuplicates(["cls"]), "sets")
+        discard(several)
+    discard(one_each)
     roots = _components_of_classes(postings, sets, percent)
+    discard(sets)
     found = texts.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     return found.select("row", "n", F.coalesce("root", "cls").alias("root"))
 
@@ -219,9 +267,12 @@ def _components_of_classes(postings: DataFrame, sets: DataFrame, percent: int) -
         # Sets of one component in a list, then what pairs across components would remain.
         by_root = labelled.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k"))
         lists = by_root.groupBy("gram").agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("inner"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
-        open_ = materialise(labelled.join(lists.select("gram"), "gram"), "open")
+        lists = materialise(lists, "lists")
+        last_open, open_ = open_, materialise(labelled.join(lists.select("gram"), "gram", "left_semi"), "open")
         across, size = lists.agg(F.sum(F.expr("(m * m - inner) / 2")), F.sum("m")).first()
+        discard(last_open, lists)
         if not size:
+            discard(open_)
             return roots
         if across <= 2 * size or across > 0.9 * before or turn == STAR_ROUNDS:
             break
@@ -231,19 +282,21 @@ def _components_of_classes(postings: DataFrame, sets: DataFrame, percent: int) -
         order = F.struct(middle, F.xxhash64(F.lit(turn), "gram", "cls"), "cls", "n", "root")
         heads = open_.groupBy("gram").agg(F.min(order).alias("head")).select("gram", F.col("head.cls").alias("b"), F.col("head.n").alias("nb"), F.col("head.root").alias("rb"))
         near = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (F.col("root") != F.col("rb"))
-        pairs = open_.join(heads, "gram").filter(near).select(F.col("cls").alias("a"), "b").distinct()
-        links = materialise(links.unionByName(_similar(pairs, sets, percent)), "similar")
+        pairs = open_.join(heads, "gram").filter(near).select(F.col("cls").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
+        last_links, links = links, materialise(links.unionByName(_similar(pairs, sets, percent, sketched=False)), "similar")
+        discard(last_links)
         roots = components(links)
-        open_ = open_.select("gram", "cls", "n", "least")
-    # Sets as similar as asked differ in (100 - percent) / (100 + percent) of both sizes at most, and so do their sketches.
+        last_open, open_ = open_, open_.select("gram", "cls", "n", "least")
+        open_._scratch = last_open._scratch
     sketched = materialise(open_.join(sets.drop("grams"), "cls"), "sketched")
+    discard(open_)
     a, b = sketched.alias("a"), sketched.alias("b")
     far = (F.col("a.cls") < F.col("b.cls")) & (F.col("a.root") != F.col("b.root"))
-    differ = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(1, SKETCH)), F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))))
-    near = (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")) & ((100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n")))
+    near = (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")) & ((100 + percent) * _apart("a", "b") <= (100 - percent) * (F.col("a.n") + F.col("b.n")))
     met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & far & near)
     pairs = met.groupBy(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).agg(F.count(F.lit(1)).alias("k"), F.min(F.least("a.least", "b.least")).alias("least"))
-    links = materialise(links.unionByName(_similar(pairs.filter("k >= least").select("a", "b"), sets, percent)), "similar")
+    links = materialise(links.unionByName(_similar(pairs.filter("k >= least").select("a", "b"), sets, percent, sketched=True)), "similar")
+    discard(sketched)
     return components(links)
 
 
@@ -255,7 +308,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     smallest, unless their whole component has none. Texts without words are alone.
     See ``link`` for what links. An empty table gives no rows.
     """
-    numbered = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "texts")
-    found = link(numbered, words, percent).join(numbered.select("row", "doc_id"), "row")
+    known = docs.select(F.col("doc_id").cast("long").alias("row"), "text")
+    found = link(known, words, percent).withColumnRenamed("row", "doc_id")
     least = found.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     return found.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
