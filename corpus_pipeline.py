@@ -28,13 +28,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of near duplicates (five words, 0.8) the row with the smallest doc_id stays.
 
     Repeated rows are duplicates, too: of rows with one doc_id the first stays. NULL ids come last. Rows
-    without words stay.
+    without words stay. docs is read several times and has to give the same rows in the same order each time, as a
+    written table does: rows are told apart by their place in it.
     """
     row, root = fresh(docs, "row", "root")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    texts = materialise(numbered.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "texts")
-    groups = jaccard.link(texts, words=5, percent=80).filter("root IS NOT NULL").select(F.col("row").alias("linked_row"), "root")
-    members = texts.select("row", "doc_id").join(groups, F.col("row") == F.col("linked_row")).select("row", "doc_id", "root")
+    known = numbered.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    texts = numbered.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))
+    groups = jaccard.link(texts, words=5, percent=80).filter("root IS NOT NULL").select("row", "root")
+    members = materialise(known.join(groups, "row"), "members")
     first = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
     later = members.join(first.filter("n > 1"), "root").filter(F.col("row") != F.col("first.row")).select(F.col("row").alias(row))
     return numbered.join(materialise(later, "later"), row, "left_anti").select(*docs.columns)
