@@ -3,9 +3,11 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from trainlake.operators.clean import missing_flags
 from trainlake.operators.impute import fit_imputation
+from trainlake.operators import quantiles
 from trainlake.operators.quantiles import exact_quantiles
 
 
@@ -42,6 +44,18 @@ def test_quantiles_are_exact_when_narrowed(spark, q):
     assert found == {c: lower_quantile(v, q) for c, v in columns.items()}
 
 
+def test_rows_are_read_three_times_at_most(spark, monkeypatch):
+    columns = {k: v for k, v in distributions().items() if k in ("even", "holes", "tails")}
+    df = frame(spark, columns).withColumn("marked", F.lit("source"))
+    scans, agg, write = [], DataFrame.agg, quantiles.materialise
+    monkeypatch.setattr(DataFrame, "agg", lambda self, *e: scans.append(self) or agg(self, *e))
+    monkeypatch.setattr(quantiles, "materialise", lambda d, label: scans.append(d) or write(d, label))
+    found = exact_quantiles(df, list(columns), 0.5, max_distinct=2, accuracy=50)
+    assert found == {c: lower_quantile(v, 0.5) for c, v in columns.items()}
+    whole = [s for s in scans if "LogicalRDD" in s._jdf.queryExecution().analyzed().toString()]
+    assert len(whole) == 3 < len(scans)
+
+
 def test_median_is_the_lower_of_two(spark):
     df = frame(spark, {"a": [1.0, 2.0, 3.0, 10.0]})
     assert fit_imputation(df, ["a"]).values == {"a": 2.0}

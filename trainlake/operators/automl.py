@@ -6,6 +6,7 @@ import itertools
 import random
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property, partial
 
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from trainlake.operators import models
 from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER
 from trainlake.operators.features import Roles
 from trainlake.operators.models import Fitted, fit_features, fit_on_features, needed_by
-from trainlake.operators.tune import cross_validate
+from trainlake.operators.tune import PARALLELISM, cross_validate
 
 # Tree ensembles first, as they win most often on tabular data; each family goes
 # from its default to deeper and larger settings.
@@ -70,10 +71,16 @@ def candidates(label: str, exclude: Sequence[str] = (), max_models: int = 10) ->
 
 @dataclass(frozen=True)
 class SweepResult:
-    best: Fitted
+    """The leaderboard; `best` is fitted when it is first asked for."""
+
+    refit: Callable[[], Fitted]
     best_id: str
     leaderboard: DataFrame
 
+    @cached_property
+    def best(self) -> Fitted:
+        return self.refit()
+
 
 def sweep(
     train: DataFrame,
@@ -83,7 +90,7 @@ def sweep(
     max_models: int = 10,
     sort_metric: str = "rmse",
     folds: int = 3,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
     **options,
 ) -> SweepResult:
     """Cross-validate the candidates over the fold column and refit the best.
@@ -112,8 +119,8 @@ def sweep(
     board = leaderboard(train.sparkSession.createDataFrame(rows, schema), sort_metric)
     best_id = board.first()["model_id"]
     winner = next(c for c in listed if c.model_id == best_id)
-    fitted = fit_on_features(train, features[winner.algo in LINEAR_FAMILIES], winner.estimator)
-    return SweepResult(fitted, best_id, board)
+    refit = partial(fit_on_features, train, features[winner.algo in LINEAR_FAMILIES], winner.estimator)
+    return SweepResult(refit, best_id, board)
 
 
 def leaderboard(scores: DataFrame, sort_metric: str = "rmse") -> DataFrame:

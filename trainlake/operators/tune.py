@@ -8,11 +8,12 @@ import random
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property, partial
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER, regression_metrics, score_models
@@ -22,6 +23,8 @@ from trainlake.operators.split import combine
 
 Params = Mapping[str, float]
 FOLD = "fold"
+#: Fits that share the cluster at a time.
+PARALLELISM = 8
 
 
 def grid(**values: Sequence) -> list[dict]:
@@ -35,19 +38,24 @@ def with_params(estimator: Estimator, params: Params) -> Estimator:
     return estimator.copy({p: p.typeConverter(value) for p, value in named.items()})
 
 
-def fit_all(
-    estimators: Sequence[Estimator], rows: DataFrame, parallelism: int
-) -> list[tuple[Model, float]]:
-    """Models fitted on the same rows and the seconds each took; several fits
-    share the cluster at a time."""
+def in_pool(spark: SparkSession, tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
+    """Results of tasks that start Spark jobs, in order; several share the cluster at a time, so that the short
+    last stages of one do not leave it idle."""
 
-    @inheritable_thread_target(rows.sparkSession)
-    def fit(estimator: Estimator) -> tuple[Model, float]:
-        started = time.monotonic()
-        return estimator.fit(rows), time.monotonic() - started
+    @inheritable_thread_target(spark)
+    def run(task: Callable[[], object]) -> object:
+        return task()
 
-    with ThreadPool(min(parallelism, len(estimators))) as pool:
-        return pool.map(fit, estimators)
+    if not tasks:
+        return []
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        return pool.map(run, tasks, chunksize=1)
+
+
+def timed_fit(estimator: Estimator, rows: DataFrame) -> tuple[Model, float]:
+    """The fitted model and the seconds it took."""
+    started = time.monotonic()
+    return estimator.fit(rows), time.monotonic() - started
 
 
 # --- cross-validation ---------------------------------------------------------
@@ -60,7 +68,7 @@ def cross_validate(
     folds: int,
     one_hot: bool = False,
     scope: str = "estimator",
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
     fold: str = FOLD,
     features: Fitted | None = None,
     **options,
@@ -70,7 +78,7 @@ def cross_validate(
     `train` has its fold number in a column. With scope "estimator" the feature
     stages are fitted once, on all folds (or given, if they are already); with
     "pipeline" again for each fold, without its rows. The feature rows are kept in memory or on local disk while
-    the fits run, and one scan scores all models of a fold.
+    the fits run. The fits of all folds share one pool, and one scan scores all models of a fold.
     """
     if scope not in ("estimator", "pipeline"):
         raise ValueError(f"scope is 'estimator' or 'pipeline', not {scope!r}")
@@ -80,24 +88,29 @@ def cross_validate(
     else:
         features = features or fit_features(train, roles, one_hot, **{**needed_by(estimators[0]), **options})
         train = features.model.transform(train).select("features", label, fold)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    trials = []
+    spark, train = train.sparkSession, train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for number in range(folds):
-            fit_rows, held_out = train.filter(F.col(fold) != number), train.filter(F.col(fold) == number)
-            prep = features or fit_features(fit_rows, roles, one_hot, **{**needed_by(estimators[0]), **options})
-            if features is None:
-                fit_rows, held_out = (
-                    prep.model.transform(rows).select("features", label) for rows in (fit_rows, held_out)
-                )
-            ready = [enough_bins(e, prep.model) for e in estimators]
-            fits = fit_all(ready, fit_rows, parallelism)
-            scores = score_models([model for model, _ in fits], held_out, label)
-            for trial, ((_, seconds), metrics) in enumerate(zip(fits, scores)):
-                trials.append({"trial_id": trial, "fold": number, **metrics, "fit_seconds": seconds})
+        fit_rows, held_out = ([train.filter(how(F.col(fold), number)) for number in range(folds)] for how in (Column.__ne__, Column.__eq__))
+        preps = [features] * folds
+        if features is None:
+            wanted = {**needed_by(estimators[0]), **options}
+            preps = in_pool(spark, [partial(fit_features, rows, roles, one_hot, **wanted) for rows in fit_rows], parallelism)
+            fit_rows, held_out = (
+                [prep.model.transform(part).select("features", label) for prep, part in zip(preps, parts)] for parts in (fit_rows, held_out)
+            )
+        fits = in_pool(
+            spark, [partial(timed_fit, enough_bins(e, preps[k].model), fit_rows[k]) for k in range(folds) for e in estimators], parallelism
+        )
+        by_fold = [fits[k * len(estimators) : (k + 1) * len(estimators)] for k in range(folds)]
+        scores = in_pool(
+            spark, [partial(score_models, [model for model, _ in mine], held_out[k], label) for k, mine in enumerate(by_fold)], parallelism
+        )
     finally:
         train.unpersist()
-    return trials
+    return [
+        {"trial_id": trial, "fold": k, **scores[k][trial], "fit_seconds": seconds}
+        for k, mine in enumerate(by_fold) for trial, (_, seconds) in enumerate(mine)
+    ]
 
 
 TRIAL_SCHEMA = "trial_id int, fold int, n bigint, " + ", ".join(
@@ -122,10 +135,16 @@ def cv_summary(trials: DataFrame, metric: str = "rmse", by: Sequence[str] = ("tr
 
 @dataclass(frozen=True)
 class GridResult:
-    best: Fitted
+    """The trials and the best parameters; `best` is fitted when it is first asked for."""
+
+    refit: Callable[[], Fitted]
     params: Params
     trials: DataFrame
 
+    @cached_property
+    def best(self) -> Fitted:
+        return self.refit()
+
 
 def grid_cv(
     train: DataFrame,
@@ -136,7 +155,7 @@ def grid_cv(
     metric: str = "rmse",
     one_hot: bool = False,
     scope: str = "estimator",
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
     **options,
 ) -> GridResult:
     """The parameters with the best mean metric over the folds, refitted on all rows."""
@@ -147,7 +166,7 @@ def grid_cv(
     )
     trials = trial_table(train.sparkSession, rows)
     best = cv_summary(trials, metric).first()["trial_id"]
-    return GridResult(fit_on_features(train, features, candidates[best]), param_grid[best], trials)
+    return GridResult(partial(fit_on_features, train, features, candidates[best]), param_grid[best], trials)
 
 
 # --- sequential search --------------------------------------------------------
@@ -247,10 +266,23 @@ def best_of(history: History) -> Params:
 
 @dataclass(frozen=True)
 class SearchResult:
-    best: Fitted
+    """The trials and the best parameters; what follows from a refit is made when it is first asked for."""
+
+    refit: Callable[[], tuple[Fitted, DataFrame]]
     params: Params
     trials: DataFrame
-    test_metrics: DataFrame
+
+    @cached_property
+    def _refitted(self) -> tuple[Fitted, DataFrame]:
+        return self.refit()
+
+    @property
+    def best(self) -> Fitted:
+        return self._refitted[0]
+
+    @property
+    def test_metrics(self) -> DataFrame:
+        return self._refitted[1]
 
 
 def search_validated(
@@ -267,7 +299,7 @@ def search_validated(
     one_hot: bool = False,
     **options,
 ) -> SearchResult:
-    """Search on the validation error, refit the best on both sets, test once."""
+    """Search on the validation error; the best is refitted on both sets and tested once."""
     label = estimator.getLabelCol()
     features = fit_features(train, roles, one_hot, **{**needed_by(estimator), **options})
     fit_rows, held_out = (
@@ -288,12 +320,12 @@ def search_validated(
         fit_rows.unpersist()
         held_out.unpersist()
     best = best_of(history)
-    refit = refit_best(train, validation, test, roles, with_params(estimator, best), one_hot, **options)
+    refit = partial(refit_best, train, validation, test, roles, with_params(estimator, best), one_hot, **options)
     trials = train.sparkSession.createDataFrame(
         [(i, {k: float(v) for k, v in p.items()}, loss) for i, (p, loss) in enumerate(history)],
         "trial_id int, params map<string,double>, rmse double",
     )
-    return SearchResult(refit[0], best, trials, refit[1])
+    return SearchResult(refit, best, trials)
 
 
 def refit_best(
