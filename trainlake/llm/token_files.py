@@ -186,4 +186,5 @@ def read_tokens(spark: SparkSession, path: str, only: int | None = None) -> Data
 
     wanted = blocks if only is None else blocks.filter((F.col("first_id") <= only) & (F.col("last_id") >= only))
     opened = wanted.select("part", "start_in_part", "payload").mapInArrow(documents, TOKENS)
-    return opened.join(parts, "part").select("doc_id", (F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "ids")
+    # One row for each written part, of at least a block each but the last.
+    return opened.join(F.broadcast(parts), "part").select("doc_id", (F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "ids")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -16,13 +17,26 @@ _LETTER = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _PIECE = re.compile(
     rf" ?[{_LETTER}]+(?=[ \n,.!?;:|]|\Z)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-CACHED_PIECES = 400_000
+#: Plain words, whose bytes stand for themselves in a byte-level vocabulary; the blank before them is written as this letter.
+_WORD = re.compile(r" ?[A-Za-z]+\Z")
+_BLANK = "Ġ"
+CACHED_PIECES = 800_000
 LONGEST_CACHED = 64
 #: Stands between pieces that are asked for together; its token has no other byte.
 _BETWEEN = "\x00"
 ASKED = 128
 
 
+def _positions(values: list, wanted: object) -> list[int]:
+    found, at = [], -1
+    try:
+        while True:
+            at = values.index(wanted, at + 1)
+            found.append(at)
+    except ValueError:
+        return found
+
+
 class Encoder:
     """Encodes whole texts of a byte-level BPE, with the ids that the library gives without added special tokens.
 
@@ -36,8 +50,8 @@ class Encoder:
         self._joined = Tokenizer.from_file(path)
         self._joined.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(_BETWEEN, "isolated"), self._joined.pre_tokenizer])
         (self._between,) = self._joined.encode(_BETWEEN, add_special_tokens=False).ids
-        special = [t.content for t in self._joined.get_added_tokens_decoder().values()]
-        self._whole = re.compile("|".join(map(re.escape, [_BETWEEN, *special])))
+        self._model = self._joined.model
+        self._whole = [_BETWEEN, *(t.content for t in self._joined.get_added_tokens_decoder().values())]
         self._newer: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._half = max(1, cached // 2)
@@ -51,10 +65,16 @@ class Encoder:
         return Tokenizer.from_file(self._path)
 
     def _ask(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of different pieces."""
-        found = {}
-        for k in range(0, len(pieces), ASKED):
-            some = pieces[k : k + ASKED]
+        """Ids of different pieces: of plain words from the model itself, of all others through the tokenizer's splitting."""
+        found, others = {}, []
+        for piece in pieces:
+            if _WORD.match(piece):
+                ids = [token.id for token in self._model.tokenize(piece.replace(" ", _BLANK))]
+                found[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                others.append(piece)
+        for k in range(0, len(others), ASKED):
+            some = others[k : k + ASKED]
             (encoded,) = self._joined.encode_batch_fast([_BETWEEN.join(some)], add_special_tokens=False)
             ids = np.array(encoded.ids, "<u4")
             data, start = ids.tobytes(), 0
@@ -81,15 +101,17 @@ class Encoder:
         for text in texts:
             if not text:
                 out.append(b"")
-            elif self._whole.search(text):
+            elif any(special in text for special in self._whole):
                 (encoded,) = self._plain.encode_batch_fast([text], add_special_tokens=False)
                 out.append(np.array(encoded.ids, "<u4").tobytes())
             else:
                 pieces = _PIECE.findall(text)
                 found = list(map(self._newer.get, pieces))
-                if None in found:
-                    learned = self._learn({p for p, ids in zip(pieces, found, strict=True) if ids is None})
-                    found = [learned[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+                unknown = _positions(found, None)
+                if unknown:
+                    learned = self._learn({pieces[k] for k in unknown})
+                    for k in unknown:
+                        found[k] = learned[pieces[k]]
                 out.append(b"".join(found))
         return out
 
