@@ -50,6 +50,8 @@ def test_language_edge_rows(spark):
     model = language.train(["the cat and the dog"] * 3 + ["der hund und die katze"] * 3, ["en"] * 3 + ["de"] * 3)
     found = {(r.doc_id, r.lang_pred) for r in language.identify(edge_rows(spark, [(7, "the dog")]), model).collect()}
     assert {(1, "und"), (2, "und"), (3, "und"), (6, "und"), (7, "en")} <= found
+    marks = language.identify(edge_rows(spark, [(21, "½ ² ①② Ⅷ _ 7"), (22, "① a dog")]), model).filter("doc_id > 20")
+    assert {(r.doc_id, r.lang_pred == "und") for r in marks.collect()} == {(21, True), (22, False)}
     assert language.identify(no_rows(spark), model).count() == 0
     nothing = language.fit(edge_rows(spark), language.may_learn(F.col("doc_id")))
     assert {r.lang_pred for r in language.identify(edge_rows(spark), nothing).collect()} == {"und"}

@@ -9,7 +9,6 @@ are about as near is flagged as ambiguous.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ BUCKETS = 1 << 13
 TEXTS_EACH, TEXTS_ALL, SAMPLE_CHARS = 1200, 20_000, 4000
 MAX_LANGUAGES = 1000
 AMBIGUOUS = 0.2
-_LETTER = re.compile(r"[^\W\d_]")
 _BLANKED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 UNKNOWN = "und"
 
@@ -82,7 +80,7 @@ class Model:
         return self.languages[order[0]], float(weight.max() / weight.sum()), bool(close)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if not text or not _LETTER.search(text) or not self.languages:
+        if not text or not any(map(str.isalpha, text)) or not self.languages:
             return UNKNOWN, 0.0, False
         return self.decode(self.margins(text))
 
