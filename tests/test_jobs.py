@@ -82,6 +82,19 @@ def test_all_jobs_log_register_and_score(spark, houses, tmp_path, monkeypatch):
     assert registry.resolve(store, "models:/prices/Staging").endswith(f"{linear}/model")
 
 
+def test_all_jobs_as_configured_on_the_housing_layout(spark, houses, tmp_path):
+    """Grid, space, models and folds as they are, with a column of addresses of which no test row's is known."""
+    store = training.run_all(spark, houses.limit(250), HOUSING, str(tmp_path / "all"))
+    found = runs.search_runs(store.read("runs"), store.read("metrics"), experiment=training.EXPERIMENT, metric_keys=["rmse", "r2", "n_test"]).collect()
+    by_name = {r.run_name: r for r in found}
+    assert set(by_name) == {"linear", "forest_grid_cv", "forest_search_trial", "forest_search", "automl"} and len(found) == 8
+    assert all(r["metrics.n_test"] > 20 for name, r in by_name.items() if name != "forest_search_trial")
+    leaderboard = store.read("artifacts").filter("name = 'leaderboard'").first()["path"]
+    assert spark.read.parquet(leaderboard).count() == 10
+    rows = training.prepare(training.stage_rows(houses, HOUSING), HOUSING, [1.0]).parts[0]
+    assert training.score_with(store, "models:/listing_forest/Production", rows, ["row_key"]).count() == rows.count()
+
+
 def test_registry_refuses_what_it_does_not_know(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "r"))
     with pytest.raises(LookupError):

@@ -109,7 +109,7 @@ def sweep(
         features[one_hot] = fit_features(train, roles, one_hot, **{**needed_by(group[0].estimator), **options})
         trials = cross_validate(
             train, roles, [c.estimator for c in group], folds, one_hot,
-            parallelism=parallelism, features=features[one_hot],
+            parallelism=parallelism, features=features[one_hot], **options,
         )
         for i, candidate in enumerate(group):
             mine = [t for t in trials if t["trial_id"] == i]

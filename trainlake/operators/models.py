@@ -118,26 +118,33 @@ class Fitted:
 
 
 def fit_features(
-    train: DataFrame, roles: Roles, one_hot: bool, wide_levels: int = WIDE_LEVELS,
+    train: DataFrame, roles: Roles, one_hot: bool, wide_levels: int | None = None,
     on_unknown: str = "skip", on_null: str = "error", label: str | None = None, bins: int = MAX_BINS,
 ) -> Fitted:
     """Fit the feature stages only.
 
-    String columns with more than wide_levels levels are looked up in an index table, which no machine holds whole. For
+    String columns with more than wide_levels levels (WIDE_LEVELS, for trees with a label as many as there are bins) are looked up in an index table, which no machine holds whole. For
     trees (not one_hot) with a label their levels are ordered by mean label and cut into at most `bins` groups, so that no tree needs a
     bin for each level.
     """
     levels = preflight(train, roles, on_null)
+    # Of a tree's bins, one is left for levels that are not known.
+    groups = None if one_hot or label is None else max(2, bins - (on_unknown == "keep"))
+    if wide_levels is None:
+        wide_levels = groups or WIDE_LEVELS
     wide, lookup = [c for c in roles.categorical if levels[c] > wide_levels], None
     if wide:
-        # One value is left for levels that are not known.
-        groups = None if one_hot or label is None else max(2, bins - (on_unknown == "keep"))
         index = fit_groups(train, wide, label, groups) if groups else fit_index(train, wide)
         lookup = IndexLookup(index, wide, on_unknown=on_unknown)
     stages, inputs = feature_stages(roles, one_hot, on_unknown, on_null, lookup=lookup)
     return Fitted(Pipeline(stages=stages).fit(train), roles, tuple(inputs))
 
 
+def uses_label(features: Fitted) -> bool:
+    """Whether the features were fitted to the label, so that rows to be tested on must not have taken part."""
+    return any(isinstance(stage, IndexLookup) and stage.index.rank != "idx" for stage in features.model.stages)
+
+
 def needed_by(estimator: Estimator) -> dict:
     """What fit_features() should know of the estimator that comes behind."""
     bins = {"bins": estimator.getOrDefault("maxBins")} if estimator.hasParam("maxBins") else {}

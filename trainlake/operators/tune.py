@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER, regression_metrics, score_models
 from trainlake.operators.features import Roles
-from trainlake.operators.models import Fitted, enough_bins, fit_features, fit_on_features, fit_pipeline, needed_by
+from trainlake.operators.models import Fitted, enough_bins, fit_features, fit_on_features, fit_pipeline, needed_by, uses_label
 from trainlake.operators.split import combine
 
 Params = Mapping[str, float]
@@ -76,7 +76,7 @@ def cross_validate(
     """One row for each estimator and fold: trial_id, fold, n, the metrics, fit_seconds.
 
     `train` has its fold number in a column. With scope "estimator" the feature
-    stages are fitted once, on all folds (or given, if they are already); with
+    stages are fitted once, on all folds (or given, if they are already), unless they use the label; with
     "pipeline" again for each fold, without its rows. The feature rows are kept in memory or on local disk while
     the fits run. The fits of all folds share one pool, and one scan scores all models of a fold.
     """
@@ -87,6 +87,9 @@ def cross_validate(
         features = None
     else:
         features = features or fit_features(train, roles, one_hot, **{**needed_by(estimators[0]), **options})
+    if features is not None and uses_label(features):
+        features = None  # levels grouped by mean label would tell a fold's own labels
+    if features is not None:
         train = features.model.transform(train).select("features", label, fold)
     spark, train = train.sparkSession, train.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -35,12 +35,17 @@ FOREST_SPACE = {"maxDepth": tune.Quantised(2, 5), "numTrees": tune.Quantised(10,
 
 @dataclass(frozen=True)
 class Prepared:
-    """Clean listing rows with a row key, their split, and the roles of the columns."""
+    """Clean listing rows with a row key, their split, and the roles of the columns.
+
+    on_unknown says what becomes of rows with a level that the training rows lack: "skip" drops them, "keep"
+    counts them as one more level, so that columns such as addresses do not drop all rows.
+    """
 
     parts: list[DataFrame]
     spec: ListingSpec
     roles: Roles
     key: str = "row_key"
+    on_unknown: str = "skip"
 
 
 def content_key(df: DataFrame) -> Column:
@@ -69,6 +74,7 @@ def prepare(
     strategy: str = "median",
     fit_scope: str = "train",
     relative_error: float | None = None,
+    on_unknown: str = "skip",
 ) -> Prepared:
     """Split staged rows and impute.
 
@@ -80,7 +86,7 @@ def prepare(
     fill = fit_imputation(fit_rows, spec.impute, strategy, relative_error)
     filled = [fill.apply(part) for part in parts]
     roles = column_roles(filled[0], spec.label, exclude=["row_key", "bucket"])
-    return Prepared(filled, spec, roles)
+    return Prepared(filled, spec, roles, on_unknown=on_unknown)
 
 
 def _evaluate(fitted: Fitted, test: DataFrame, label: str) -> dict[str, float]:
@@ -113,7 +119,7 @@ def train_simple(store: TableStore, data: Prepared, algo: str, name: str, **para
     make, one_hot = automl.FAMILIES[algo][0], algo in automl.LINEAR_FAMILIES
     train, test = data.parts
     run_id = runs.start_run(store, EXPERIMENT, name)
-    fitted = fit_pipeline(train, data.roles, make(data.spec.label, **params), one_hot)
+    fitted = fit_pipeline(train, data.roles, make(data.spec.label, **params), one_hot, on_unknown=data.on_unknown)
     runs.log_params(store, run_id, {"label": data.spec.label, "features": "all_features"})
     metrics = _evaluate(fitted, test, data.spec.label)
     _log(store, run_id, fitted, metrics, train, data.key, importance=not one_hot)
@@ -126,7 +132,7 @@ def train_forest_cv(store: TableStore, data: Prepared, folds: int = 3, scope: st
     run_id = runs.start_run(store, EXPERIMENT, "forest_grid_cv")
     result = tune.grid_cv(
         bucket_folds(train, folds), data.roles, models.forest(data.spec.label),
-        tune.grid(**FOREST_GRID), folds, scope=scope,
+        tune.grid(**FOREST_GRID), folds, scope=scope, on_unknown=data.on_unknown,
     )
     runs.log_params(store, run_id, {f"best.{k}": v for k, v in result.params.items()})
     runs.log_table(store, run_id, result.trials, "cv_trials")
@@ -142,7 +148,7 @@ def train_forest_search(
     train, validation, test = data.parts
     result = tune.search_validated(
         train, validation, test, data.roles, models.forest(data.spec.label), FOREST_SPACE,
-        evaluations, propose=propose,
+        evaluations, propose=propose, on_unknown=data.on_unknown,
     )
     for trial in result.trials.orderBy("trial_id").collect():  # one row for each evaluation
         trial_run = runs.start_run(store, EXPERIMENT, "forest_search_trial")
@@ -184,13 +190,13 @@ def score_with(store: TableStore, uri: str, rows: DataFrame, keep: Sequence[str]
 
 
 def run_all(
-    spark: SparkSession, raw: DataFrame, spec: ListingSpec, root: str, key: Column | None = None
+    spark: SparkSession, raw: DataFrame, spec: ListingSpec, root: str, key: Column | None = None, on_unknown: str = "keep"
 ) -> TableStore:
     """All training jobs one after the other, the searched forest going to production."""
     store = TableStore(spark, root)
     rows = stage_rows(raw, spec, key)
-    halves = prepare(rows, spec, [0.8, 0.2])
-    thirds = prepare(rows, spec, [0.6, 0.2, 0.2])
+    halves = prepare(rows, spec, [0.8, 0.2], on_unknown=on_unknown)
+    thirds = prepare(rows, spec, [0.6, 0.2, 0.2], on_unknown=on_unknown)
     linear_run = train_simple(store, halves, "linear", "linear")
     train_forest_cv(store, halves)
     searched_run = train_forest_search(store, thirds)
@@ -205,10 +211,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--listing", choices=sorted(LISTINGS), default="housing")
     parser.add_argument("--source", required=True, help="path of the CSV listing")
     parser.add_argument("--store", required=True, help="folder for runs and models")
+    parser.add_argument("--on-unknown", choices=("keep", "skip"), default="keep", help="rows with levels not seen in training")
     args = parser.parse_args(argv)
     spark = get_session("training")
     raw = read_listing(spark, args.source)
-    run_all(spark, raw, LISTINGS[args.listing], args.store)
+    run_all(spark, raw, LISTINGS[args.listing], args.store, on_unknown=args.on_unknown)
 
 
 if __name__ == "__main__":
