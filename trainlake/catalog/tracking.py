@@ -47,7 +47,7 @@ def search_runs_wide(spark: SparkSession, sf: str) -> DataFrame:
     )
     orders = table(spark, sf, "orders")
     # Orders are numbered by date and key: seconds, and 28 bits for the key.
-    event = (F.unix_seconds("o_orderdate") * (1 << 28) + F.col("o_orderkey")).alias("event")
+    event = (F.unix_seconds(F.col("o_orderdate").cast("timestamp")) * (1 << 28) + F.col("o_orderkey")).alias("event")
     base = [F.col("o_custkey").cast("string").alias("run_id"), event]
     metrics = orders.select(*base, F.col("o_orderpriority").alias("key"), F.col("o_totalprice").alias("value"))
     params = orders.select(
@@ -106,7 +106,7 @@ def autolog_params(spark: SparkSession, sf: str) -> DataFrame:
     """K4: what is logged by itself of a fitted pipeline."""
     store = TableStore(spark, scratch_path(spark, "params"))
     lines = table(spark, sf, "lineitem").select("l_returnflag", "l_partkey", LABEL)
-    rows = lines.select("l_returnflag", (F.col("l_partkey") % 50).cast("string").alias("bucket"), LABEL)
+    rows = lines.select("l_returnflag", (F.col("l_partkey") % 30).cast("string").alias("bucket"), LABEL)
     fitted = fit_pipeline(rows, Roles(("l_returnflag", "bucket"), ()), tree(LABEL, maxDepth=3))
     run_id = runs.start_run(store, "prices")
     runs.autolog(store, run_id, fitted.model)
@@ -124,7 +124,7 @@ ORACLES["autolog_params"] = f"""
 SELECT 'StringIndexerModel.inputCols' AS key, '[''l_returnflag'', ''bucket'']' AS value UNION ALL
 SELECT 'StringIndexerModel.handleInvalid', 'skip' UNION ALL SELECT 'VectorAssembler.inputCols', '[''l_returnflagIndex'', ''bucketIndex'']' UNION ALL
 SELECT 'DecisionTreeRegressionModel.maxDepth', '3' UNION ALL SELECT 'DecisionTreeRegressionModel.labelCol', '{LABEL}' UNION ALL
-SELECT 'DecisionTreeRegressionModel.maxBins', CAST(greatest(40, count(DISTINCT l_partkey % 50) + 1) AS VARCHAR) FROM lineitem"""
+SELECT 'DecisionTreeRegressionModel.maxBins', CAST(greatest(40, count(DISTINCT l_partkey % 30) + 1) AS VARCHAR) FROM lineitem"""
 
 
 @QUERIES
