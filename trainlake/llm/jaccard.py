@@ -195,15 +195,18 @@ def _apart(a: str, b: str) -> Column:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int, sketched: bool) -> DataFrame:
-    """The pairs of classes (a, b, na, nb) whose whole sets reach the similarity.
+    """The pairs of classes (a, b) whose whole sets reach the similarity.
 
-    Sets are only sent for pairs whose sketches may be near enough; ``sketched`` pairs are known to be.
+    Sets are only sent for pairs whose sketches may be near enough; ``sketched`` pairs are known to be. Others have their
+    sizes na and nb and tell in how many lists they meet.
     """
     if not sketched:
         # Sets as similar as asked differ in (100 - percent) / (100 + percent) of both sizes at most, and so do their sketches.
         left, right = (sets.select(F.col("cls").alias(c), *(F.col(f"s{k}").alias(f"s{k}") for k in range(SKETCH))).alias(f"s{c}") for c in "ab")
         met = pairs.alias("p").join(left, F.col("p.a") == F.col("sa.a")).join(right, F.col("p.b") == F.col("sb.b"))
-        pairs = met.filter((100 + percent) * _apart("sa", "sb") <= (100 - percent) * (F.col("na") + F.col("nb"))).select("p.*")
+        near = met.filter((100 + percent) * _apart("sa", "sb") <= (100 - percent) * (F.col("na") + F.col("nb"))).select("p.*")
+        # Of the stars that a set is in, the one it shares most lists with: its set is sent once a round.
+        pairs = near.groupBy("a").agg(F.max(F.struct("lists", "b")).alias("best")).select("a", "best.b")
     pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     needed = sets.select("cls", "grams").join(_sent(named), "cls", "left_semi")
@@ -282,7 +285,8 @@ def _components_of_classes(postings: DataFrame, sets: DataFrame, percent: int) -
         order = F.struct(middle, F.xxhash64(F.lit(turn), "gram", "cls"), "cls", "n", "root")
         heads = open_.groupBy("gram").agg(F.min(order).alias("head")).select("gram", F.col("head.cls").alias("b"), F.col("head.n").alias("nb"), F.col("head.root").alias("rb"))
         near = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (F.col("root") != F.col("rb"))
-        pairs = open_.join(heads, "gram").filter(near).select(F.col("cls").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
+        stars = open_.join(heads, "gram").filter(near).select(F.col("cls").alias("a"), "b", F.col("n").alias("na"), "nb")
+        pairs = stars.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("lists"))
         last_links, links = links, materialise(links.unionByName(_similar(pairs, sets, percent, sketched=False)), "similar")
         discard(last_links)
         roots = components(links)
