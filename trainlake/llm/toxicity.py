@@ -110,14 +110,13 @@ def _stems(word: str) -> list[str]:
 
 def _places(texts: list[str]) -> Counter:
     """In how many different places each stem is found: with different words both before and after it, so that copies count once."""
-    before, after = set(), set()
-    for text in texts:
-        w = ["", *windows(text), ""]
-        before.update(zip(w, w[1:-1]))
-        after.update(zip(w[1:-1], w[2:]))
-    counts = []
-    for pairs, at in ((before, 1), (after, 0)):
-        words = Counter(x[at] for x in pairs)
+    counts, known = [], {}
+    for side in (0, 1):  # one after the other, and each word kept once: the pairs are what takes most of the memory
+        pairs = set()
+        for text in texts:
+            w = ["", *(known.setdefault(x, x) for x in windows(text)), ""]
+            pairs.update(zip(w[1:-1], w[2:] if side else w[:-2]))
+        words = Counter(word for word, _ in pairs)
         stems = Counter()
         for word, n in words.items():
             for stem in _stems(word):
