@@ -1,5 +1,6 @@
 import collections
 import re
+import string
 
 import numpy as np
 import pytest
@@ -195,6 +196,10 @@ def test_licenses_edge_rows(spark):
 
 # surrogates
 
+def luhn(digits):
+    return sum(sum(divmod(2 * int(d), 10)) if k % 2 else int(d) for k, d in enumerate(reversed(digits)))
+
+
 def test_surrogates_hide_entities_and_keep_the_rest(spark):
     forms = "|".join((r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+", r"\b\d{1,3}(?:\.\d{1,3}){3}\b", r"\b[3-6]\d{15}\b", r"\(\d{3}\) \d{3}-\d{4}", r"[0-9a-f]{18,40}"))
     before = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
@@ -204,7 +209,10 @@ def test_surrogates_hide_entities_and_keep_the_rest(spark):
         assert re.split(forms, before[r.doc_id]) == re.split(forms, r.text)
         pairs |= set(zip(old, new, strict=True))
     assert pairs and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
-    assert not {a for a, _ in pairs} & {b for _, b in pairs}
+    # Sixteen digits without a valid check digit are no card number.
+    kept = {a for a, b in pairs if a == b}
+    assert kept == {a for a, _ in pairs if re.fullmatch(r"\d{16}", a) and luhn(a) % 10}
+    assert not ({a for a, _ in pairs} - kept) & {b for _, b in pairs}
 
 
 def test_surrogates_of_names_secrets_and_formats(spark):
@@ -219,7 +227,7 @@ def test_surrogates_of_names_secrets_and_formats(spark):
     low, up = re.findall(r"\S+@\S+", out.text)
     assert up == low.upper() and low != "a@b.co"
     card = re.search(r"(4\d{3}(?: \d{4}){3})$", out.text)[1].replace(" ", "")
-    assert sum(sum(divmod(2 * int(d), 10)) if k % 2 else int(d) for k, d in enumerate(reversed(card))) % 10 == 0
+    assert luhn(card) % 10 == 0
 
 
 def test_surrogates_stay_distinct_where_the_format_is_narrow(spark):
@@ -229,6 +237,45 @@ def test_surrogates_stay_distinct_where_the_format_is_narrow(spark):
     assert len(made) == 15 and not made & {f"{a}@x.co" for a in "abcdefghijklmno"}
 
 
+def mails(spark, texts):
+    return [r.text for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+
+
+def test_surrogates_of_a_full_format_are_longer(spark):
+    old = [f"{a}@{b}.co" for a in string.ascii_lowercase for b in string.ascii_lowercase]
+    new = mails(spark, old)
+    assert len(set(new)) == 676 and not set(new) & set(old) and all(re.fullmatch(r"[a-z]+@[a-z]\.co", x) for x in new)
+
+
+def test_surrogates_of_many_family_names_are_distinct(spark):
+    letters = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(4))
+    docs = spark.range(0, 200, 1, 4).select(F.col("id").alias("doc_id"), F.concat_ws("; ", F.array(*(F.concat(F.lit(f"Mr Q{letters(k)}"), F.concat_ws("", *(F.chr(97 + (F.col("id") / 26**i).cast("int") % 26) for i in range(2)))) for k in range(1000)))).alias("text"))
+    made = [m for r in pii.replace(docs, "k").collect() for m in r.text.split("; ")]
+    assert len(made) == len(set(made)) == 200_000
+
+
+def test_surrogates_keep_family_names_together_where_they_collide(spark, monkeypatch):
+    monkeypatch.setattr(pii, "CONSONANTS", "b")
+    monkeypatch.setattr(pii, "VOWELS", "ae")
+    words = [f"R{a}{b}" for a in "aeiou" for b in "bcdfghjklmnprstvwxyz"]
+    new = [re.fullmatch(r"Mr (\w+); Mrs (\w+) (\w+); MRS\. X", t) for t in mails(spark, [f"Mr {w}; Mrs Ann {w}; MRS. X" for w in words])]
+    assert all(m[1] == m[3] for m in new) and len({m[1] for m in new}) == 100 and len({m[2] for m in new}) == 1 and new[0][2].endswith("na")
+
+
+def test_surrogates_of_numbers_without_room_get_an_extension(spark):
+    made = lambda what, entity, turn: spark.range(1).select(pii.render(F.lit(entity), F.lit(what), F.array(pii.surrogate(F.lit(what), F.lit(re.sub(r"\D", "", entity) if what != "ip" else entity), F.lit("s"), turn)))).first()[0]
+    assert re.fullmatch(r"\(\d{3}\) \d{3}-\d{4} x\d\d", made("phone", "(917) 555-2670", pii.EXTENDED + 1))
+    assert re.fullmatch(r"4\d{3}(?: \d{4}){3} x\d", made("card", "4111 1111 1111 1111", pii.EXTENDED))
+    assert re.fullmatch(r"[\d.]+:\d+", made("ip", "10.0.0.1", pii.EXTENDED)) and ":" not in made("ip", "10.0.0.1", pii.EXTENDED - 1)
+
+
+def test_surrogates_leave_lines_and_numbers_without_check_digit(spark):
+    texts = ["token: ------------------", "order 4111 1111 1111 1112 of 917-555-2670", "password: 4111111111111112", "pwd=--abcdef--"]
+    a, b, c, d = mails(spark, texts)
+    assert a == texts[0] and b.startswith("order 4111 1111 1111 1112 of ") and b != texts[1]
+    assert re.fullmatch(r"password: \d{16}", c) and c != texts[2] and re.fullmatch("pwd=--[a-z]{6}--", d) and d != texts[3]
+
+
 def test_surrogates_edge_rows(spark):
     out = pii.replace(edge_rows(spark), "k")
     assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, edge_rows(spark).select("doc_id", "text").collect()))

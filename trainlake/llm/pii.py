@@ -1,13 +1,16 @@
 """Surrogates for personal data, in DataFrame functions only.
 
-Entities (e-mail addresses, IPv4 addresses, card and phone numbers, secrets after a key word, and
-names after a title) are replaced by keyed surrogates of the same type: the same entity always gets the
-same surrogate (coreference), written in the format, script and case of each mention, with a valid
-check digit where the card number has one, and with an ending of the same gender for names.
+Entities (e-mail addresses, IPv4 addresses, card numbers with a valid check digit, phone numbers, secrets
+after a key word, and names after a title) are replaced by keyed surrogates of the same type: the same entity
+always gets the same surrogate (coreference), written in the format, script and case of each mention, with a valid
+check digit for cards, and with an ending of the same gender for given names. The words of a name
+are entities of their own, so "Mrs Roe" and "Mrs Ann Roe" keep one family name.
 
 A surrogate is computed in place from the key and the entity alone, so texts are not shuffled.
 All distinct entities are then checked for collisions: where two would share a surrogate,
-or a surrogate is itself an entity of the texts, all but the first get another one. Only these exceptions, as a rule
+or a surrogate is itself an entity of the texts, all but the first get another one. From the second new one on
+they are longer each time, so no format runs dry: e-mail addresses, secrets and names grow by letters, and from the
+fourth on IPv4 addresses get a port, card and phone numbers an extension. Only these exceptions, as a rule
 none, are joined back to the places where they occur.
 """
 
@@ -28,39 +31,47 @@ SECRET_WORDS = "password|passwd|pwd|token|secret|api_key|apikey|access_key"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = rf"(?=\d)(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d.]*\d)"
-SECRET = rf"(?<=[=:\"'\s])(?=[A-Za-z0-9_+/\-]{{8}})(?<=[=:]\s{{0,2}}[\"']?)(?<=\b(?i:{SECRET_WORDS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?)[A-Za-z0-9_+/\-]{{8,}}"
+SECRET = rf"(?<=[=:\"'\s])(?=[A-Za-z0-9_+/\-]{{8}})(?=[_+/\-]*[A-Za-z0-9])(?<=[=:]\s{{0,2}}[\"']?)(?<=\b(?i:{SECRET_WORDS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?)[A-Za-z0-9_+/\-]{{8,}}"
 CARD = r"(?=[3-6])(?<![\w.+-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])"
 PHONE = r"(?=[+(0-9])(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
 NAME = rf"(?=[FHMSГ])\b(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
 ENTITY = f"{EMAIL}|{SECRET}|{IP}|{CARD}|{PHONE}|{NAME}"
 #: What every entity holds or follows; texts without it need no closer look.
 HINT = rf"[@0-9=:]|(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
-ROUNDS = 16
+#: What stands before a secret.
+BEFORE_SECRET = rf"\b(?i:{SECRET_WORDS})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?$"
+#: The turn from which numbers get an extension.
+EXTENDED = 4
+CONSONANTS, VOWELS = "bcdfghjklmnprstvwz", "aeiou"
+CYRILLIC_CONSONANTS, CYRILLIC_VOWELS = "бвгджзклмнпрстфхц", "аеиоу"
 
 
-def kind(mention: Column) -> Column:
-    """The type of a mention, by its form."""
+def kind(mention: Column, before: Column) -> Column:
+    """The type of a mention, by its form; numbers like those of cards without a valid check digit are secrets after a key word, and else nothing."""
+    digits = F.regexp_replace(mention, r"\D", "")
     return (
         F.when(mention.contains("@"), "email")
         .when(mention.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"), "ip")
         .when(mention.rlike(rf"^(?:{FEMALE})\b"), "female")
         .when(mention.rlike(rf"^(?:{MALE})\b"), "male")
-        .when(mention.rlike(r"^[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}$"), "card")
+        .when(mention.rlike(r"^[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}$"), F.when(_luhn(digits) % 10 == 0, "card").when(F.right(before, F.lit(60)).rlike(BEFORE_SECRET), "secret").otherwise("none"))
         .when(mention.rlike(r"^[+(]|^\d{3}[ .-]\d{3}[ .-]\d{4}$"), "phone")
         .otherwise("secret")
     )
 
 
-def canonical(mention: Column, what: Column) -> Column:
-    """What mentions of one entity have in common."""
+def parts(mention: Column, what: Column) -> Column:
+    """The entities of a mention, each with its type: what mentions of one entity have in common; names have one for each word."""
     digits = F.regexp_replace(mention, r"\D", "")
-    return (
+    whole = (
         F.when(what == "email", F.lower(mention))
         .when(what == "card", digits)
         .when(what == "phone", F.when(F.length(digits) > 10, F.substring(digits, -10, 10)).otherwise(digits))
-        .when(what.isin("female", "male"), F.lower(F.regexp_replace(mention, r"^\S+ ", "")))
         .otherwise(mention)
     )
+    words = F.split(F.lower(F.regexp_replace(mention, r"^\S+ ", "")), " ")
+    named = F.transform(words, lambda w, i: F.struct(F.when((i == 0) & (F.size(words) > 1), F.concat(F.lit("given "), what)).otherwise(F.lit("family")).alias("what"), w.alias("entity")))
+    return F.when(what == "none", F.array().cast("array<struct<what:string,entity:string>>")).when(what.isin("female", "male"), named).otherwise(F.array(F.struct(what.alias("what"), whole.alias("entity"))))
 
 
 def _pick(seed: Column, at: Column, n: int) -> Column:
@@ -92,56 +103,60 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, d: a + F.coalesce(d, F.lit(0)))
 
 
-def _name(seed: Column, text: Column, female: bool) -> Column:
-    """Words of syllables in the script of the name; a given name gets an ending of its gender."""
-    latin = F.array(*map(F.lit, "ba de fi go lu ma ne pi ro su ta ve wi zo ka le mi no ri sa".split()))
-    cyrillic = F.array(*map(F.lit, "ба де фи го лу ма не пи ро су та ве ви зо ка ле ми но ри са".split()))
-    first_is_given = F.size(F.split(text, " ")) > 1
+def _drawn(seed: Column, alphabet: str, n: int) -> Column:
+    """So many keyed characters."""
+    return F.concat_ws("", *(F.substring(F.lit(alphabet), _pick(seed, F.lit(1000 + k), len(alphabet)) + 1, F.lit(1)) for k in range(n)))
 
-    def word(w: Column, i: Column) -> Column:
-        # Keyed by the word, not the whole name: "Mrs Ann Roe" and "Mrs Roe" keep one family name.
-        own = F.concat(seed, F.when(first_is_given & (i == 0), F.lit("|given|")).otherwise(F.lit("|family|")), w)
-        in_cyrillic = w.rlike(r"\p{IsCyrillic}")
-        syllables = F.when(in_cyrillic, cyrillic).otherwise(latin)
-        made = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(4)), lambda k: F.element_at(syllables, _pick(own, k, 20) + 1)))
-        ending = F.when(in_cyrillic, "на" if female else "н").otherwise("na" if female else "n")
-        return F.when(first_is_given & (i == 0), F.concat(made, ending)).otherwise(made)
 
-    return F.concat_ws(" ", F.transform(F.split(text, " "), word))
+def _word(seed: Column, word: Column, what: Column, syllables: int) -> Column:
+    """A word of syllables in the script of the word of a name; a given name gets an ending of its gender."""
+    table = lambda consonants, vowels: F.array(*(F.lit(c + v) for c in consonants for v in vowels))
+    made = lambda consonants, vowels: F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(syllables)), lambda k: F.element_at(table(consonants, vowels), _pick(seed, k, len(consonants) * len(vowels)) + 1)))
+    ending = lambda n, a: F.when(what == "given female", n + a).when(what == "given male", n).otherwise("")
+    return F.when(word.rlike(r"\p{IsCyrillic}"), F.concat(made(CYRILLIC_CONSONANTS, CYRILLIC_VOWELS), ending("н", "а"))).otherwise(F.concat(made(CONSONANTS, VOWELS), ending("n", "a")))
 
 
-def secrets(what: Column, entity: Column, key: str, turn: int) -> tuple[Column, Column]:
-    """The keyed digest of an entity, and that of all names, from which those of their words are made."""
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(str(turn)), what, entity), 256), F.sha2(F.lit(f"{key}|{turn}|name"), 256)
+def secret_of(what: Column, entity: Column, key: str, turn: int) -> Column:
+    """The keyed digest of an entity."""
+    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(str(turn)), what, entity), 256)
 
 
-def surrogate(what: Column, entity: Column, secret: Column, names: Column) -> Column:
-    """The surrogate of an entity in its canonical form."""
+def surrogate(what: Column, entity: Column, secret: Column, turn: int = 0) -> Column:
+    """The surrogate of an entity in its canonical form; that of a later turn is longer."""
+    more, beyond = max(0, turn - 1), max(0, turn - EXTENDED + 1)
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
     tail = F.length(F.regexp_extract(entity, r"\.[a-z]{2,}$", 0))
     octets = F.concat_ws(".", F.transform(F.array(*map(F.lit, range(4))), lambda i: (_pick(secret, i, 254) + 1).cast("string")))
     body = F.concat(F.substring(entity, 1, 1), _letters(secret, F.substring(entity, F.lit(2), F.length(entity) - 2)))
-    shift = F.when(_luhn(entity) % 10 == 0, 0).otherwise(1 + _pick(secret, F.lit(99), 9))
-    check = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))) % 10 + shift, F.lit(10))
+    check = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10))
+    phone = F.concat_ws("", F.transform(F.split(_letters(secret, entity), ""), lambda c, i: F.when(i.isin(0, 3), (_pick(secret, i, 8) + 2).cast("string")).otherwise(c)))
+    own, port, extension = _letters(secret, entity), F.lit(""), F.lit("")
+    if more:
+        own = F.concat(own, F.when(entity.rlike("^[0-9]+$"), _drawn(secret, digits, more)).when(entity.rlike("^[0-9a-f]+$"), _drawn(secret, "abcdef" + digits, more)).otherwise(_drawn(secret, letters, more)))
+    if beyond:
+        port, extension = F.concat(F.lit(":"), (_pick(secret, F.lit(2000), 64512) + 1024).cast("string")), F.concat(F.lit("x"), _drawn(secret, digits, beyond))
     return (
-        F.when(what == "email", _letters(secret, entity, tail))
-        .when(what == "ip", octets)
-        .when(what == "card", F.concat(body, check.cast("int").cast("string")))
-        .when(what == "female", _name(names, entity, True))
-        .when(what == "male", _name(names, entity, False))
-        .when(what == "phone", F.concat_ws("", F.transform(F.split(_letters(secret, entity), ""), lambda c, i: F.when(i.isin(0, 3), (_pick(secret, i, 8) + 2).cast("string")).otherwise(c))))
-        .otherwise(_letters(secret, entity))
+        F.when(what == "email", F.concat(_drawn(secret, letters, more), _letters(secret, entity, tail)))
+        .when(what == "ip", F.concat(octets, port))
+        .when(what == "card", F.concat(body, check.cast("int").cast("string"), extension))
+        .when(what.isin("family", "given female", "given male"), _word(secret, entity, what, 4 + more))
+        .when(what == "phone", F.concat(phone, extension))
+        .otherwise(own)
     )
 
 
-def render(mention: Column, what: Column, made: Column) -> Column:
-    """The surrogate in the format of the mention."""
+def render(mention: Column, what: Column, words: Column) -> Column:
+    """The surrogates of the parts of a mention in its format."""
+    made = F.concat_ws(" ", words)
     width = F.length(F.regexp_replace(mention, r"\D", ""))
     # The n-th digit from the right of the mention becomes that of the surrogate; a country code stays.
+    number, extension = F.regexp_replace(made, "x.*$", ""), F.regexp_replace(F.regexp_extract(made, "x.*$", 0), "^x", " x")
     chars = F.split(mention, "")
-    filled = F.concat_ws("", F.transform(chars, lambda c, i: F.when(c.rlike(r"^\d$"), _digit(mention, made, width, c, i)).otherwise(c)))
+    filled = F.concat_ws("", F.transform(chars, lambda c, i: F.when(c.rlike(r"^\d$"), _digit(mention, number, width, c, i)).otherwise(c)))
     title, name = F.regexp_extract(mention, r"^\S+ ", 0), F.regexp_replace(mention, r"^\S+ ", "")
     return (
-        F.when(what.isin("card", "phone"), filled)
+        F.when(what == "none", mention)
+        .when(what.isin("card", "phone"), F.concat(filled, extension))
         .when(what.isin("female", "male"), F.concat(title, F.when(name == F.upper(name), F.upper(made)).otherwise(F.initcap(made))))
         .when((what == "email") & (mention == F.upper(mention)), F.upper(made))
         .otherwise(made)
@@ -155,9 +170,8 @@ def _digit(mention: Column, made: Column, width: Column, c: Column, i: Column) -
 
 
 def _made(entities: DataFrame, key: str, turn: int) -> DataFrame:
-    secret, names = secrets(F.col("what"), F.col("entity"), key, turn)
-    keyed = entities.select("what", "entity", secret.alias("secret"), names.alias("names"))
-    return materialise(keyed.select("what", "entity", surrogate(F.col("what"), F.col("entity"), F.col("secret"), F.col("names")).alias("made")), "entities")
+    keyed = entities.select("what", "entity", secret_of(F.col("what"), F.col("entity"), key, turn).alias("secret"))
+    return materialise(keyed.select("what", "entity", surrogate(F.col("what"), F.col("entity"), F.col("secret"), turn).alias("made")), "entities")
 
 
 def _exceptions(entities: DataFrame, key: str) -> DataFrame | None:
@@ -177,8 +191,6 @@ def _exceptions(entities: DataFrame, key: str) -> DataFrame | None:
     taken = known.select("what", "made")
     while not open_.isEmpty():
         turn += 1
-        if turn > ROUNDS:
-            raise ValueError("entities of some format are more than its surrogates")
         tried = _made(open_, key, turn)
         bad = clashing(tried).unionByName(mixed(tried, taken).select("what", "entity")).distinct()
         bad = materialise(bad, "clashing")
@@ -193,16 +205,23 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
 
     All other columns stay; the last one is ``n_replaced`` (with underscores where there is one already).
     NULL texts stay NULL with 0 mentions, empty texts stay empty; repeated rows
-    are treated alike. docs must give the same rows in the same order on each read, as stored tables do.
+    are treated alike; texts of any length are read whole, in one row. An empty table gives no rows.
+    docs must give the same rows in the same order on each read, as stored tables do.
     """
-    row, found, made, name = fresh(docs, "row_number_of_text", "mentions", "exceptions_of_text", "n_replaced")
+    row, found, made, pieces, name = fresh(docs, "row_number_of_text", "mentions", "exceptions_of_text", "pieces_of_text", "n_replaced")
     text = F.col("text").cast("string")
-    marked = docs.select("*", F.monotonically_increasing_id().alias(row), F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>")).alias(found))
+    hinted = text.rlike(HINT)
+    marked = docs.select(
+        "*", F.monotonically_increasing_id().alias(row), F.when(hinted, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>")).alias(found),
+        F.when(hinted, F.split(text, ENTITY, -1)).alias(pieces),
+    )
     # Each step names what the next ones need, so that no expression is written out twice.
-    typed = F.transform(F.col(found), lambda m: F.struct(m.alias("mention"), kind(m).alias("what")))
-    named = F.transform(typed, lambda m: F.struct(m.mention.alias("mention"), m.what.alias("what"), canonical(m.mention, m.what).alias("entity")))
-    marked = marked.withColumn(found, named)
-    mentions = marked.select(row, F.posexplode(found).alias("at", "m")).select(row, "at", "m.what", "m.entity")
+    typed = F.transform(F.col(found), lambda m, i: F.struct(m.alias("mention"), kind(m, F.get(pieces, i)).alias("what")))
+    split = F.transform(typed, lambda m: F.struct(m.mention.alias("mention"), m.what.alias("what"), parts(m.mention, m.what).alias("parts")))
+    # The place of a part in its text: at most two to a mention.
+    placed = F.transform(split, lambda m, i: F.struct(m.mention.alias("mention"), m.what.alias("what"), F.transform(m.parts, lambda p, k: F.struct(p.what.alias("what"), p.entity.alias("entity"), (2 * i + k).cast("int").alias("at"))).alias("parts")))
+    marked = marked.withColumn(found, placed)
+    mentions = marked.select(row, F.explode(F.flatten(F.transform(found, lambda m: m.parts))).alias("p")).select(row, "p.*")
     exceptions = _exceptions(mentions.select("what", "entity").distinct(), key)
     if exceptions is None:
         marked = marked.withColumn(made, F.lit(None).cast("map<int,string>"))
@@ -210,17 +229,15 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
         hit = mentions.join(exceptions, ["what", "entity"]).groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("at", "made"))).alias(made))
         marked = marked.join(hit, row, "left")
 
-    def keyed(m: Column, at: Column) -> Column:
-        secret, names = secrets(m.what, m.entity, key, 0)
-        other = F.try_element_at(F.col(made), at)
-        return F.struct(m.mention.alias("mention"), m.what.alias("what"), m.entity.alias("entity"), secret.alias("secret"), names.alias("names"), other.alias("other"))
+    def keyed(p: Column) -> Column:
+        return F.struct(p.what.alias("what"), p.entity.alias("entity"), secret_of(p.what, p.entity, key, 0).alias("secret"), F.try_element_at(F.col(made), p["at"]).alias("other"))
 
     def change(m: Column) -> Column:
-        own = F.coalesce(m.other, surrogate(m.what, m.entity, m.secret, m.names))
-        return F.struct(m.mention.alias("mention"), m.what.alias("what"), own.alias("made"))
+        words = F.transform(F.transform(m.parts, keyed), lambda p: F.coalesce(p.other, surrogate(p.what, p.entity, p.secret)))
+        return F.struct(m.mention.alias("mention"), m.what.alias("what"), words.alias("words"))
 
-    changed = F.transform(F.transform(F.transform(F.col(found), keyed), change), lambda m: render(m.mention, m.what, m.made))
-    pieces = F.split(text, ENTITY, -1)
-    joined = F.concat_ws("", F.flatten(F.zip_with(pieces, changed, lambda p, c: F.array(p, F.coalesce(c, F.lit(""))))))
+    changed = F.transform(F.transform(F.col(found), change), lambda m: render(m.mention, m.what, m.words))
+    joined = F.concat_ws("", F.flatten(F.zip_with(F.col(pieces), changed, lambda p, c: F.array(p, F.coalesce(c, F.lit(""))))))
+    replaced = F.size(F.filter(found, lambda m: m.what != "none"))
     new = F.when(F.size(found) > 0, joined).otherwise(text)
-    return marked.select(*[new.alias("text") if c == "text" else F.col(c) for c in docs.columns], F.size(found).cast("long").alias(name))
+    return marked.select(*[new.alias("text") if c == "text" else F.col(c) for c in docs.columns], replaced.cast("long").alias(name))
