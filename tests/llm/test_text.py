@@ -330,6 +330,30 @@ def test_html_slots_hold_repeated_and_optional_parts(spark):
     assert texts_of(spark, [f"<h1>Head {k}</h1><p>Bare {k}" for k in range(5)]) == {k: f"Head {k}\nBare {k}" for k in range(5)}
 
 
+def test_html_keeps_lists_of_links_and_texts_that_do_not_differ(spark):
+    frame = "<html><body><div id=top><a href=/>home</a></div>{}<div id=copyright>same line</div></body></html>"
+    refs = [frame.format(f"<article><p>Text {k}</p><section class=refs><a href=/1>one</a> <a href=/2>two</a></section></article>") for k in range(5)]
+    assert texts_of(spark, refs) == {k: f"Text {k}\none two" for k in range(5)}
+    same = "one article under many dates " * 9
+    dated = [frame.format(f"<div class=date>{k} May</div><div class=text><p>{same}</p></div>") for k in range(5)]
+    assert texts_of(spark, dated) == {k: f"{k} May\n{same.strip()}" for k in range(5)}
+    lead = [frame.format(f"<div id=x><div class=lead>Our daily news</div><p>All about page {k}</p></div>") for k in range(5)]
+    assert texts_of(spark, lead) == {k: f"Our daily news\nAll about page {k}" for k in range(5)}
+    marked = [frame.format(f"<div id=x><span class=ad>x{k}</span>Text {k}</div><div id=y>More {k}</div><div class=replies>me too {k}</div><div class=gdpr>{k}</div>") for k in range(5)]
+    assert texts_of(spark, marked) == {k: f"Text {k}\nMore {k}" for k in range(5)}
+
+
+def test_html_deep_and_long_pages(spark):
+    deep = "<div>" * 100_000 + "<p>deep</p>" + "<div class=comments>x</div>end"
+    assert html.main_text(deep, None) == "deep\nend"
+    pages = [f"<div id=top>same</div>{deep} {k}" for k in range(3)] + ["<p>" + f"word {LONG} " * 200]
+    out = texts_of(spark, pages)
+    assert [out[k] for k in range(3)] == [f"deep\nend {k}" for k in range(3)] and out[3] == " ".join(f"word {LONG} ".split() * 200)
+    rows = spark.createDataFrame([(k, "http://h/", f"<p>a {k // 2}", "x") for k in range(6)], "page_id long, url string, html string, main_text string")
+    repeated = html.extract(rows.unionByName(rows))
+    assert repeated.columns[-1] == "main_text_" and sorted(r.main_text_ for r in repeated.collect()) == sorted(f"a {k // 2}" for k in range(6) for _ in "ab")
+
+
 @pytest.mark.parametrize("body, text", [
     ("<body class='has-sidebar'><p>a", "a"), ("<body class=no-sidebar><p>a", "a"), ("<body class='search-results'><p>a", "a"), ("<body class=search><p>a", "a"),
     ("<body><article class='post comments-open'><p>a</article>", "a"), ("<main class=widget><p>a</main>", "a"),

@@ -7,13 +7,16 @@ ever put together). A class belongs to the template if its tokens occur once on
 pages, and if each lies within other tokens of the template only: the classes
 nest. What stands between template tokens are slots: text is in the slot of the nearest token around it, also
 where sections are repeated or on few pages. Slots with text that differs between pages, is mostly
-not links and is in no menu, header, footer or the like are kept, and so are all such texts of article and main.
+not links and is in no menu, header, footer or the like are kept. So are all texts of article and main, also lists of links; texts that
+are the same on all pages within the slot that holds most of what differs (a lead line); and long texts that are the same
+on all pages where next to nothing differs (one article under many dates).
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,7 +33,7 @@ DROPPED = set("head title script style noscript template svg iframe object nav a
 DROPPED_WORDS = set(
     "ad ads advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu header footer sidebar "
     "notice cookie consent popup modal newsletter subscribe subscription comment comments respond disqus share sharing social related "
-    "breadcrumb breadcrumbs widget login search".split()
+    "breadcrumb breadcrumbs widget login search replies reply cookies gdpr ccpa advertising masthead pagination pager subnav signup optin overlay lightbox toolbar".split()
 )
 # What may stand beside those words in a name made of several, such as site-header or share-buttons.
 BESIDE = set("site page main top bottom left right side primary secondary global mobile sub dropdown bar box area list block container wrapper wrap inner section slot unit links item items buttons form posts articles".split())
@@ -52,6 +55,10 @@ _NAMES = re.compile(r"[.\s]+")
 _PARTS = re.compile(r"[^a-z]+")
 SUPPORT = 0.5
 FEW_PAGES = 3
+#: Containers below this depth count as part of the one at this depth when the template is sought; their text is kept or dropped like any other.
+DEPTH = 64
+#: A text that is the same on all pages is an article from this length on, if it is so many times as long as what differs.
+SAME_CHARS, SAME_TIMES = 100, 3
 
 
 def host(url):
@@ -85,17 +92,31 @@ def _is_dropped(tag: str, marks: str, within_article: bool) -> bool:
 
 def events(page: str) -> Iterator[tuple[str, tuple, bool, bool]]:
     """The text pieces of a page: text or a block end (None), path of containers, whether dropped, whether in a link."""
-    stack: list[tuple[str, str, bool]] = []
-    at, links = 0, 0
+    stack: list[tuple[str, bool]] = []
+    open_: Counter[str] = Counter()
+    at, links, n_dropped = 0, 0, 0
     path: tuple = ()
-    dropped = False
 
-    def state():
-        return tuple(s[1] for s in stack), any(s[2] for s in stack)
+    def push(tag: str, marks: str, drop: bool) -> None:
+        nonlocal path, n_dropped
+        if len(stack) < DEPTH:
+            path += (f"{tag}.{marks}" if marks else tag,)
+        stack.append((tag, drop))
+        open_[tag] += 1
+        n_dropped += drop
+
+    def pop() -> str:
+        nonlocal path, n_dropped
+        tag, drop = stack.pop()
+        if len(stack) < DEPTH:
+            path = path[:-1]
+        open_[tag] -= 1
+        n_dropped -= drop
+        return tag
 
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            yield page[at : m.start()], path, dropped, links > 0
+            yield page[at : m.start()], path, n_dropped > 0, links > 0
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
@@ -103,35 +124,27 @@ def events(page: str) -> Iterator[tuple[str, tuple, bool, bool]]:
         if tag == "a":
             links = 0 if m["end"] else 1
         if tag in BLOCKS:
-            yield None, path, dropped, False
+            yield None, path, n_dropped > 0, False
         elif tag == "br":
-            yield " ", path, dropped, False
+            yield " ", path, n_dropped > 0, False
         # p, li and span are held only where they are dropped, and those of one kind within, to find the end.
         if tag in BLOCKS and not (m["end"] and tag in CONTAINERS):
-            ended = len(stack)
             while stack and (stack[-1][0] == "span" and tag not in CONTAINERS or stack[-1][0] == "p" or (stack[-1][0] == tag == "li" and not m["end"])):
-                stack.pop()
-            if len(stack) < ended:
-                path, dropped = state()
-        if tag in MARKED and not m["end"]:
-            marks = _marks(m["attrs"])
-            if (m["attrs"] or "").endswith("/"):
-                continue
-            if any(s[0] == tag for s in stack) or _is_dropped(tag, marks, any(s[0] in ("article", "main") for s in stack)):
-                stack.append((tag, f"{tag}.{marks}" if marks else tag, True))
-                path, dropped = state()
-        elif tag in CONTAINERS or tag in MARKED:
-            if not m["end"]:
-                if not (m["attrs"] or "").endswith("/"):
-                    marks = _marks(m["attrs"])
-                    inside = any(s[0] in ("article", "main") for s in stack)
-                    stack.append((tag, f"{tag}.{marks}" if marks else tag, _is_dropped(tag, marks, inside)))
-            elif any(s[0] == tag for s in stack):
-                while stack.pop()[0] != tag:
+                pop()
+        if tag not in CONTAINERS and tag not in MARKED:
+            continue
+        if m["end"]:
+            if open_[tag]:
+                while pop() != tag:
                     pass
-            path, dropped = state()
+        elif not (m["attrs"] or "").endswith("/"):
+            marks = _marks(m["attrs"])
+            drop = _is_dropped(tag, marks, open_["article"] + open_["main"] > 0)
+            # Within a dropped one of its kind it is dropped anyway.
+            if tag not in MARKED or drop or open_[tag]:
+                push(tag, marks, drop or tag in MARKED)
     if at < len(page):
-        yield page[at:], path, dropped, links > 0
+        yield page[at:], path, n_dropped > 0, links > 0
 
 
 def _clean(text: str) -> str:
@@ -139,34 +152,34 @@ def _clean(text: str) -> str:
 
 
 def _tokens(pages: DataFrame) -> DataFrame:
-    """For each page and path: how often it opens, its own text characters, those in links, and a hash of the text."""
-    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("page", pa.int64()), ("n", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64()), ("digest", pa.int64()), ("dropped", pa.bool_())])
+    """For each page and path: how often it opens, the characters of its own text that is not dropped, those in links, and a hash of that text."""
+    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("page", pa.int64()), ("n", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64()), ("digest", pa.int64())])
 
     def count(batches):
         for b in batches:
             out = []
             for key, name, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                seen: dict[tuple, list] = {(): [1, 0, 0, [], False]}
+                seen: dict[tuple, list] = {(): [1, 0, 0, []]}
                 opened = ()
                 for text, path, dropped, linked in events(page.as_py() or ""):
                     if path != opened:
                         common = next((k for k, (x, y) in enumerate(zip(path, opened, strict=False)) if x != y), min(len(path), len(opened)))
                         for k in range(common, len(path)):
-                            seen.setdefault(path[: k + 1], [0, 0, 0, [], dropped])[0] += 1
+                            seen.setdefault(path[: k + 1], [0, 0, 0, []])[0] += 1
                         opened = path
-                    found = _clean(text) if text else ""
+                    found = _clean(text) if text and not dropped else ""
                     if found:
                         entry = seen[path]
                         entry[1] += len(found)
                         entry[2] += len(found) if linked else 0
                         entry[3].append(found)
-                for path, (n, chars, linked, texts, dropped) in seen.items():
+                for path, (n, chars, linked, texts) in seen.items():
                     digest = xxhash.xxh3_64_intdigest("\n".join(texts)) >> 1
-                    out.append((name, "/".join(path), key, n, chars, linked, digest, dropped))
+                    out.append((name, "/".join(path), key, n, chars, linked, digest))
             columns = zip(*out, strict=True) if out else [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return pages.mapInArrow(count, "host string, path string, page long, n long, chars long, linked long, digest long, dropped boolean")
+    return pages.mapInArrow(count, "host string, path string, page long, n long, chars long, linked long, digest long")
 
 
 def slots(pages: DataFrame) -> DataFrame:
@@ -179,7 +192,7 @@ def slots(pages: DataFrame) -> DataFrame:
     tokens = _tokens(pages.select("page", "host", "html"))
     per = tokens.groupBy("host", "path").agg(
         F.sum(F.expr("n * shiftright(xxhash64(page), 33)")).alias("vector"), F.count(F.lit(1)).alias("on"), F.count_if(F.col("n") == 1).alias("single"),
-        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), (F.min("digest") != F.max("digest")).alias("differs"), F.bool_or("dropped").alias("dropped"),
+        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), (F.min("digest") != F.max("digest")).alias("differs"),
     )
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= FEW_PAGES)
     per = materialise(per.join(sizes, "host"), "page-tokens")
@@ -195,11 +208,20 @@ def slots(pages: DataFrame) -> DataFrame:
     template = materialise(template.select("host", F.array_union(nested, F.array(F.lit(""))).alias("template")), "template")
     # All text belongs to the nearest token of the template around it, also where what holds it is repeated or on few pages only.
     holder = F.array_max(F.transform(F.filter("template", lambda t: within(F.col("path"), t)), lambda t: F.struct(F.length(t).alias("size"), t.alias("path"))))["path"]
-    fit = per.filter("NOT dropped AND chars > 0 AND 2 * linked <= chars")
+    in_article = lambda p: p.rlike(r"(^|/)(article|main)(\.|/|$)")
+    fit = per.filter((F.col("chars") > 0) & ((2 * F.col("linked") <= F.col("chars")) | in_article(F.col("path"))))
     # Written, so that the join of a large host can be split; text of one page only differs from the other pages.
-    held = materialise(fit.join(template, "host").select("host", holder.alias("slot"), (F.col("differs") | (F.col("on") == 1)).alias("differs")), "slot-texts")
-    by_slot = held.groupBy("host", "slot").agg(F.bool_or("differs").alias("differs"))
-    good = by_slot.filter(F.col("differs") | F.col("slot").rlike(r"(^|/)(article|main)(\.|/|$)")).groupBy("host").agg(F.collect_list("slot").alias("slots"))
+    held = materialise(fit.join(template, "host").select("host", holder.alias("slot"), "chars", "on", (F.col("differs") | (F.col("on") == 1)).alias("differs")), "slot-texts")
+    by_slot = held.groupBy("host", "slot").agg((F.bool_or("differs") | in_article(F.col("slot"))).alias("sure"), F.sum("chars").alias("chars"), F.max("on").alias("on"))
+    # At most as many slots as the template has tokens.
+    by_host = by_slot.groupBy("host").agg(F.collect_list(F.struct("slot", "sure", "chars", "on")).alias("all"), F.sum(F.when(F.col("sure"), F.col("chars"))).alias("sure_chars"))
+    most = F.filter("all", lambda s: s.sure & (2 * s.chars >= F.col("sure_chars")) & ~s.slot.rlike(r"^(html[^/]*/?)?(body[^/]*)?$"))
+
+    def is_text(s):
+        long = (s.chars >= SAME_TIMES * F.col("sure_chars")) & (s.chars >= SAME_CHARS * s.on)
+        return s.sure | long | F.exists(most, lambda m: within(s.slot, m.slot))
+
+    good = by_host.filter("sure_chars IS NOT NULL").select("host", F.transform(F.filter("all", is_text), lambda s: s.slot).alias("slots"))
     return good.join(template, "host").select("host", "slots", "template")
 
 
@@ -239,7 +261,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """pages with one more column, the main text of the whole html.
 
     pages needs url and html; the new column is the last one, ``main_text`` (with underscores where there is one already).
-    NULL and empty pages have an empty text. Pages without a url are pages of one host without a name. Character references are decoded,
+    NULL and empty pages have an empty text; pages of any length and depth are read whole, in one row. Pages without a url are pages of one host without a name. Character references are decoded,
     white space in a block becomes one blank, blocks are joined by line breaks. Rows are treated one by one; repeated ones count as
     pages of their own in the template. An empty table gives no rows.
     """
