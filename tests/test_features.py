@@ -74,6 +74,13 @@ def test_several_wide_columns_equal_the_broadcast_in_two_scans(wide):
     assert 1 <= plan.count("Relation [id") <= 2
 
 
+def test_rows_with_rare_levels_move_once_for_each_wide_column(wide):
+    for columns in (["a"], ["a", "b", "c"]):
+        index = feat.fit_index(wide, columns)
+        plan = feat.apply_index(wide, index, broadcast_levels=15).select("id")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan  # no row is put together again from parts
+
+
 def test_no_rows_and_no_levels(spark, wide):
     index = feat.fit_index(wide.filter("id < 0"), ["a", "b"])
     assert feat.apply_index(wide, index).isEmpty()

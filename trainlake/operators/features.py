@@ -209,17 +209,25 @@ def apply_index(
     or get an index of their own, the number of known ones ("keep").
 
     Columns whose levels fit a broadcast are looked up where the rows are. Of the others, the
-    most frequent levels are, too; rows with a rarer level in any of them are shuffled, once for all columns.
+    most frequent levels are, too; rows with a rarer level in any of them are shuffled, once for each of these columns.
     """
     if on_unknown not in ("skip", "keep"):
         raise ValueError(f"on_unknown is 'skip' or 'keep', not {on_unknown!r}")
     columns = list(columns or index.sizes)
     outs = {c: c + suffix for c in columns}
+    found = look_up(df, index, outs, broadcast_levels)
+    if on_unknown == "skip":
+        return found.dropna(subset=list(outs.values()))
+    return found.withColumns({out: F.coalesce(out, F.lit(index.n_values(c)).cast("bigint")) for c, out in outs.items()})
+
+
+def look_up(df: DataFrame, index: LevelIndex, outs: Mapping[str, str], broadcast_levels: int = BROADCAST_LEVELS) -> DataFrame:
+    """Add what the index table has for the level in each column, under the name in outs; NULL for an unknown or NULL level."""
     # What is broadcast is bounded in rows and, by the longest level, in bytes, for all columns together.
-    limits = {c: min(broadcast_levels, BROADCAST_BYTES // (max(index.widths[c], 1) * len(columns))) for c in columns}
-    wide = [c for c in columns if index.sizes[c] > limits[c]]
+    limits = {c: min(broadcast_levels, BROADCAST_BYTES // (max(index.widths[c], 1) * len(outs))) for c in outs}
+    wide = [c for c in outs if index.sizes[c] > limits[c]]
     found = df
-    for c in columns:
+    for c in outs:
         levels = index.of(c)
         # Ranks go by frequency: the first ones are the hot levels.
         head = levels.filter(F.col(index.rank) < limits[c]) if c in wide else levels
@@ -227,43 +235,28 @@ def apply_index(
         found = found.join(F.broadcast(head), F.col(c) == F.col("_level"), "left").drop("_level")
     if wide:
         found = _rare_levels(found, index, wide, outs, limits)
-    found = found.select(*df.columns, *outs.values())
-    if on_unknown == "skip":
-        return found.dropna(subset=list(outs.values()))
-    return found.withColumns({out: F.coalesce(out, F.lit(index.n_values(c)).cast("bigint")) for c, out in outs.items()})
+    return found.select(*df.columns, *outs.values())
 
 
 def _rare_levels(df: DataFrame, index: LevelIndex, wide: Sequence[str], outs: Mapping[str, str], limits: Mapping[str, int]) -> DataFrame:
-    """Fill in the indexes of rare levels of all wide columns with one shuffle by level.
+    """Fill in the indexes of rare levels, with one join by level for each wide column.
 
-    Rows without a rare level stay where they are. A row with some becomes an entry for each of them, and one
-    for the row itself under a level of its own, so that rows spread; after the look-up the entries of a row meet again.
+    Rows without a rare level stay where they are. The others move once for each wide column, with nothing but the columns that
+    are asked for later; where a row's level in the column is not a rare one, it moves by what it has in the other wide columns.
     """
     rare = {c: F.col(outs[c]).isNull() & F.col(c).isNotNull() for c in wide}
     some = reduce(Column.__or__, rare.values())
-    row, at, level = "_row", "_column", "_level"
-    entries = F.array(
-        F.struct(F.lit(-1).alias(at), F.col(row).cast("string").alias(level), F.struct(*df.columns).alias("_values")),
-        *(
-            F.when(rare[c], F.struct(F.lit(k).alias(at), F.col(c).alias(level), F.lit(None).cast(df.select(F.struct(*df.columns)).schema[0].dataType).alias("_values")))
-            for k, c in enumerate(wide)
-        ),
-    )
-    numbered = df.filter(some).withColumn(row, F.monotonically_increasing_id())
-    spread = numbered.select(row, F.inline(F.filter(entries, lambda e: e.isNotNull())))
-    number = F.create_map(*(x for k, c in enumerate(wide) for x in (F.lit(c), F.lit(k))))
-    least = F.create_map(*(x for c in wide for x in (F.lit(c), F.lit(limits[c]).cast("bigint"))))
-    tails = index.table.filter(F.col("column").isin(*wide) & (F.col(index.rank) >= least[F.col("column")])).select(
-        number[F.col("column")].alias("_of"), F.col("level").alias("_name"), F.col("idx").alias("_idx")
-    )
-    looked_up = spread.join(tails, (F.col(at) == F.col("_of")) & (F.col(level) == F.col("_name")), "left")
-    whole = looked_up.groupBy(row).agg(
-        F.first("_values", ignorenulls=True).alias("_values"),
-        *(F.max(F.when(F.col(at) == k, F.col("_idx"))).alias(f"_idx_{k}") for k in range(len(wide))),
-    )
-    filled = {outs[c]: F.coalesce(F.col("_values")[outs[c]], F.col(f"_idx_{k}")) for k, c in enumerate(wide)}
-    back = whole.select(*(filled.get(c, F.col("_values")[c]).alias(c) for c in df.columns))
-    return df.filter(~some).unionByName(back)
+    key, level = "_key", "_level"
+    found = df.filter(some)
+    for k, c in enumerate(wide):
+        name, known = F.col(c), F.col("level")
+        if len(wide) > 1:  # what stands for another level than a rare one must be like none
+            others = F.xxhash64(*(outs[o] for o in wide[:k]), *wide[k + 1 :])
+            name, known = F.when(rare[c], F.concat(F.lit("="), name)).otherwise(others.cast("string")), F.concat(F.lit("="), known)
+        tail = index.of(c).filter(F.col(index.rank) >= limits[c]).select(known.alias(level), F.col("idx").alias("_idx"))
+        found = found.withColumn(key, name).join(tail, F.col(key) == F.col(level), "left")
+        found = found.withColumn(outs[c], F.coalesce(outs[c], "_idx")).drop(key, level, "_idx")
+    return df.filter(~some).unionByName(found)
 
 
 # --- one-hot and assembled features -----------------------------------------
