@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trainlake.operators.features import Roles, fit_groups, fit_index
 from trainlake.operators.wide import IndexLookup
-from trainlake.session import ensure_checkpoint_dir
+from trainlake.session import ensure_checkpoint_dir, materialise, spread_rows
 
 SEED = 42
 MAX_BINS = 40
@@ -56,6 +56,10 @@ def boosted_classifier(label: str, **params) -> GBTClassifier:
     return GBTClassifier(labelCol=label, **{**settings, **params})
 
 
+#: Their fits keep all rows as objects in memory or on local disk.
+HELD_IN_MEMORY = (DecisionTreeRegressor, RandomForestRegressor, GBTRegressor, GBTClassifier)
+
+
 # --- features ----------------------------------------------------------------
 
 
@@ -180,6 +184,11 @@ def fit_on_features(train: DataFrame, features: Fitted, estimator: Estimator) ->
         ensure_checkpoint_dir(train.sparkSession)  # boosting cuts its lineage every few rounds
     label = estimator.getLabelCol()
     rows = features.model.transform(train).select("features", label)
+    if any(isinstance(stage, IndexLookup) for stage in features.model.stages):
+        rows = materialise(rows, "feature-rows")  # looked up once, not for each pass of the fit
+        rows = spread_rows(rows, rows.count())
+    elif isinstance(estimator, HELD_IN_MEMORY):
+        rows = spread_rows(rows, train.count())
     model = enough_bins(estimator, features.model).fit(rows)
     stages = [*features.model.stages, model]
     return Fitted(PipelineModel(stages), features.roles, features.inputs)

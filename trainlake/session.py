@@ -127,3 +127,18 @@ def spread_scan(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, F.monotonically_increasing_id())
+
+
+#: Rows in a partition that a fit keeps in memory, at about 200 bytes each.
+ROWS_IN_MEMORY = 500_000
+
+
+def spread_rows(df: DataFrame, rows: int, most: int = ROWS_IN_MEMORY) -> DataFrame:
+    """The rows, of which there are so many, in partitions of at most about `most` each.
+
+    A scan cuts its files by bytes, and a few bytes of columns and repeated values may be very many rows, which are large once a
+    fit holds them. To be used on scans, as spread_scan(); what is small enough comes back as it is.
+    """
+    if rows <= most * df.rdd.getNumPartitions():
+        return df
+    return df.repartition(-(-rows // most), F.monotonically_increasing_id())
