@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
@@ -150,3 +151,24 @@ def test_sweep_ranks_linear_first_on_a_linear_label(rows):
     assert result.best_id == board[0].model_id and board[0].algo in ("linear", "glm")
     by_r2 = automl.leaderboard(result.leaderboard, "r2").first()["model_id"]
     assert by_r2 == result.best_id
+
+
+@pytest.mark.parametrize("mode", ["skip", "keep"])
+@pytest.mark.parametrize("others", [Roles(("a",), ()), Roles(("a", "b"), ("x", "z"))])
+def test_a_wide_linear_model_has_no_slot_for_each_level(spark, tmp_path, monkeypatch, others, mode):
+    a = F.when(F.col("id") % 50 != 7, (F.xxhash64("id") % 300).cast("string"))
+    b, x, z = F.when(F.col("id") % 3 == 0, "u").otherwise("v"), (F.col("id") * F.col("id") % 17).cast("double"), (F.col("id") % 11).cast("double")
+    rows = spark.range(2000).select("id", a.alias("a"), b.alias("b"), x.alias("x"), z.alias("z"))
+    rows = rows.withColumn("y", F.coalesce(F.col("a").cast("double"), F.lit(5.0)) / 10 + 3 * F.col("x") - 2 * F.col("z") + (F.xxhash64("id", "x") % 100) / 100)
+    linear = models.linear("y", tol=1e-13, maxIter=1000)
+    fitted = fit_pipeline(rows, others, linear, one_hot=True, wide_levels=100, on_unknown=mode)
+    scored = fitted.model.transform(rows)
+    assert len(scored.schema["features"].metadata["ml_attr"].get("attrs", {}).get("binary", [])) <= 2
+    fitted.model.write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model")).transform(rows)
+    assert again.select("id", "prediction").exceptAll(scored.select("id", "prediction")).isEmpty()
+    monkeypatch.setattr(models, "FEW_SLOTS", -1)  # all slots in one vector
+    whole = fit_pipeline(rows, others, linear, one_hot=True, wide_levels=100, on_unknown=mode).model.transform(rows)
+    both = scored.select("id", "prediction").join(whole.select("id", F.col("prediction").alias("p")), "id", "full")
+    found = both.agg(F.count("prediction"), F.count("p"), F.max(F.abs(F.col("p") - F.col("prediction")))).first()
+    assert found[0] == found[1] == (2000 if mode == "keep" else 1960) and found[2] < 1e-4

@@ -18,13 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainlake.operators.features import Roles, fit_groups, fit_index
-from trainlake.operators.wide import IndexLookup
+from trainlake.operators.wide import IndexLookup, fit_wide_linear
 from trainlake.session import ensure_checkpoint_dir, materialise, spread_rows
 
 SEED = 42
 MAX_BINS = 40
 #: Columns with more levels are looked up in an index table; others are indexed by Spark ML, which holds levels on the driver.
 WIDE_LEVELS = 10_000
+#: A linear model of one wide column is solved apart from its levels if its other features have no more slots.
+FEW_SLOTS = 100
 
 
 # --- estimators --------------------------------------------------------------
@@ -173,11 +175,42 @@ def enough_bins(estimator: Estimator, features: PipelineModel) -> Estimator:
 def fit_pipeline(
     train: DataFrame, roles: Roles, estimator: Estimator, one_hot: bool = False, **options
 ) -> Fitted:
-    """Fit features and estimator on the training rows."""
+    """Fit features and estimator on the training rows.
+
+    Plain least squares over one wide column and a few other slots has a solution that holds a level's slot nowhere but in
+    a table; all other estimators get the features as fit_features() makes them.
+    """
+    if one_hot and plain_least_squares(estimator):
+        levels = preflight(train, roles, options.get("on_null", "error"))
+        limit = options.get("wide_levels")
+        wide = [c for c in roles.categorical if levels[c] > (WIDE_LEVELS if limit is None else limit)]
+        narrow = [c for c in roles.categorical if c not in wide]
+        if len(wide) == 1 and sum(levels[c] for c in narrow) + len(roles.numeric) <= FEW_SLOTS:
+            return _fit_apart(train, roles, narrow, wide[0], estimator, options.get("on_unknown", "skip"), options.get("on_null", "error"))
     features = fit_features(train, roles, one_hot, **{**needed_by(estimator), **options})
     return fit_on_features(train, features, estimator)
 
 
+def plain_least_squares(estimator: Estimator) -> bool:
+    """Whether it is a linear model without penalties, weights or another loss."""
+    return (
+        isinstance(estimator, LinearRegression) and not estimator.getRegParam()
+        and estimator.getLoss() == "squaredError" and not estimator.isSet("weightCol")
+    )
+
+
+def _fit_apart(
+    train: DataFrame, roles: Roles, narrow: list[str], wide: str, estimator: LinearRegression, on_unknown: str, on_null: str
+) -> Fitted:
+    """Features of all columns but the wide one, and a model with an effect for each of its levels."""
+    others = Roles(tuple(narrow), roles.numeric, roles.excluded)
+    stages, inputs = feature_stages(others, True, on_unknown, on_null)
+    features = Pipeline(stages=stages).fit(train)
+    rows = features.transform(train).select(wide, "features", estimator.getLabelCol())
+    model = fit_wide_linear(rows, wide, estimator, on_unknown)
+    return Fitted(PipelineModel([*features.stages, model]), roles, tuple(inputs))
+
+
 def fit_on_features(train: DataFrame, features: Fitted, estimator: Estimator) -> Fitted:
     """Fit an estimator behind fitted feature stages."""
     if isinstance(estimator, (GBTRegressor, GBTClassifier)):
