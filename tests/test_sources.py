@@ -7,7 +7,7 @@ from trainlake import session
 from trainlake.operators.clean import clean_listing
 from trainlake.sources.documents import collection_name, read_documents, text_field
 from trainlake.sources.csv_ranges import read_listing_ranges
-from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, read_listing, stage_listing, write_listing_csv
+from trainlake.sources.listing import HOUSING, SHORT_STAY, ListingSpec, few_files, read_listing, stage_listing, write_listing_csv
 from trainlake.sources.tables import ingest_if_absent, write_table
 
 
@@ -25,6 +25,17 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     assert rows["plain"].n is None and rows['a "b",\nc'].price == "$1,200.50"
 
 
+def test_no_task_writes_more_than_a_file_of_some_bytes(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 3).select("id", F.repeat(F.lit("a\n"), 50).alias("text"))
+    assert few_files(df, F.octet_length("text")).rdd.getNumPartitions() == 1
+    for file_bytes, files in ((50_000, 2), (10_000, 10)):
+        several = few_files(df, F.octet_length("text"), file_bytes)
+        assert several.rdd.getNumPartitions() == files and several.exceptAll(df).isEmpty() and several.count() == 1000
+    write_listing_csv(several, str(tmp_path / "several"))
+    assert read_listing_ranges(spark, str(tmp_path / "several"), df.schema).exceptAll(df).isEmpty()
+    assert few_files(df.filter("id < 0"), F.octet_length("text")).isEmpty()
+
+
 def test_staging_keeps_rows(spark, tmp_path):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     assert stage_listing(df, str(tmp_path / "s"), partitions=3).exceptAll(df).count() == 0

@@ -14,7 +14,7 @@ from trainlake.operators.impute import fit_imputation
 from trainlake.operators.quantiles import exact_quantiles
 from trainlake.session import materialise, scratch_path
 from trainlake.sources.csv_ranges import read_listing_ranges
-from trainlake.sources.listing import ListingSpec, money_text, read_listing, stage_listing, write_listing_csv
+from trainlake.sources.listing import ListingSpec, few_files, money_text, read_listing, stage_listing, write_listing_csv
 from trainlake.tracking.runs import input_example
 
 QUERIES = Queries()
@@ -89,10 +89,10 @@ ORACLES["csv_multiline"] = "SELECT doc_id, lang, md5(text) AS digest FROM docume
 
 @QUERIES
 def csv_multiline_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    """A1: the same cells in one file, read by byte ranges."""
+    """A1: the same cells in one file, or in one for each so many bytes, read by byte ranges."""
     path = scratch_path(spark, "csv")
     source = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    write_listing_csv(source.coalesce(1), path)
+    write_listing_csv(few_files(source, F.octet_length("text")), path)
     return read_listing_ranges(spark, path, source.schema).select("doc_id", "lang", F.md5("text").alias("digest"))
 
 
