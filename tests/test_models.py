@@ -13,6 +13,7 @@ from trainlake.operators.evaluate import (
 from trainlake.operators.features import Roles, column_roles
 from trainlake.operators.models import enough_bins, fit_features, fit_pipeline
 from trainlake.operators.split import fold_column, hash_split
+from trainlake.session import spread_rows
 
 ROLES = Roles(("l_returnflag", "l_linestatus"), ("l_quantity", "l_discount"))
 
@@ -172,3 +173,15 @@ def test_a_wide_linear_model_has_no_slot_for_each_level(spark, tmp_path, monkeyp
     both = scored.select("id", "prediction").join(whole.select("id", F.col("prediction").alias("p")), "id", "full")
     found = both.agg(F.count("prediction"), F.count("p"), F.max(F.abs(F.col("p") - F.col("prediction")))).first()
     assert found[0] == found[1] == (2000 if mode == "keep" else 1960) and found[2] < 1e-4
+
+
+def test_fits_share_the_cluster_as_far_as_their_rows_stay_in_memory(spark):
+    assert tune.fits_at_a_time(spark, 1000, 8) == 8 and tune.fits_at_a_time(spark, 0, 8) == 8
+    assert tune.fits_at_a_time(spark, 10**12, 8) == 1
+
+
+def test_rows_of_a_fit_are_spread_by_their_number(spark):
+    few = spark.range(0, 1000, 1, 2)
+    assert spread_rows(few, 1000) is few
+    spread = spread_rows(few, 1000, most=100)
+    assert max(r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()) < 200 and spread.count() == 1000

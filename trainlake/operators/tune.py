@@ -20,6 +20,7 @@ from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER, regression_
 from trainlake.operators.features import Roles
 from trainlake.operators.models import Fitted, enough_bins, fit_features, fit_on_features, fit_pipeline, needed_by, uses_label
 from trainlake.operators.split import combine
+from trainlake.session import spread_rows
 
 Params = Mapping[str, float]
 FOLD = "fold"
@@ -52,6 +53,22 @@ def in_pool(spark: SparkSession, tasks: Sequence[Callable[[], object]], parallel
         return pool.map(run, tasks, chunksize=1)
 
 
+#: What a row takes while a fit of trees keeps it.
+ROW_BYTES = 200
+
+
+def fits_at_a_time(spark: SparkSession, rows: int, parallelism: int) -> int:
+    """How many fits may share the cluster so that the rows each of them keeps stay in memory; one at least.
+
+    Fits of many rows fill the cluster by themselves; together they would only push each other's rows to disk and read them back
+    for each level of each tree.
+    """
+    status, memory = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().valuesIterator(), 0
+    while status.hasNext():
+        memory += int(status.next()._1())
+    return max(1, min(parallelism, int(0.8 * memory // (ROW_BYTES * max(rows, 1)))))
+
+
 def timed_fit(estimator: Estimator, rows: DataFrame) -> tuple[Model, float]:
     """The fitted model and the seconds it took."""
     started = time.monotonic()
@@ -82,7 +99,7 @@ def cross_validate(
     """
     if scope not in ("estimator", "pipeline"):
         raise ValueError(f"scope is 'estimator' or 'pipeline', not {scope!r}")
-    label = estimators[0].getLabelCol()
+    whole, label = train, estimators[0].getLabelCol()
     if scope == "pipeline":
         features = None
     else:
@@ -91,7 +108,11 @@ def cross_validate(
         features = None  # levels grouped by mean label would tell a fold's own labels
     if features is not None:
         train = features.model.transform(train).select("features", label, fold)
-    spark, train = train.sparkSession, train.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        train = train.select(*dict.fromkeys([*roles.categorical, *roles.numeric, label, fold]))  # no more is kept
+    spark, n = train.sparkSession, whole.count()
+    train = spread_rows(train, n).persist(StorageLevel.MEMORY_AND_DISK)
+    parallelism = fits_at_a_time(spark, n - n // max(folds, 1), parallelism)
     try:
         fit_rows, held_out = ([train.filter(how(F.col(fold), number)) for number in range(folds)] for how in (Column.__ne__, Column.__eq__))
         preps = [features] * folds
@@ -306,7 +327,7 @@ def search_validated(
     label = estimator.getLabelCol()
     features = fit_features(train, roles, one_hot, **{**needed_by(estimator), **options})
     fit_rows, held_out = (
-        features.model.transform(rows).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+        spread_rows(features.model.transform(rows).select("features", label), rows.count()).persist(StorageLevel.MEMORY_AND_DISK)
         for rows in (train, validation)
     )
 
