@@ -96,6 +96,13 @@ def test_jaccard_query_is_exact(spark):
     assert found == brute_components([(r.doc_id, r.text) for r in docs.collect()], 4, 85)
 
 
+def test_jaccard_lists_hold_only_sets_with_one_of_a_near_size(spark):
+    lists = {1: [100, 84], 2: [100, 85], 3: [50, 100, 110, 300], 4: [7], 5: [20, 20]}
+    rows = [(gram, 10 * gram + k, n, 1) for gram, sizes in lists.items() for k, n in enumerate(sizes)]
+    found = jaccard._postings(spark.createDataFrame(rows + rows[2:4], "gram long, cls long, n int, least int"), 85).collect()
+    assert sorted((r.gram, r.n) for r in found) == [(2, 85), (2, 100), (3, 100), (3, 110), (5, 20), (5, 20)]
+
+
 def test_jaccard_large_group_of_near_copies(spark):
     base = [f"w{k}" for k in range(60)]
     rows = []

@@ -165,6 +165,19 @@ def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) ->
     return docs.mapInArrow(cut, "gram long, cls long, n int, least int")
 
 
+def _postings(prefixes: DataFrame, percent: int) -> DataFrame:
+    """The rows of prefixes, each once, whose n-gram another set of a near enough size has as well.
+
+    Sets of one posting list differ, or they would be one class. A set has nothing to meet in a list if even the sets of the next
+    sizes there are too small and too large for it.
+    """
+    by_size = Window.partitionBy("gram").orderBy("n", "cls")
+    smaller, larger = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    near = (100 * smaller >= percent * F.col("n")) | (100 * F.col("n") >= percent * larger)
+    # One shuffle by n-gram: what follows has its partitioning.
+    return prefixes.repartition("gram").distinct().withColumn("near", near).filter("near").drop("near")
+
+
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     """cls, sketch and n-grams of the texts whose class is the one that docs (text, cls) names."""
     names = [f"s{k}" for k in range(SKETCH)]
@@ -232,11 +245,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     levels = _levels(rows)
     discard(rows)
     prefixes = materialise(_prefixes(docs, words, percent, levels), "prefixes")
-    # One shuffle by n-gram: what follows up to the next write has its partitioning.
-    by_gram = prefixes.repartition("gram")
-    # Sets of one posting list differ, or they would be one class: two different ones make a candidate.
-    shared = by_gram.groupBy("gram").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("gram")
-    postings = materialise(by_gram.join(shared, "gram", "left_semi").distinct(), "postings")
+    postings = materialise(_postings(prefixes, percent), "postings")
     discard(prefixes)
     # One text for each class: the smallest digest under its smallest number.
     wanted = postings.select("cls").distinct()
