@@ -45,6 +45,19 @@ def test_lengths_are_powers_of_two(tokens):
     assert sum(found) == tokens and all(n & (n - 1) == 0 and n <= 1024 for n in found) and found == sorted(found, reverse=True)
 
 
+def test_numbering_sequences_shuffles_no_ids(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables whose size is not known to be small
+    try:
+        docs = spark.createDataFrame([(1, "a b c"), (2, "d " * 3000), (None, None)], "doc_id long, text string")
+        packed = packing.pack(docs, PATH, end_id=0, longest=1024)
+        plan = packed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert sorted(r.sequence_id for r in packed.collect()) == list(range(packed.count()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_packing_query_covers_every_id_once(spark):
     docs = {r.doc_id: plain(r.text, 0) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     rows = catalog.op2_power_of_two(spark, SMALL).collect()

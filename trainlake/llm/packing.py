@@ -87,7 +87,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, longest: int = 1
     before = counts.select("length", "file", "first_at", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
     # A file holds at most one row for each power of two: the join side is as small as the list of files.
     first = before.join(F.broadcast(buckets), "length").select("length", "file", (F.col("longer") + F.col("earlier") - F.col("first_at")).alias("base"))
-    return stored.join(first, ["length", "file"]).select(
+    # Sent to all tasks, so that no ids are shuffled for it.
+    return stored.join(F.broadcast(first), ["length", "file"]).select(
         "doc_id", "start", "length", "doc_tokens", "ids",
         (F.col("base") + F.col("at")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
