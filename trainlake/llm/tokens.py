@@ -17,9 +17,12 @@ _LETTER = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _PIECE = re.compile(
     rf" ?[{_LETTER}]+(?=[ \n,.!?;:|]|\Z)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-#: Plain words, whose bytes stand for themselves in a byte-level vocabulary; the blank before them is written as this letter.
-_WORD = re.compile(r" ?[A-Za-z]+\Z")
-_BLANK = "Ġ"
+#: Words that are one piece for the tokenizer, too. A byte-level vocabulary writes visible bytes as themselves in Latin-1, the blank and
+#: all others as the letters from this one on.
+_WORD = re.compile(rf" ?[{_LETTER}]+\Z")
+_HIDDEN = [b for b in range(256) if b < 33 or 127 <= b <= 160 or b == 173]
+_SHOWN = {b: chr(0x100 + k) for k, b in enumerate(_HIDDEN)}
+_BLANK = _SHOWN[32]
 CACHED_PIECES = 800_000
 LONGEST_CACHED = 64
 #: Stands between pieces that are asked for together; its token has no other byte.
@@ -65,11 +68,12 @@ class Encoder:
         return Tokenizer.from_file(self._path)
 
     def _ask(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of different pieces: of plain words from the model itself, of all others through the tokenizer's splitting."""
+        """Ids of different pieces: of words from the model itself, of all others through the tokenizer's splitting."""
         found, others = {}, []
         for piece in pieces:
             if _WORD.match(piece):
-                ids = [token.id for token in self._model.tokenize(piece.replace(" ", _BLANK))]
+                shown = piece.replace(" ", _BLANK) if piece.isascii() else piece.encode().decode("latin-1").translate(_SHOWN)
+                ids = [token.id for token in self._model.tokenize(shown)]
                 found[piece] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 others.append(piece)
