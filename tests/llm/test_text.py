@@ -1,8 +1,10 @@
 import collections
 import re
 import string
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -13,6 +15,7 @@ from tests.conftest import SMALL
 from tests.llm.rows import LONG, edge_rows, no_rows
 from trainlake.llm import catalog, decontaminate, html, jaccard, language, licenses, pii, toxicity
 from trainlake.llm.components import components
+from trainlake.session import materialise, small_batches
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -103,6 +106,49 @@ def test_jaccard_lists_hold_only_sets_with_one_of_a_near_size(spark):
     assert sorted((r.gram, r.n) for r in found) == [(2, 85), (2, 100), (3, 100), (3, 110), (5, 20), (5, 20)]
 
 
+def test_jaccard_counts_ngrams_without_several_copies_of_them():
+    rng = np.random.default_rng(1)
+    held = [np.unique(rng.integers(0, 2**64 - 1, 5_000, np.uint64)) for _ in range(100)]
+    held = [np.append(grams, np.arange(k, dtype=np.uint64)) for k, grams in enumerate(held)]
+    known = collections.Counter(np.concatenate(held).tolist())
+    size = sum(grams.nbytes for grams in held)
+    tracemalloc.start()
+    found, seen = jaccard._seen_often(held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert dict(zip(found.tolist(), seen.tolist(), strict=True)) == {gram: n for gram, n in known.items() if n >= jaccard.SEEN}
+    assert peak < 1.5 * size and not held
+
+
+@pytest.mark.parametrize("few", range(1, 6))
+def test_jaccard_counts_a_few_ngrams(few):
+    found, seen = jaccard._seen_often([np.array([7], np.uint64)] * few)
+    assert (found.tolist(), seen.tolist()) == (([7], [few]) if few >= jaccard.SEEN else ([], []))
+
+
+def test_jaccard_gets_few_texts_at_a_time(spark, monkeypatch):
+    sizes = []
+
+    def written(df, label):
+        sizes.append((label, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
+        return materialise(df, label)
+
+    monkeypatch.setattr(jaccard, "materialise", written)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    jaccard.near_duplicates(spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e")], "doc_id long, text string"), 4, 85).count()
+    assert {label: size for label, size in sizes if label in ("ngram-rows", "prefixes", "sets")} == {"ngram-rows": 256, "prefixes": 256, "sets": 256}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_small_batches_reach_python(spark):
+    def rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    with small_batches(spark, 100):
+        assert {r.n for r in spark.range(0, 1000, 1, 2).mapInArrow(rows, "n long").collect()} == {100}
+
+
 def test_jaccard_large_group_of_near_copies(spark):
     base = [f"w{k}" for k in range(60)]
     rows = []

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainlake.llm.components import components
-from trainlake.session import discard, materialise
+from trainlake.session import discard, materialise, small_batches
 
 #: The levels of frequency are kept by this many buckets of hashes: 4 MB for any input.
 LEVEL_BITS = 22
@@ -34,6 +34,8 @@ LEVEL_PARTS = 4
 SEEN = 4
 #: N-grams whose frequency a task counts at a time, and texts it takes apart at a time.
 HELD_GRAMS, ROWS = 2_000_000, 256
+#: Classes that a task remembers, so that copies near each other count once.
+HELD_CLASSES = 10_000
 #: Classes, each a number or two, that may be sent to all tasks.
 BROADCAST_ROWS = 1_000_000
 LONGEST_MATCH = 4
@@ -73,6 +75,15 @@ def _class_of(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).astype(np.int64))
 
 
+def _seen_often(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that are in at least SEEN of the sets, and in how many. held is emptied, so that its n-grams are in memory only once."""
+    grams = np.concatenate(held)
+    held.clear()
+    grams.sort()
+    often = np.unique(grams[SEEN - 1 :][grams[SEEN - 1 :] == grams[: -(SEEN - 1)]])
+    return often, np.searchsorted(grams, often, "right") - np.searchsorted(grams, often, "left")
+
+
 def _rows(docs: DataFrame, words: int) -> DataFrame:
     """Two kinds of rows: row, digest, n and cls of each text; gram and seen of n-grams often met in a task."""
     names = ("row", "digest", "n", "cls", "gram", "seen")
@@ -83,15 +94,16 @@ def _rows(docs: DataFrame, words: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     def shingle(batches):
-        held, size = [], 0
+        held, size, classes = [], 0, set()
 
         def often():
-            grams, seen = np.unique(np.concatenate(held), return_counts=True)
-            return batch([None, None, None, None, grams[seen >= SEEN].view(np.int64), seen[seen >= SEEN]])
+            grams, seen = _seen_often(held)
+            return batch([None, None, None, None, grams.view(np.int64), seen])
 
         for b in batches:
             rows, ns, keys = [], [], []
-            classes = set()
+            if len(classes) > HELD_CLASSES:
+                classes.clear()
             for row, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 grams = ngrams(text.as_py(), words)
                 key = _class_of(grams)
@@ -102,7 +114,7 @@ def _rows(docs: DataFrame, words: int) -> DataFrame:
                     size += len(grams)
                     if size > HELD_GRAMS:
                         yield often()
-                        held, size = [], 0
+                        size = 0
             if rows:
                 yield batch([rows, b.column(2).to_pylist(), ns, keys, None, None])
         if held:
@@ -146,9 +158,11 @@ def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) ->
     schema = pa.schema([("gram", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("least", pa.int32())])
 
     def cut(batches):
+        classes = set()
         for b in batches:
-            # Copies in one batch are left out here, all others where prefixes meet.
-            classes = set()
+            # Copies near each other are left out here, all others where prefixes meet.
+            if len(classes) > HELD_CLASSES:
+                classes.clear()
             for k in range(0, b.num_rows, ROWS):
                 out = [[], [], [], []]
                 for text in b.column(1).slice(k, ROWS):
@@ -240,11 +254,14 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     Sets and n-grams are told apart by 64-bit hashes.
     """
     docs = docs.select("row", F.col("text").cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
-    rows = materialise(_rows(docs, words), "ngram-rows")
+    spark = docs.sparkSession
+    with small_batches(spark):
+        rows = materialise(_rows(docs, words), "ngram-rows")
     texts = materialise(rows.filter("n IS NOT NULL").select("row", "digest", "n", "cls"), "classes")
     levels = _levels(rows)
     discard(rows)
-    prefixes = materialise(_prefixes(docs, words, percent, levels), "prefixes")
+    with small_batches(spark):
+        prefixes = materialise(_prefixes(docs, words, percent, levels), "prefixes")
     postings = materialise(_postings(prefixes, percent), "postings")
     discard(prefixes)
     # One text for each class: the smallest digest under its smallest number.
@@ -253,7 +270,8 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     named = texts.join(smallest, "cls").filter(F.col("row").eqNullSafe(F.col("of"))).groupBy("cls", "of").agg(F.min("digest").alias("it"))
     one_each = materialise(named, "one-each")
     of_class = F.col("row").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("it"))
-    sets = materialise(_sets(docs.join(_sent(one_each), of_class), words), "sets")
+    with small_batches(spark):
+        sets = materialise(_sets(docs.join(_sent(one_each), of_class), words), "sets")
     n, different = sets.agg(F.count(F.lit(1)), F.count_distinct("cls")).first()
     if n > different:  # copies with one number
         several, sets = sets, materialise(sets.dropDuplicates(["cls"]), "sets")

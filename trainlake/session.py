@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,6 +115,25 @@ def discard(*tables: DataFrame) -> None:
             table._scratch = None
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """Python functions of what is run inside get at most so many rows at a time.
+
+    Spark's usual batch is 10,000 rows; with whole texts that is all of a task's input, held at once by the JVM and by Python. For
+    work that runs before the block ends, such as materialise(): a lazy result follows the setting of its later run.
+    """
+    before = spark.conf.get(_BATCH)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(_BATCH, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
     """A scan with at least one partition for each core, for work heavier than reading.
 
