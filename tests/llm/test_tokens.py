@@ -1,4 +1,5 @@
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +13,7 @@ from tests.conftest import SMALL
 from tests.llm.rows import edge_rows, no_rows
 from trainlake.llm import catalog, packing, token_files
 from trainlake.llm.tokens import Encoder
+from trainlake.session import small_batches
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
@@ -129,3 +131,23 @@ def test_files_refuse_another_dictionary(spark, tmp_path):
     with pytest.raises(ValueError):
         list(token_files.decode_block(payload, token_files._decompressor(bytes(row.dictionary)), 1))
     assert spark.read.parquet(f"{path}/blocks").agg(F.sum("n_tokens")).first()[0] > 0
+
+
+@pytest.mark.parametrize("module", [token_files, packing])
+def test_texts_come_few_at_a_time(spark, tmp_path, monkeypatch, module):
+    inside = []
+
+    @contextmanager
+    def watched(session):
+        with small_batches(session):
+            yield
+            inside.append(sorted(p.name for p in tmp_path.rglob("_SUCCESS")) and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+
+    monkeypatch.setattr(module, "small_batches", watched)
+    monkeypatch.setattr(packing, "scratch_path", lambda *_: str(tmp_path / "packed"))
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    if module is packing:
+        assert packing.pack(docs, PATH).count() == 3
+    else:
+        token_files.write_tokens(docs, str(tmp_path / "store"), PATH, end_id=2)
+    assert inside == ["256"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainlake.llm.tokens import encoder
-from trainlake.session import scratch_path
+from trainlake.session import scratch_path, small_batches
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids binary"
 _ROW = pa.schema([
@@ -76,7 +76,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, longest: int = 1
     spark = docs.sparkSession
     path = scratch_path(spark, "packed")
     cut = cut_documents(docs, tokenizer_path, end_id, longest)
-    cut.sortWithinPartitions(F.desc("length")).write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        cut.sortWithinPartitions(F.desc("length")).write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(cut.schema).parquet(path).select(
         "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
     )

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 
 from trainlake.llm.tokens import encoder
+from trainlake.session import small_batches
 
 MAGIC = b"TLID"
 _HEAD, _ENTRY = struct.Struct("<4sBQI"), struct.Struct("<qBQQI")
@@ -143,7 +144,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, b
     order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
     spark.createDataFrame([(str(dictionary_hash), bytearray(dictionary))], "hash string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
-    ranged.mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    with small_batches(spark):
+        ranged.mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def _dictionary(spark: SparkSession, path: str) -> tuple[bytes, int]:
