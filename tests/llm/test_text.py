@@ -186,6 +186,45 @@ def test_jaccard_edge_rows(spark):
     assert jaccard.near_duplicates(no_rows(spark)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_jaccard_similar_sets_share_as_many_blocks_as_asked(percent):
+    rng = np.random.default_rng(percent)
+    levels = rng.integers(0, 6, 1 << jaccard.LEVEL_BITS, np.uint8)
+    met = 0
+    for n in [*range(2, 40), 47, 48, 100, 161, 700, 3_000]:
+        for _ in range(12):
+            x = rng.integers(0, 2**64 - 1, n, np.uint64)
+            drop = rng.integers(0, n * (100 - percent) // 100 + 1)
+            new = rng.integers(0, 2**64 - 1, rng.integers(0, drop // 2 + 1), np.uint64)
+            x, y = np.unique(x), np.unique(np.append(x[drop:], new))
+            shared = len(np.intersect1d(x, y))
+            if len(y) and shared < len(x) + len(y) - shared and 100 * shared >= percent * (len(x) + len(y) - shared):
+                a, b = (list(jaccard.prefixes(s, levels, percent)) for s in (x, y))
+                common = sum(len(np.intersect1d(p, q)) for p, _ in a for q, _ in b)
+                assert common >= min(least for _, least in a + b)
+                met += 1
+    assert met > 100
+
+
+def test_jaccard_sets_in_one_block_meet_by_ngrams():
+    levels = np.zeros(1 << jaccard.LEVEL_BITS, np.uint8)
+    x = np.arange(100, dtype=np.uint64)  # all in the first part of the hashes
+    a, b = (np.concatenate([keys for keys, _ in jaccard.prefixes(s, levels, 85)]) for s in (x, x[5:]))
+    assert len(np.intersect1d(a, b))
+
+
+def test_jaccard_postings_leave_out_sets_that_share_ngrams_by_chance(spark):
+    rng = np.random.default_rng(3)
+    some = rng.integers(0, 2**64 - 1, 3_000, np.uint64)
+    levels = np.zeros(1 << jaccard.LEVEL_BITS, np.uint8)
+    rows = []
+    for k in range(100):  # any two share 17 of 500 n-grams or so, and no more than that
+        grams = np.unique(np.append(rng.choice(some, 225, replace=False), rng.integers(0, 2**64 - 1, 275, np.uint64)))
+        rows += [(g, k, len(grams), least) for keys, least in jaccard.prefixes(grams, levels, 85) for g in keys.view(np.int64).tolist()]
+    found = jaccard._postings(spark.createDataFrame(rows, "gram long, cls long, n int, least int"), 85)
+    assert found.count() < 0.02 * len(rows)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (102, 102), (None, 3)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "x long, y long")).collect()}

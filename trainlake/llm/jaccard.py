@@ -1,11 +1,15 @@
 """Jaccard join of word n-grams with adaptive multi-match prefixes.
 
 Texts are sets of n-gram hashes (64 bits); texts with one set are a class, and only classes
-are compared. The n-grams of a set are ordered from rare to frequent. If two sets reach the
-similarity, their prefixes of length |x| - need(x) + l share l n-grams at least, for any l. Each
+are compared. Single n-grams are shared by chance, the more often the more texts there are. So a
+set is cut into blocks, the n-grams of one range of hashes each, in ranges that are the same for
+all sets of about a size. Sets that differ in d n-grams differ in d blocks at most, and a block is hardly shared
+by chance. The blocks of a set are ordered from rare to frequent. If two sets reach the
+similarity, their prefixes of length d + l share l blocks at least, for any l. Each
 set takes the l for which the estimated cost is least: the frequencies of its prefix, and
 the candidates to verify, which must share the smaller l of both. So a set whose prefix reaches into frequent
-n-grams asks for more matches instead of more candidates.
+blocks asks for more matches instead of more candidates. A set with fewer than d + 1 blocks has all of them in its
+prefix, and besides n-grams in the same way, for others like it.
 
 Groups of very many alike texts are not compared pair by pair: rounds of stars come first, in
 which each set of a posting list is compared with one of them, chosen anew for each list and round. Only
@@ -16,6 +20,7 @@ Pairs whose sketches already differ too much for the similarity leave within the
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +35,9 @@ from trainlake.session import discard, materialise, small_batches
 LEVEL_BITS = 22
 #: Parts in which the driver fetches them, a job each.
 LEVEL_PARTS = 4
-#: A task reports n-grams that it saw in so many texts; rarer ones count as rare everywhere.
+#: A task reports blocks that it saw in so many texts; rarer ones count as rare everywhere.
 SEEN = 4
-#: N-grams whose frequency a task counts at a time, and texts it takes apart at a time.
+#: Blocks whose frequency a task counts at a time, and texts it takes apart at a time.
 HELD_GRAMS, ROWS = 2_000_000, 256
 #: Classes that a task remembers, so that copies near each other count once.
 HELD_CLASSES = 10_000
@@ -71,12 +76,44 @@ def sketch(grams: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return h ^ (h >> np.uint64(28))
+
+
+def _differ(n: int, other: int, percent: int) -> int:
+    """The most n-grams that are in only one of two sets of these sizes, if they are as similar as asked."""
+    return (100 - percent) * (n + other) // (100 + percent)
+
+
+def size_classes(n: int, percent: int) -> Iterator[tuple[int, int, int]]:
+    """The size classes in which a set of n meets others: their number, the parts of their hashes, and the most n-grams in which n's set differs there.
+
+    Two sets meet in the class of the larger one. Classes in which only equal sets are similar enough are left out.
+    """
+    low, k = 1, 0
+    while 100 * n >= percent * low:
+        high = max(low + 1, low * 3 // 2)
+        differ = _differ(n, min(high - 1, 100 * n // percent), percent)
+        if n < high and differ:
+            yield k, 3 * _differ(high - 1, high - 1, percent) // 2 + 2, differ
+        low, k = high, k + 1
+
+
+def blocks(grams: np.ndarray, size_class: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key and the number of n-grams of each block: the n-grams (sorted) of each part of the hashes that has any."""
+    part = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    place = part[starts] * np.uint64(0xD6E8FEB86659FD93) + np.uint64(size_class + 1)
+    return _mixed(np.add.reduceat(_mixed(grams), starts) ^ _mixed(place)), np.diff(np.append(starts, len(grams)))
+
+
 def _class_of(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).astype(np.int64))
 
 
 def _seen_often(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams that are in at least SEEN of the sets, and in how many. held is emptied, so that its n-grams are in memory only once."""
+    """What is in at least SEEN of the sets, and in how many. held is emptied, so that what it has is in memory only once."""
     grams = np.concatenate(held)
     held.clear()
     grams.sort()
@@ -84,8 +121,8 @@ def _seen_often(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return often, np.searchsorted(grams, often, "right") - np.searchsorted(grams, often, "left")
 
 
-def _rows(docs: DataFrame, words: int) -> DataFrame:
-    """Two kinds of rows: row, digest, n and cls of each text; gram and seen of n-grams often met in a task."""
+def _rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Two kinds of rows: row, digest, n and cls of each text; gram and seen of blocks often met in a task."""
     names = ("row", "digest", "n", "cls", "gram", "seen")
     schema = pa.schema([(c, pa.int64()) for c in names])
 
@@ -110,8 +147,9 @@ def _rows(docs: DataFrame, words: int) -> DataFrame:
                 rows.append(row), ns.append(len(grams)), keys.append(key if len(grams) else None)
                 if len(grams) and key not in classes:
                     classes.add(key)
-                    held.append(grams)
-                    size += len(grams)
+                    for size_class, parts, _ in size_classes(len(grams), percent):
+                        held.append(blocks(grams, size_class, parts)[0])
+                        size += len(held[-1])
                     if size > HELD_GRAMS:
                         yield often()
                         size = 0
@@ -124,7 +162,7 @@ def _rows(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _levels(rows: DataFrame) -> np.ndarray:
-    """The logarithm of the frequency for each bucket of n-grams; a table of fixed size."""
+    """The logarithm of the frequency for each bucket of blocks; a table of fixed size."""
     total = rows.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("seen").alias("seen"))
     bucket = F.col("gram").bitwiseAND((1 << LEVEL_BITS) - 1)
     levels = total.groupBy(bucket.cast("int").alias("bucket")).agg(F.max(F.floor(F.log2("seen"))).cast("int").alias("level"))
@@ -140,17 +178,32 @@ def _need(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def prefix(grams: np.ndarray, levels: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The adaptive prefix of a set and how many matches it asks for."""
-    level = levels[(grams & np.uint64((1 << LEVEL_BITS) - 1)).astype(np.int64)]
-    order = np.lexsort((grams, level))
-    base = len(grams) - _need(len(grams), percent)
-    most = min(LONGEST_MATCH, len(grams) - base)
-    cost = np.cumsum(np.exp2(level[order[: base + most]].astype(float)))
+def prefix(keys: np.ndarray, sizes: np.ndarray, levels: np.ndarray, differ: int) -> tuple[np.ndarray, int]:
+    """The adaptive prefix of a set's blocks and how many matches it asks for; all blocks if there are no more than may differ.
+
+    Of blocks equally rare, those of more n-grams come first.
+    """
+    level = levels[(keys & np.uint64((1 << LEVEL_BITS) - 1)).astype(np.int64)]
+    most = min(LONGEST_MATCH, len(keys) - differ)
+    if most < 1:
+        return keys, 1
+    order = np.lexsort((keys, -sizes, level))
+    cost = np.cumsum(np.exp2(level[order[: differ + most]].astype(float)))
     ls = np.arange(1, most + 1)
-    total = cost[base : base + most] * (1 + VERIFY_COST / ls)
+    total = cost[differ : differ + most] * (1 + VERIFY_COST / ls)
     best = int(ls[np.argmin(total)])
-    return grams[order[: base + best]], best
+    return keys[order[: differ + best]], best
+
+
+def prefixes(grams: np.ndarray, levels: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Keys under which a set meets all others as similar as asked, by size class, and how many matches it asks for."""
+    few = False
+    for size_class, parts, differ in size_classes(len(grams), percent):
+        keys, sizes = blocks(grams, size_class, parts)
+        few = few or len(keys) <= differ
+        yield prefix(keys, sizes, levels, differ)
+    if few:  # two such sets need not share a block
+        yield _mixed(grams[: len(grams) - _need(len(grams), percent) + 1]), 1
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) -> DataFrame:
@@ -170,9 +223,9 @@ def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) ->
                     key = _class_of(grams)
                     if len(grams) and key not in classes:
                         classes.add(key)
-                        first, least = prefix(grams, sent.value, percent)
-                        for column, values in zip(out, (first.view(np.int64), np.full(len(first), key), np.full(len(first), len(grams)), np.full(len(first), least)), strict=True):
-                            column.append(values)
+                        for first, least in prefixes(grams, sent.value, percent):
+                            for column, values in zip(out, (first.view(np.int64), np.full(len(first), key), np.full(len(first), len(grams)), np.full(len(first), least)), strict=True):
+                                column.append(values)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
@@ -180,7 +233,7 @@ def _prefixes(docs: DataFrame, words: int, percent: int, levels: np.ndarray) ->
 
 
 def _postings(prefixes: DataFrame, percent: int) -> DataFrame:
-    """The rows of prefixes, each once, whose n-gram another set of a near enough size has as well.
+    """The rows of prefixes, each once, whose block another set of a near enough size has as well.
 
     Sets of one posting list differ, or they would be one class. A set has nothing to meet in a list if even the sets of the next
     sizes there are too small and too large for it.
@@ -188,7 +241,7 @@ def _postings(prefixes: DataFrame, percent: int) -> DataFrame:
     by_size = Window.partitionBy("gram").orderBy("n", "cls")
     smaller, larger = F.lag("n").over(by_size), F.lead("n").over(by_size)
     near = (100 * smaller >= percent * F.col("n")) | (100 * F.col("n") >= percent * larger)
-    # One shuffle by n-gram: what follows has its partitioning.
+    # One shuffle by block: what follows has its partitioning.
     return prefixes.repartition("gram").distinct().withColumn("near", near).filter("near").drop("near")
 
 
@@ -256,7 +309,7 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     docs = docs.select("row", F.col("text").cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
     spark = docs.sparkSession
     with small_batches(spark):
-        rows = materialise(_rows(docs, words), "ngram-rows")
+        rows = materialise(_rows(docs, words, percent), "ngram-rows")
     texts = materialise(rows.filter("n IS NOT NULL").select("row", "digest", "n", "cls"), "classes")
     levels = _levels(rows)
     discard(rows)
@@ -292,7 +345,7 @@ def _components_of_classes(postings: DataFrame, sets: DataFrame, percent: int) -
     for turn in range(STAR_ROUNDS + 1):
         # Posting lists whose sets are in one component have nothing more to tell.
         labelled = open_.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        # The more shared n-grams a prefix has, the fewer are the set's own: the set is in the middle of its group.
+        # The more shared blocks a prefix has, the fewer are the set's own: the set is in the middle of its group.
         labelled = labelled.select("gram", "cls", "n", "least", "root", F.count(F.lit(1)).over(Window.partitionBy("cls")).alias("central"))
         # Sets of one component in a list, then what pairs across components would remain.
         by_root = labelled.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("k"))
