@@ -13,14 +13,16 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trainlake.operators import cells
 from trainlake.operators.evaluate import METRICS, SMALLER_IS_BETTER, regression_metrics, score_models
 from trainlake.operators.features import Roles
 from trainlake.operators.models import Fitted, enough_bins, fit_features, fit_on_features, fit_pipeline, needed_by, uses_label
 from trainlake.operators.split import combine
-from trainlake.session import spread_rows
+from trainlake.session import discard, materialise, spread_rows
 
 Params = Mapping[str, float]
 FOLD = "fold"
@@ -107,6 +109,10 @@ def cross_validate(
     if features is not None and uses_label(features):
         features = None  # levels grouped by mean label would tell a fold's own labels
     if features is not None:
+        estimators = [enough_bins(e, features.model) for e in estimators]
+        found = cells.find_cells(train, features, estimators, folds, fold)
+        if found is not None:
+            return cross_validate_cells(found, estimators, parallelism)
         train = features.model.transform(train).select("features", label, fold)
     else:
         train = train.select(*dict.fromkeys([*roles.categorical, *roles.numeric, label, fold]))  # no more is kept
@@ -137,6 +143,31 @@ def cross_validate(
     ]
 
 
+def cross_validate_cells(found: cells.Cells, estimators: Sequence[Estimator], parallelism: int = PARALLELISM) -> list[dict]:
+    """cross_validate() of trees over the sums of cells: rows are read to sum them up and to score all models, however many fits there are."""
+    spark, tables = found.rows.sparkSession, []
+    try:
+        tables = cells.sums(found, list(dict.fromkeys(sample for e in estimators for sample in cells.samples_of(e))))
+        places = [(k, trial) for k in range(found.folds) for trial in range(len(estimators))]
+        forests = {(k, trial): cells.Forest(spark, found, e, k) for k, trial in places if isinstance(e := estimators[trial], RandomForestRegressor)}
+        tasks, rest = [partial(cells.grow, [*forests.values()], tables)], [p for p in places if p not in forests]
+        if rest:
+            columns, table = next((columns, table) for columns, table in tables if None in columns)
+            sizes = {r[cells.FOLD]: r for r in table.groupBy(cells.FOLD).agg(F.sum("rows").alias("rows"), (2 * F.count(F.lit(1))).alias("points")).collect()}
+            for k, trial in rest:
+                rows, n_points = (sum(r[what] for f, r in sizes.items() if f != k) for what in ("rows", "points"))
+                tasks.append(partial(timed_fit, cells.on_points(estimators[trial], rows, n_points), cells.points(found, table, columns[None], k)))
+            parallelism = fits_at_a_time(spark, sum(r["points"] for r in sizes.values()), parallelism)
+        fits = dict(zip(rest, in_pool(spark, tasks, parallelism)[1:])) | {p: (forest, forest.seconds) for p, forest in forests.items()}
+        models = [[fits[k, trial][0] for trial in range(len(estimators))] for k in range(found.folds)]
+        predictions = materialise(cells.predicted(found, tables[0][1], models), "predictions")
+        scores = cells.scores(found, predictions, len(estimators))
+        discard(predictions)
+    finally:
+        discard(found.rows, *(table for _, table in tables))
+    return [{"trial_id": trial, "fold": k, **scores[k][trial], "fit_seconds": fits[k, trial][1]} for k, trial in places]
+
+
 TRIAL_SCHEMA = "trial_id int, fold int, n bigint, " + ", ".join(
     f"{m} double" for m in (*METRICS, "fit_seconds")
 )
