@@ -135,3 +135,14 @@ def test_what_sums_of_cells_do_not_hold_is_left_to_spark_ml(rows, monkeypatch):
 def test_rows_of_no_fold_are_dropped_and_others_of_another_fold_stay_in_training(rows, monkeypatch):
     odd = rows.withColumn("fold", F.when(F.col("id") % 10 == 0, 7).when(F.col("id") % 10 != 1, F.col("fold")))
     assert_equal(*both(odd, [models.tree("y", maxDepth=3)], monkeypatch))
+
+
+def test_a_grid_by_cells_has_the_trials_and_the_best_of_the_rows(rows, monkeypatch):
+    found = []
+    for few in (0, math.inf):
+        monkeypatch.setattr(cells, "FEW_ROWS", few)
+        result = tune.grid_cv(rows, ROLES, models.forest("y", bootstrap=False), tune.grid(maxDepth=[2, 5], numTrees=[2, 5]), folds=3)
+        found.append((result.params, [tuple(r) for r in tune.cv_summary(result.trials).collect()]))
+    assert result.best.model.stages[-1].getNumTrees == result.params["numTrees"]  # refitted on the rows
+    assert found[0][0] == found[1][0] and [t[:2] for t in found[0][1]] == [t[:2] for t in found[1][1]]
+    assert [t[2] for t in found[0][1]] == pytest.approx([t[2] for t in found[1][1]], rel=1e-9)
